@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,29 +14,48 @@ def resolved(value: Column) -> Column:
     return F.coalesce(F.nullif(value, F.lit("")), F.lit(NOT_FOUND))
 
 
-def token_value(token: Column, attributes: Column, file: Column, looked_up: Column) -> Column:
-    """Value behind `table.column`: the traveler's own, or that of the joined look-up row.
+def parse(template: Column, file: Column, connection: Column) -> Column:
+    """A template as an array of parts, done once per module and not once per message.
 
-    `attributes` and `looked_up` are map<string,string>; a token that names another file
-    than the variable's join spec is missing.
+    A literal has `text`. A token `table.column` between two %% markers has instead its
+    `column`, `own` (read from the traveler), and `name`, under which its value is
+    reported: `column_1` for a traveler column, `column_<connection>` for a looked-up one.
+    A token that names another file than the variable's join spec has no column. Text
+    after an unpaired marker is a literal; NULL is the empty template.
     """
-    column = token_column(token)
-    own = F.element_at(attributes, column)
-    other = F.when(token_table(token) == file, F.element_at(looked_up, column))
-    return resolved(F.when(token_table(token) == "traveler", own).otherwise(other))
+    pieces = F.split(F.coalesce(template, F.lit("")), "%%")
+
+    def part(p: Column, i: Column) -> Column:
+        is_token = (i % 2 == 1) & (i < F.size(pieces) - 1)
+        own = token_table(p) == "traveler"
+        number = F.when(own, F.lit("1")).otherwise(connection.cast("string"))
+        return F.struct(
+            F.when(~is_token, p).alias("text"),
+            F.when(is_token & (own | (token_table(p) == file)), token_column(p)).alias("column"),
+            own.alias("own"),
+            F.when(is_token, F.lower(F.concat_ws("_", token_column(p), number))).alias("name"),
+        )
 
+    return F.transform(pieces, part)
 
-def render(template: Column, value_of: Callable[[Column], Column]) -> Column:
-    """Replace each closed %%token%% by its value, by part position and never by text.
 
-    Text after an unpaired marker is a literal; NULL renders as the empty string.
+def fill(parts: Column, attributes: Column, looked_up: Column) -> Column:
+    """Parts with their values: array of (name, value); a literal has no name.
+
+    `attributes` and `looked_up` are map<string,string>. Values go in by part position, so
+    a token is never touched by the value of another.
     """
-    parts = F.split(F.coalesce(template, F.lit("")), "%%")
-    pieces = F.transform(
-        parts,
-        lambda p, i: F.when((i % 2 == 1) & (i < F.size(parts) - 1), value_of(p)).otherwise(p),
-    )
-    return F.array_join(pieces, "")
+    def value(p: Column) -> Column:
+        found = F.when(p["own"], F.element_at(attributes, p["column"])).otherwise(
+            F.element_at(looked_up, p["column"])
+        )
+        return F.coalesce(p["text"], resolved(found))
+
+    return F.transform(parts, lambda p: F.struct(p["name"].alias("name"), value(p).alias("value")))
+
+
+def text_of(filled: Column) -> Column:
+    return F.array_join(F.transform(filled, lambda p: p["value"]), "")
 
 
 def options(text: Column) -> Column:

@@ -19,14 +19,18 @@ def outer_campaigns(active: DataFrame) -> DataFrame:
 
 def traveler_campaign(traveler_segments: DataFrame, campaigns: DataFrame, **spread) -> DataFrame:
     """Every campaign whose outer segment a traveler is in."""
-    left = traveler_segments.withColumnRenamed("segment_type_id", "campaign_segment_type_id").distinct()
-    return spread_join(left, campaigns, ["campaign_segment_type_id", *POS], **spread)
+    left = traveler_segments.withColumnRenamed("segment_type_id", "campaign_segment_type_id")
+    key = ["campaign_segment_type_id", *POS]
+    return spread_join(left.distinct(), campaigns, key, hot_in=left, **spread)
 
 
 def join_profile(matched: DataFrame, travelers: DataFrame, **spread) -> DataFrame:
     """Attach the profile. Both sides are made distinct first, so the join needs no
-    clean-up shuffle of the wide rows afterwards."""
-    return spread_join(matched.distinct(), travelers.distinct(), TRAVELER_KEY, **spread)
+    clean-up shuffle of the wide rows afterwards. Profiles are the side that is split: a
+    traveler key matches no more rows than there are campaigns and segment sets."""
+    return spread_join(
+        travelers.distinct(), matched.distinct(), TRAVELER_KEY, hot_in=travelers, **spread
+    )
 
 
 def slot_keys(base: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outreach.functions import templates as T
-from outreach.functions.text import spec_file, spec_side, token_column, token_table
+from outreach.functions.text import spec_file, spec_side
 from outreach.operators.allocation import CONTENT_KEY
 from outreach.operators.skew import spread_join
 from outreach.params import POS, SUPPRESSED
@@ -72,6 +72,7 @@ def look_up(
         .join(specs, POS)
         .withColumn("key", _key_values(F.col("attributes"), F.col("left_keys")))
     )
+    # profiles are distinct, and a look-up row is shared by those with the same key values
     return spread_join(wanted, content, [*POS, "spec", "key"], "left", **spread).select(
         *POS, *columns, "attributes", "spec", "file", "looked_up"
     )
@@ -85,40 +86,35 @@ def profile_look_ups(looked_up: DataFrame, columns: list[str]) -> DataFrame:
     return looked_up.groupBy(*POS, *columns).agg(F.map_from_entries(found).alias("look_ups"))
 
 
-def variable_text(variable: Column, attributes: Column, look_ups: Column) -> Column:
-    """Rendered template of one entry of the `variables` array."""
-    row = F.element_at(look_ups, variable["spec"])
-    return T.render(
-        variable["template"],
-        lambda t: T.token_value(t, attributes, variable["file"], row),
+def fill_variables(variables: Column, attributes: Column, look_ups: Column) -> Column:
+    """The `variables` array with values: (position, filled parts)."""
+    return F.transform(
+        variables,
+        lambda v: F.struct(
+            v["position"].alias("position"),
+            T.fill(v["parts"], attributes, F.element_at(look_ups, v["spec"])).alias("filled"),
+        ),
     )
 
 
 def variable_cells(
-    variables: Column,
-    attributes: Column,
-    look_ups: Column,
-    test_key: Column,
-    seed: Column,
-    slot: Column,
-    legacy_null_words: bool = False,
+    filled: Column, test_key: Column, seed: Column, slot: Column, legacy_null_words: bool = False
 ) -> Column:
-    """Array of (position, value, option, failed) for the variables of one module.
+    """Array of (position, value, option, failed) for the filled variables of one module.
 
     The chain of transforms names each intermediate once, so it is evaluated once.
     """
     def is_subject(x: Column) -> Column:
         return (slot == 1) & (x["position"] == 1)
 
-    rendered = F.transform(
-        variables,
+    split = F.transform(
+        filled,
         lambda v: F.struct(
-            v["position"].alias("position"),
-            T.options(variable_text(v, attributes, look_ups)).alias("parts"),
+            v["position"].alias("position"), T.options(T.text_of(v["filled"])).alias("parts")
         ),
     )
     chosen = F.transform(
-        rendered,
+        split,
         lambda x: F.struct(
             x["position"].alias("position"),
             F.get(x["parts"], F.lit(0)).alias("default"),
@@ -148,31 +144,18 @@ def variable_cells(
     )
 
 
-def variable_attributes(variables: Column, attributes: Column, look_ups: Column) -> Column:
-    """Array of (position, name, value) for the resolved tokens of one module's templates.
-
-    A traveler attribute is named `attr_1`, a looked-up one `attr_<connection>`.
-    """
+def variable_attributes(filled: Column) -> Column:
+    """Array of (position, name, value) for the tokens of one module that have a value."""
     def of_variable(v: Column) -> Column:
-        row = F.element_at(look_ups, v["spec"])
-        parts = F.split(F.coalesce(v["template"], F.lit("")), "%%")
-        named = F.transform(
-            parts,
-            lambda p, i: F.when(
-                (i % 2 == 1) & (i < F.size(parts) - 1),
-                F.struct(
-                    v["position"].alias("position"),
-                    F.lower(F.concat_ws(
-                        "_", token_column(p),
-                        F.when(token_table(p) == "traveler", F.lit("1")).otherwise(v["connection"].cast("string")),
-                    )).alias("name"),
-                    T.token_value(p, attributes, v["file"], row).alias("value"),
-                ),
+        tokens = F.filter(v["filled"], lambda p: p["name"].isNotNull() & T.is_attribute(p["value"]))
+        return F.transform(
+            tokens,
+            lambda p: F.struct(
+                v["position"].alias("position"), p["name"].alias("name"), p["value"].alias("value")
             ),
         )
-        return F.filter(named, lambda a: a.isNotNull() & T.is_attribute(a["value"]))
 
-    return F.flatten(F.transform(variables, of_variable))
+    return F.flatten(F.transform(filled, of_variable))
 
 
 def candidate_arrays(allocated: DataFrame, modules: DataFrame, info: DataFrame) -> DataFrame:
@@ -217,21 +200,27 @@ def render_candidates(
     with_values = spread_join(
         content, look_ups, [*POS, *columns], "left", null_safe=True, **spread
     ).withColumn("attributes", attribute_map(columns))
-    attributes = F.col("attributes")
+    traits = ("slot", "priority", "module_id", "module_type_id", "placement_type", "default_flag")
     found = F.coalesce(F.col("look_ups"), F.create_map().cast("map<string,map<string,string>>"))
     with_values = with_values.withColumn("look_ups", found)
     filled = F.transform(
         "candidates",
         lambda c: F.struct(
-            *[c[f].alias(f) for f in ("slot", "priority", "module_id", "module_type_id",
-                                      "placement_type", "default_flag")],
+            *[c[f].alias(f) for f in traits],
+            fill_variables(c["variables"], F.col("attributes"), F.col("look_ups")).alias("filled"),
+        ),
+    )
+    shown = F.transform(
+        filled,
+        lambda c: F.struct(
+            *[c[f].alias(f) for f in traits],
             variable_cells(
-                c["variables"], attributes, F.col("look_ups"), F.col("test_keys"), F.lit(seed),
-                c["slot"], legacy_null_words,
+                c["filled"], F.col("test_keys"), F.lit(seed), c["slot"], legacy_null_words
             ).alias("cells"),
-            variable_attributes(c["variables"], attributes, F.col("look_ups")).alias("attributes"),
+            variable_attributes(c["filled"]).alias("attributes"),
         ),
     )
+
     def unusable(c: Column) -> Column:
         return (
             F.exists(c["cells"], lambda x: x["failed"])
@@ -240,7 +229,7 @@ def render_candidates(
         )
 
     priced = F.transform(
-        filled,
+        shown,
         lambda c: F.struct(
             c["slot"].alias("slot"),
             F.when(unusable(c), SUPPRESSED).otherwise(c["priority"]).alias("priority"),
@@ -249,7 +238,3 @@ def render_candidates(
         ),
     )
     return with_values.withColumn("rendered", priced).drop("candidates", "look_ups", "attributes")
-
-
-def join_spec_files(specs: DataFrame) -> DataFrame:
-    return specs.select(F.col("file").alias("file_name")).distinct()

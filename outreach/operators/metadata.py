@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from outreach.functions.templates import parse
 from outreach.functions.text import (
     is_present,
     spec_columns,
@@ -101,15 +102,14 @@ def module_info(variables: DataFrame) -> DataFrame:
     """One row per module with its variables as an array, in position order.
 
     An array holds the variables of one module, whose number its template positions bound.
-    Join specs are parsed here, once per module and not once per message.
+    Join specs and templates are parsed here, once per module and not once per message.
     """
-    spec = F.col("var_source")
+    spec, connection = F.col("var_source"), F.col("source_connection")
     entry = F.struct(
         F.col("var_position").alias("position"),
-        F.col("source_connection").alias("connection"),
+        connection.alias("connection"),
         spec.alias("spec"),
-        spec_file(spec).alias("file"),
-        F.col("var_structure").alias("template"),
+        parse(F.col("var_structure"), spec_file(spec), connection).alias("parts"),
     )
     return (
         variables.where(F.col("var_position").isNotNull())

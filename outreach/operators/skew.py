@@ -4,44 +4,46 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, StructType
 
 MAX_HOT_KEYS = 1000     # a key outside the 1000 heaviest holds less than 0.1 % of the rows
 HOT_ROWS = 1_000_000    # below this a single task copes
 SALTS = 64
 
 
-def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> DataFrame:
-    """The heaviest keys: at most MAX_HOT_KEYS rows, so the result is safe to broadcast.
+def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> list[Row]:
+    """The heaviest keys, at most MAX_HOT_KEYS of them.
 
-    Counting combines on the map side. Which keys are listed never changes a result, only
-    how evenly the work is spread.
+    One small job over the key columns that combines on the map side. Which keys are
+    listed never changes a result, only how evenly the work is spread.
     """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") >= min_rows)
-        .orderBy(F.desc("_rows"))
-        .limit(MAX_HOT_KEYS)
-        .select(*keys)
-    )
-
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    heavy = counts.where(F.col("_rows") >= min_rows).orderBy(F.desc("_rows"))
+    return heavy.select(*keys).limit(MAX_HOT_KEYS).collect()
 
-def _match(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool = True) -> Column:
-    def same(k: str) -> Column:
-        return left[k].eqNullSafe(right[f"_r_{k}"]) if null_safe else left[k] == right[f"_r_{k}"]
 
-    return reduce(lambda a, b: a & b, [same(k) for k in keys])
+def row_hash(df: DataFrame) -> Column:
+    """Hash of a row's plain columns: the same on a retried task, unlike a random number."""
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+    return F.xxhash64(*plain)
 
 
 def _renamed(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumnsRenamed({k: f"_r_{k}" for k in keys})
 
 
+def _match(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool) -> Column:
+    def same(k: str) -> Column:
+        return left[k].eqNullSafe(right[f"_r_{k}"]) if null_safe else left[k] == right[f"_r_{k}"]
+
+    return reduce(lambda a, b: a & b, [same(k) for k in keys])
+
+
 def _mark(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
     marks = F.broadcast(_renamed(hot, keys).withColumn("_hot", F.lit(True)))
-    return df.join(marks, _match(df, marks, keys), "left").drop(*[f"_r_{k}" for k in keys])
+    return df.join(marks, _match(df, marks, keys, True), "left").drop(*[f"_r_{k}" for k in keys])
 
 
 def spread_join(
@@ -50,26 +52,31 @@ def spread_join(
     on: list[str],
     how: str = "inner",
     *,
-    hot: DataFrame | None = None,
+    hot_in: DataFrame | None = None,
     null_safe: bool = False,
     min_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Equi join (inner, left, left_semi, left_anti) whose hot left keys are split.
 
-    Rows of a hot key go to one of `salts` sub-keys by a hash of the whole row, which is
-    the same on a retried task, and the right rows of those keys are repeated once per
-    sub-key. Pass `hot` to list the hot keys from a cheaper frame than `left`.
+    Without hot keys this is the plain join and Spark picks its strategy. Otherwise the
+    rows of a hot key go to one of `salts` sub-keys, and the right rows of those keys are
+    repeated once per sub-key. The right side should hold few rows per key. Pass `hot_in`
+    to look for hot keys in a cheaper frame than `left`.
     """
-    if hot is None:
-        hot = hot_keys(left, on, min_rows)
-    salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    hot_rows = hot_keys(left if hot_in is None else hot_in, on, min_rows)
+    drop = [f"_r_{k}" for k in on]
+    if not hot_rows:
+        r = _renamed(right, on)
+        return left.join(r, _match(left, r, on, null_safe), how).drop(*drop)
+    schema = StructType([left.schema[k] for k in on])
+    hot = left.sparkSession.createDataFrame(hot_rows, schema)
+    salt = F.pmod(row_hash(left), F.lit(salts)).cast("int")
     l = _mark(left, hot, on).withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0)).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    r = _mark(right, hot, on).withColumn("_r_salt", F.explode(copies)).drop("_hot")
-    r = _renamed(r, on)
+    r = _renamed(_mark(right, hot, on).withColumn("_r_salt", F.explode(copies)).drop("_hot"), on)
     cond = _match(l, r, on, null_safe) & (l["_salt"] == r["_r_salt"])
-    return l.join(r, cond, how).drop("_salt", "_r_salt", *[f"_r_{k}" for k in on])
+    return l.join(r, cond, how).drop("_salt", "_r_salt", *drop)
 
 
 def group_heads(df: DataFrame, group: list[str], order: list, limit: DataFrame, by: list[str]) -> DataFrame:
@@ -79,7 +86,7 @@ def group_heads(df: DataFrame, group: list[str], order: list, limit: DataFrame,
     sub-groups first; only those within n_max there can be within n_max of the whole group,
     so the final numbering sees SALTS * n_max rows of a group at the most.
     """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))
+    salt = F.pmod(row_hash(df), F.lit(SALTS))
     local = df.join(limit, by).withColumn("_sub", salt)
     local = local.withColumn("n", F.row_number().over(Window.partitionBy(*group, "_sub").orderBy(*order)))
     kept = local.where(F.col("n") <= F.col("n_max")).drop("_sub")

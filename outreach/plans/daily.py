@@ -48,8 +48,13 @@ class Inputs:
 
 
 class Decisions:
-    """Who gets which content. Frames are built on demand and nothing runs before a read,
-    except that `rows`, which arbitration reads twice, is staged once."""
+    """Who gets which content, frame by frame and on demand.
+
+    Frames with several readers are staged: the metadata, the base of travelers and
+    campaigns, the allocation, and the rows that arbitration reads twice. So are the two
+    small tables rendering reads, candidates and look-ups. The frame between them that is
+    as large as the audience, rendered content, is never written.
+    """
 
     def __init__(self, inputs: Inputs, run: RunParams):
         self.inputs = inputs
@@ -76,7 +81,9 @@ class Decisions:
     @cached_property
     def metadata(self) -> DataFrame:
         i = self.inputs
-        return M.campaign_metadata(self.campaigns, self.templates, i.seg_map, i.modules, i.segments)
+        return stage(
+            M.campaign_metadata(self.campaigns, self.templates, i.seg_map, i.modules, i.segments)
+        )
 
     @cached_property
     def active(self) -> DataFrame:
@@ -102,7 +109,7 @@ class Decisions:
         rows = A.join_profile(self.matched, self.travelers)
         if self.run.is_live_test:
             rows = P.stratified_sample(rows, "test_keys", ["email_address", *self.inputs.tie_break])
-        return rows
+        return stage(rows)
 
     @cached_property
     def candidates(self) -> DataFrame:
@@ -111,7 +118,7 @@ class Decisions:
 
     @cached_property
     def allocated(self) -> DataFrame:
-        return A.allocate_modules(A.slot_keys(self.base), self.candidates, self.run.seed)
+        return stage(A.allocate_modules(A.slot_keys(self.base), self.candidates, self.run.seed))
 
     @cached_property
     def placed_tests(self) -> DataFrame:
@@ -130,18 +137,24 @@ class Decisions:
         columns = self.inputs.columns
         specs = C.distinct_specs(self.variables)
         found = C.look_up(self.base, columns, specs, self.inputs.files)
-        return C.profile_look_ups(found, columns)
+        return stage(C.profile_look_ups(found, columns))
+
+    @cached_property
+    def offers(self) -> DataFrame:
+        """Candidate modules per campaign, test key and segment set."""
+        return stage(C.candidate_arrays(self.tested, self.inputs.modules, self.info))
 
     @cached_property
     def offered(self) -> DataFrame:
         """Distinct content with its candidate modules."""
         content = C.distinct_content(self.base, self.inputs.columns)
-        arrays = C.candidate_arrays(self.tested, self.inputs.modules, self.info)
-        return C.content_with_candidates(content, arrays)
+        return C.content_with_candidates(content, self.offers, hot_in=self.base)
 
     @cached_property
     def rendered(self) -> DataFrame:
-        return C.render_candidates(self.offered, self.look_ups, self.inputs.columns, self.run.seed)
+        return C.render_candidates(
+            self.offered, self.look_ups, self.inputs.columns, self.run.seed, hot_in=self.base
+        )
 
     @cached_property
     def picked(self) -> DataFrame:

@@ -21,6 +21,7 @@ RUN = RunParams(run_date=dt.date(2001, 8, 1))
 MODULE_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 MARKET_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 PLACEMENTS = ["subject", "hero", "banner", "body"]
+CHANNELS = ["email", "app", "web", "push", "sms"]
 TEMPLATES = [
     "Hello",
     "def|In %%traveler.city%%",
@@ -46,6 +47,14 @@ def _pick(index: Column, names: list[str | None]) -> Column:
     return F.get(F.array(*[F.lit(n).cast("string") for n in names]), index)
 
 
+def _test(test_id: int, kind: str, segment: int, module_type: Column, arm: Column) -> Column:
+    return F.struct(
+        F.lit(test_id).alias("test_id"), F.lit(kind).alias("test_type"),
+        F.lit(segment).alias("segment_type_id"), module_type.alias("module_type_id"),
+        arm.alias("control_test_flag"),
+    )
+
+
 class Domain:
     """Lazily built domain tables over one scale-factor folder."""
 
@@ -151,31 +160,37 @@ class Domain:
         )
 
     @cached_property
-    def module(self) -> DataFrame:
-        p = self.raw("part")
-        key = F.col("p_partkey").cast("int")
+    def parts(self) -> DataFrame:
         kind = _numbered(F.col("p_type"), MODULE_TYPES, 1)
-        brand = F.substring_index("p_brand", "#", -1).cast("int")
-        site = p.select(
-            key.alias("module_id"),
+        return self.raw("part").select(
+            F.col("p_partkey").cast("int").alias("module_id"), kind.alias("module_type_id"),
+            F.col("p_size").alias("size"), F.col("p_type").alias("module_type"),
+            F.substring_index("p_brand", "#", -1).cast("int").alias("brand"),
+        )
+
+    @cached_property
+    def module(self) -> DataFrame:
+        key, kind = F.col("module_id"), F.col("module_type_id")
+        site = self.parts.select(
+            key,
             (key % 5).alias("tpid"),
-            F.floor(key / 5).cast("int").alias("_e"),
-            kind.alias("module_type_id"),
+            (F.floor(key / 5).cast("int") % 2).alias("eapid"),
+            kind,
             _pick(kind % 4, PLACEMENTS).alias("placement_type"),
-            F.when(brand % 5 < 3, "email").otherwise("app").alias("channel"),
+            _pick(F.col("brand") % 5, CHANNELS).alias("channel"),
             _pick(key % 10, ["active published"] * 8 + ["draft", "test published"]).alias("status"),
-            (F.col("p_size") % 5 + 1).alias("version"),
-            F.col("p_type").alias("module_type"),
+            (F.col("size") % 5 + 1).alias("version"),
+            "module_type",
             (key % 2).alias("default_flag"),
-            F.col("p_size").alias("size"),
-        ).withColumn("eapid", F.col("_e") % 2).drop("_e")
+            "size",
+        )
         return site.join(self.pos, ["tpid", "eapid"])
 
     @cached_property
     def segment_module_map(self) -> DataFrame:
         kind, seg = F.col("module_type_id"), F.col("segment_type_id")
         return (
-            self.module.select(kind, (F.col("size") % 7 + 1).alias("segment_type_id")).distinct()
+            self.parts.select(kind, (F.col("size") % 7 + 1).alias("segment_type_id")).distinct()
             .withColumn("segment_module_map_id", kind * 10 + seg)
             .withColumn("module_priority_in_slot", seg * 10 + kind)
             .withColumn("seg_mod_deleted_flag", ((kind * 10 + seg) % 11 == 0).cast("int"))
@@ -194,7 +209,7 @@ class Domain:
             .select(
                 "template_id", map_id, slot,
                 _pick(kind % 4, PLACEMENTS).alias("placement_type"),
-                F.when(F.col("template_id") % 4 == 0, "app").otherwise("email").alias("channel"),
+                _pick(F.col("template_id") % 5, CHANNELS).alias("channel"),
                 ((F.col("template_id") * 3 + map_id) % 13 == 0).cast("int").alias("template_deleted_flag"),
             )
         )
@@ -348,20 +363,13 @@ class Domain:
             .groupBy(*POS, "module_type_id")
             .agg(F.min("module_id").alias("_low"), F.max("module_id").alias("_high"))
         )
-        def test(test_id: int, kind: str, segment: int, types: list[int]) -> DataFrame:
-            arm = F.col("test_keys") % (3 if kind == "module version" else 2)
-            types_of_arm = _pick(arm, [str(t) for t in types]).cast("int")
-            return keys.select(
-                *POS, "test_keys", F.lit(test_id).alias("test_id"), F.lit(kind).alias("test_type"),
-                F.lit(segment).alias("segment_type_id"), types_of_arm.alias("module_type_id"),
-                arm.alias("control_test_flag"),
-            )
-
-        rows = (
-            test(1, "module version", 1, [1, 1, 1])
-            .unionByName(test(2, "module version", 6, [2, 2, 2]))
-            .unionByName(test(11, "module type", 6, [5, 1]))
+        key = F.col("test_keys")
+        tests = F.array(
+            _test(1, "module version", 1, F.lit(1), key % 3),
+            _test(2, "module version", 6, F.lit(2), key % 3),
+            _test(11, "module type", 6, F.when(key % 2 == 0, 5).otherwise(1), key % 2),
         )
+        rows = keys.select(*POS, "test_keys", F.inline(tests))
         arm = F.col("control_test_flag")
         version = F.col("test_type") == "module version"
         return rows.join(tested, [*POS, "module_type_id"], "left").select(

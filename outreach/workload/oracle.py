@@ -77,7 +77,8 @@ SELECT m.*, locale FROM (
   SELECT CAST(p_partkey AS INT) AS module_id, CAST(p_partkey % 5 AS INT) AS tpid,
          CAST(p_partkey // 5 % 2 AS INT) AS eapid, kind AS module_type_id,
          CASE kind % 4 WHEN 0 THEN 'subject' WHEN 1 THEN 'hero' WHEN 2 THEN 'banner' ELSE 'body' END AS placement_type,
-         CASE WHEN CAST(replace(p_brand, 'Brand#', '') AS INT) % 5 < 3 THEN 'email' ELSE 'app' END AS channel,
+         CASE CAST(replace(p_brand, 'Brand#', '') AS INT) % 5 WHEN 0 THEN 'email' WHEN 1 THEN 'app' WHEN 2 THEN 'web'
+              WHEN 3 THEN 'push' ELSE 'sms' END AS channel,
          CASE p_partkey % 10 WHEN 9 THEN 'test published' WHEN 8 THEN 'draft' ELSE 'active published' END AS status,
          p_size % 5 + 1 AS version, p_type AS module_type, CAST(p_partkey % 2 AS INT) AS default_flag, p_size AS size
   FROM (SELECT *, CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'MEDIUM' THEN 3
@@ -93,7 +94,7 @@ FROM (SELECT DISTINCT module_type_id, size % 7 + 1 AS seg FROM module)"""
 VIEWS["template"] = """
 SELECT CAST(t AS INT) AS template_id, segment_module_map_id, module_type_id % 4 + 1 + step AS slot_position,
        CASE module_type_id % 4 WHEN 0 THEN 'subject' WHEN 1 THEN 'hero' WHEN 2 THEN 'banner' ELSE 'body' END AS placement_type,
-       CASE WHEN t % 4 = 0 THEN 'app' ELSE 'email' END AS channel,
+       CASE t % 5 WHEN 0 THEN 'email' WHEN 1 THEN 'app' WHEN 2 THEN 'web' WHEN 3 THEN 'push' ELSE 'sms' END AS channel,
        CASE WHEN (t * 3 + segment_module_map_id) % 13 = 0 THEN 1 ELSE 0 END AS template_deleted_flag
 FROM segment_module_map CROSS JOIN (SELECT unnest(range(1, 11)) AS t) CROSS JOIN (SELECT unnest([0, 1]) AS step)
 WHERE step = 0 OR (module_type_id % 2 = 0 AND module_type_id % 4 + 1 < 4)"""
@@ -358,12 +359,13 @@ FROM (SELECT *, {_UNRESOLVED.format('value')} AS failed FROM (
     LEFT JOIN content l ON l.city = c.city AND l.tpid = c.tpid AND l.eapid = c.eapid)))))"""
 
 VIEWS["offer"] = f"""
-SELECT {_CONTENT}, priority, slot, module_id, module_type_id, own_priority, placement_type, default_flag,
-       CASE WHEN bool_or(failed) AND placement_type IN ('hero', 'banner') AND default_flag = 0
-            THEN 9999 ELSE own_priority END AS eff,
-       string_agg(concat('#S', slot, '_P', pos, '.', att), '' ORDER BY pos) AS att_option,
-       max(CASE WHEN pos = 1 THEN value END) AS first_value
-FROM cell GROUP BY ALL"""
+SELECT * EXCLUDE (any_failed), CASE WHEN any_failed AND placement_type IN ('hero', 'banner') AND default_flag = 0
+                               THEN 9999 ELSE own_priority END AS eff
+FROM (SELECT {_CONTENT}, priority, slot, module_id, module_type_id, own_priority, placement_type, default_flag,
+             bool_or(failed) AS any_failed,
+             string_agg(concat('#S', slot, '_P', pos, '.', att), '' ORDER BY pos) AS att_option,
+             max(CASE WHEN pos = 1 THEN value END) AS first_value
+      FROM cell GROUP BY {_CONTENT}, priority, slot, module_id, module_type_id, own_priority, placement_type, default_flag)"""
 
 
 def _slot(n: int) -> str:
@@ -375,9 +377,9 @@ def _slot(n: int) -> str:
     return f"""
 SELECT * EXCLUDE (n), CASE WHEN spent AND placement_type = 'banner' THEN 999 ELSE raw_id END AS module_id,
        CASE WHEN spent AND placement_type = 'hero' THEN 9999 ELSE priority END AS slot_priority
-FROM (SELECT o.* EXCLUDE (module_id), o.module_id AS raw_id, eff = 9999 AND default_flag = 0 AS spent,
+FROM (SELECT o.* EXCLUDE (module_id), o.module_id AS raw_id, o.eff = 9999 AND o.default_flag = 0 AS spent,
         row_number() OVER (PARTITION BY o.city, o.mktsegment, o.campaign_id, o.test_keys, o.segment_set
-                           ORDER BY eff, o.module_id, o.module_type_id) AS n
+                           ORDER BY o.eff, o.module_id, o.module_type_id) AS n
       FROM (SELECT * FROM offer WHERE slot = {n}) o {joins} WHERE {used}) WHERE n = 1"""
 
 
@@ -628,7 +630,8 @@ _SQL["missing_files"] = """
 SELECT DISTINCT 'content' AS file_name FROM module_variable
 WHERE contains(var_structure, '%%content.') AND 'content' NOT IN (SELECT lower(r_name) FROM region)"""
 _SQL["module_info"] = """
-SELECT module_id, var_position AS position, source_connection AS connection, 'content' AS file, var_structure AS template
+SELECT module_id, var_position AS position, source_connection AS connection, 'traveler.city|content.city' AS spec,
+       CAST((length(coalesce(var_structure, '')) - length(replace(coalesce(var_structure, ''), '%%', ''))) // 4 AS INT) AS n_tokens
 FROM module_variable"""
 
 _ALLOC = f"SELECT {_CKEY}, slot_position, module_type_id, module_priority_in_slot, module_id FROM"

@@ -13,7 +13,7 @@ from outreach.functions import text as X
 from outreach.operators import allocation, arbitration, checks, content, eligibility, enrichment
 from outreach.operators import experiments, metadata, sampling, slots
 from outreach.operators.skew import consecutive_ids
-from outreach.params import NOT_FOUND, POS
+from outreach.params import POS
 from outreach.plans.daily import Decisions, Inputs
 from outreach.sources import runs, sinks, tables
 from outreach.sources.staging import stage, stage_path
@@ -519,7 +519,8 @@ def missing_files(d):
 def module_info(d):
     info = metadata.module_info(metadata.backfill_source(d.module_variable))
     return info.select("module_id", F.explode("variables").alias("v")).select(
-        "module_id", "v.position", "v.connection", "v.file", "v.template"
+        "module_id", "v.position", "v.connection", "v.spec",
+        F.size(F.filter("v.parts", lambda p: p["column"].isNotNull())).alias("n_tokens"),
     )
 
 
@@ -593,11 +594,21 @@ def _looked_up(d):
     return content.look_up(d.traveler, CONTENT_COLUMNS, specs, {"content": d.content})
 
 
-def _profile_variables(d):
-    """Each distinct profile with the variables of its point of sale and look-ups."""
+def _profile_texts(d):
+    """Each distinct profile with the rendered variables of its point of sale."""
     profiles = content.profile_look_ups(_looked_up(d), CONTENT_COLUMNS)
-    info = metadata.module_info(d.variables).select(*POS, "module_id", F.explode("variables").alias("v"))
-    return profiles.withColumn("attributes", content.attribute_map(CONTENT_COLUMNS)).join(info, POS)
+    filled = content.fill_variables(
+        F.col("variables"), content.attribute_map(CONTENT_COLUMNS), F.col("look_ups")
+    )
+    info = metadata.module_info(d.variables)
+    return (
+        profiles.join(info, POS)
+        .select(*CONTENT_COLUMNS, "module_id", F.explode(filled).alias("v"))
+        .select(
+            *CONTENT_COLUMNS, "module_id", F.col("v.position").alias("var_position"),
+            T.text_of(F.col("v.filled")).alias("text"),
+        )
+    )
 
 
 @query
@@ -609,10 +620,7 @@ def content_lookup(d):
 
 @query
 def render_template(d):
-    text = content.variable_text(F.col("v"), F.col("attributes"), F.col("look_ups"))
-    return _profile_variables(d).select(
-        *CONTENT_COLUMNS, "module_id", F.col("v.position").alias("var_position"), text.alias("text")
-    )
+    return _profile_texts(d)
 
 
 @query
@@ -630,13 +638,12 @@ def rotate_option(d):
 
 @query
 def content_fallback(d):
-    text = content.variable_text(F.col("v"), F.col("attributes"), F.col("look_ups"))
-    return _profile_variables(d).withColumn("text", text).select(
-        *CONTENT_COLUMNS, "module_id", F.col("v.position").alias("var_position"),
-        T.is_unresolved(F.col("text")).alias("unresolved"),
-        T.is_unresolved(F.col("text"), legacy_null_words=True).alias("unresolved_legacy"),
-        F.when(T.is_unresolved(F.col("text")), F.get(T.options(F.col("text")), F.lit(0)))
-        .otherwise(F.col("text")).alias("shown"),
+    text = F.col("text")
+    return _profile_texts(d).select(
+        *CONTENT_COLUMNS, "module_id", "var_position",
+        T.is_unresolved(text).alias("unresolved"),
+        T.is_unresolved(text, legacy_null_words=True).alias("unresolved_legacy"),
+        F.when(T.is_unresolved(text), F.get(T.options(text), F.lit(0))).otherwise(text).alias("shown"),
     )
 
 
