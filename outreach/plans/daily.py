@@ -50,10 +50,10 @@ class Inputs:
 class Decisions:
     """Who gets which content, frame by frame and on demand.
 
-    Frames with several readers are staged: the metadata, the base of travelers and
-    campaigns, the allocation, and the rows that arbitration reads twice. So are the two
-    small tables rendering reads, candidates and look-ups. The frame between them that is
-    as large as the audience, rendered content, is never written.
+    Frames with several readers are staged: campaigns, metadata and module variables, the
+    base of travelers and campaigns, the allocation, and the rows that arbitration reads
+    twice. So are the two small tables rendering reads, candidates and look-ups. Rendered
+    content, the widest frame, is never written.
     """
 
     def __init__(self, inputs: Inputs, run: RunParams):
@@ -67,7 +67,8 @@ class Decisions:
             self.run.loyalty_program if self.run.program == "loyalty" else None,
             self.run.campaign_id if self.run.test_type == "MANUAL" else None,
         )
-        return E.demote_dead(E.drop_manual_launches(live, self.inputs.manual), self.inputs.segments)
+        left = E.drop_manual_launches(live, self.inputs.manual)
+        return stage(E.demote_dead(left, self.inputs.segments))
 
     @cached_property
     def templates(self) -> DataFrame:
@@ -91,7 +92,7 @@ class Decisions:
 
     @cached_property
     def info(self) -> DataFrame:
-        return M.module_info(self.variables)
+        return stage(M.module_info(self.variables))
 
     @cached_property
     def travelers(self) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outreach.params import POS, RunParams
+from outreach.sources.staging import stage
 from outreach.sources.tables import TableSource, read_table
 
 RUN = RunParams(run_date=dt.date(2001, 8, 1))
@@ -372,10 +373,11 @@ class Domain:
         rows = keys.select(*POS, "test_keys", F.inline(tests))
         arm = F.col("control_test_flag")
         version = F.col("test_type") == "module version"
-        return rows.join(tested, [*POS, "module_type_id"], "left").select(
+        placed = rows.join(tested, [*POS, "module_type_id"], "left").select(
             "test_id", "test_type", *POS, "test_keys", "segment_type_id", "module_type_id",
             (F.col("module_type_id") * 10 + F.col("segment_type_id")).alias("segment_module_map_id"),
             F.when(version & (arm == 1), F.col("_low")).when(version & (arm == 2), F.col("_high")).alias("module_id"),
             arm.alias("control_test_flag"),
             F.when(arm == 0, "control").otherwise("treatment").alias("t_c_flag"),
         )
+        return stage(placed)  # read several times, as the table it stands for would be
