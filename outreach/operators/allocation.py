@@ -47,26 +47,32 @@ def segment_member(keys: DataFrame, inner: DataFrame) -> DataFrame:
 
 
 def slot_candidates(ranked: DataFrame) -> DataFrame:
-    """One module per campaign, inner segment, slot, type, priority and version; the
-    smallest id if several share them."""
-    return ranked.groupBy(
+    """Per campaign, inner segment, slot, type and priority: version rank -> module, the
+    smallest module id if several share a version. The versions of a type bound the map."""
+    key = [
         "campaign_id", *POS, "segment_type_id", "slot_position", "module_type_id",
-        "module_priority_in_slot", "placement_type", "version_rank", "ttl_versions",
-    ).agg(F.min("module_id").alias("module_id"))
+        "module_priority_in_slot", "placement_type", "ttl_versions",
+    ]
+    versions = F.collect_list(F.struct("version_rank", "module_id"))
+    return (
+        ranked.groupBy(*key, "version_rank").agg(F.min("module_id").alias("module_id"))
+        .groupBy(*key).agg(F.map_from_entries(versions).alias("versions"))
+    )
 
 
 def allocate_modules(keys: DataFrame, candidates: DataFrame, seed: int) -> DataFrame:
     """The version due today for each slot and module type.
 
     `(test_key + seed % n) % n + 1` picks among n versions, so neighbouring test keys see
-    different versions and every key moves on daily. Types stay side by side in a slot,
-    one module per (type, priority).
+    different versions and every key moves on daily; a version the slot lacks passes the
+    type over. Types stay side by side in a slot, one module per (type, priority).
     """
     n = F.col("ttl_versions")
     due = (F.col("test_keys") + F.lit(seed) % n) % n + 1
     return (
         segment_member(keys, candidates)
-        .where(F.col("version_rank") == due)
+        .withColumn("module_id", F.element_at("versions", due))
+        .where(F.col("module_id").isNotNull())
         .groupBy(
             *CONTENT_KEY, "campaign_segment_type_id", *POS, "slot_position", "module_type_id",
             "module_priority_in_slot",

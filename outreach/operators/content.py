@@ -69,7 +69,7 @@ def look_up(
     wanted = (
         profiles.select(*POS, *columns).distinct()
         .withColumn("attributes", attribute_map(columns))
-        .join(specs, POS)
+        .join(specs, POS, "left")
         .withColumn("key", _key_values(F.col("attributes"), F.col("left_keys")))
     )
     # profiles are distinct, and a look-up row is shared by those with the same key values
@@ -79,11 +79,17 @@ def look_up(
 
 
 def profile_look_ups(looked_up: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per profile with spec -> looked-up row; the specs bound the map."""
+    """One row per profile: its attributes, and spec -> looked-up row; the specs bound the map.
+
+    The attribute map is carried along, so that rendering reads it and does not build it
+    once per template part.
+    """
     found = F.filter(
         F.collect_list(F.struct("spec", "looked_up")), lambda e: e["looked_up"].isNotNull()
     )
-    return looked_up.groupBy(*POS, *columns).agg(F.map_from_entries(found).alias("look_ups"))
+    return looked_up.groupBy(*POS, *columns).agg(
+        F.any_value("attributes").alias("attributes"), F.map_from_entries(found).alias("look_ups")
+    )
 
 
 def fill_variables(variables: Column, attributes: Column, look_ups: Column) -> Column:
@@ -197,12 +203,8 @@ def render_candidates(
     Content that fails in a hero or banner without default sends the module to 9999.
     Rendering stays inside the row: no explode, no regrouping.
     """
-    with_values = spread_join(
-        content, look_ups, [*POS, *columns], "left", null_safe=True, **spread
-    ).withColumn("attributes", attribute_map(columns))
+    with_values = spread_join(content, look_ups, [*POS, *columns], null_safe=True, **spread)
     traits = ("slot", "priority", "module_id", "module_type_id", "placement_type", "default_flag")
-    found = F.coalesce(F.col("look_ups"), F.create_map().cast("map<string,map<string,string>>"))
-    with_values = with_values.withColumn("look_ups", found)
     filled = F.transform(
         "candidates",
         lambda c: F.struct(

@@ -9,6 +9,7 @@ from outreach.params import ALL_USED, DEFAULT_TEXT, EMPTY_MODULE, NO_CANDIDATE,
 
 CELL = "array<struct<position:int,value:string,option:string,failed:boolean>>"
 ATTRIBUTE = "array<struct<position:int,name:string,value:string>>"
+SHOWN = "array<struct<name:string,slot:int,position:int,value:string>>"
 PICK = (
     "struct<slot:int,module_id:int,module_type_id:int,priority:int,fill_reason:string,"
     f"campaign_priority:int,cells:{CELL},attributes:{ATTRIBUTE}>"
@@ -61,33 +62,29 @@ def slot_winners(rendered: Column, slots: Column, campaign_priority: Column) ->
     """One pick per slot, in slot order, no module twice.
 
     A fold over the candidates sorted by (slot, priority, module): the first one whose
-    slot is open and whose module is unused wins. Slots left open become module 999.
+    slot is open and whose module is unused wins. Slots left open become module 999, with
+    the reason. The fill-in is the fold's last step, so the fold is evaluated once.
     """
-    def module_of(p: Column) -> Column:
-        return p["module_id"]
-
     def step(picks: Column, c: Column) -> Column:
         open_slot = ~F.exists(picks, lambda p: p["slot"] == c["slot"])
-        unused = ~F.exists(picks, lambda p: module_of(p) == c["module_id"])
-        return F.when(open_slot & unused, F.concat(picks, F.array(_pick(c, campaign_priority)))).otherwise(picks)
-
-    ordered = F.array_sort(rendered)
-    picks = F.aggregate(ordered, F.array().cast(f"array<{PICK}>"), step)
-    return picks
+        unused = ~F.exists(picks, lambda p: p["module_id"] == c["module_id"])
+        return F.when(
+            open_slot & unused, F.concat(picks, F.array(_pick(c, campaign_priority)))
+        ).otherwise(picks)
 
-
-def fill_slots(picks: Column, rendered: Column, slots: Column, campaign_priority: Column) -> Column:
-    """Add a 999 pick for each open slot, with the reason it stayed open."""
     def reason(s: Column) -> Column:
         return F.when(F.exists(rendered, lambda c: c["slot"] == s), ALL_USED).otherwise(NO_CANDIDATE)
 
-    return F.transform(
-        slots,
-        lambda s: F.coalesce(
-            F.get(F.filter(picks, lambda p: p["slot"] == s), F.lit(0)),
-            _empty_pick(s, reason(s), campaign_priority),
-        ),
-    )
+    def fill(picks: Column) -> Column:
+        return F.transform(
+            slots,
+            lambda s: F.coalesce(
+                F.get(F.filter(picks, lambda p: p["slot"] == s), F.lit(0)),
+                _empty_pick(s, reason(s), campaign_priority),
+            ),
+        )
+
+    return F.aggregate(F.array_sort(rendered), F.array().cast(f"array<{PICK}>"), step, fill)
 
 
 def pick_slots(content: DataFrame, slots: DataFrame) -> DataFrame:
@@ -95,15 +92,11 @@ def pick_slots(content: DataFrame, slots: DataFrame) -> DataFrame:
 
     `slots` is the one-row frame of `metadata.slot_list`.
     """
-    priority = F.col("priority")
-    chosen = content.withColumn("_slots", slots.select("slots").scalar()).withColumn(
-        "_picks", slot_winners(F.col("rendered"), F.col("_slots"), priority)
-    )
-    filled = chosen.withColumn(
-        "picks", fill_slots(F.col("_picks"), F.col("rendered"), F.col("_slots"), priority)
+    filled = content.withColumn("_slots", slots.select("slots").scalar()).withColumn(
+        "picks", slot_winners(F.col("rendered"), F.col("_slots"), F.col("priority"))
     )
     worst = F.array_max(F.transform("picks", lambda p: p["campaign_priority"]))
-    return filled.withColumn("campaign_priority", worst).drop("_picks", "_slots", "rendered")
+    return filled.withColumn("campaign_priority", worst).drop("rendered", "_slots")
 
 
 def module_code(picks: Column) -> Column:
@@ -150,18 +143,12 @@ def dynamic_content(picks: Column) -> Column:
             ),
         )
     )
-    ordered = F.array_sort(shown)
-    last = F.filter(
-        F.transform(
-            ordered,
-            lambda a, i: F.struct(
-                a["name"].alias("key"), a["value"].alias("value"),
-                F.coalesce(F.get(ordered, i + 1)["name"] == a["name"], F.lit(False)).alias("_again"),
-            ),
-        ),
-        lambda a: ~a["_again"],
-    )
-    entries = F.transform(last, lambda a: F.struct(a["key"].alias("key"), a["value"].alias("value")))
+    def keep_last(kept: Column, a: Column) -> Column:
+        again = F.coalesce(F.get(kept, F.size(kept) - 1)["name"] == a["name"], F.lit(False))
+        return F.concat(F.when(again, F.slice(kept, 1, F.size(kept) - 1)).otherwise(kept), F.array(a))
+
+    last = F.aggregate(F.array_sort(shown), F.array().cast(SHOWN), keep_last)
+    entries = F.transform(last, lambda a: F.struct(a["name"].alias("key"), a["value"].alias("value")))
     return F.to_json(F.map_from_entries(entries))
 
 

@@ -20,7 +20,7 @@ from outreach.operators import experiments as X
 from outreach.operators import metadata as M
 from outreach.operators import sampling as P
 from outreach.operators import slots as S
-from outreach.operators.skew import consecutive_ids
+from outreach.operators.skew import consecutive_ids, spread_join
 from outreach.params import POS, RunParams
 from outreach.sources import sinks as W
 from outreach.sources.staging import stage
@@ -223,7 +223,7 @@ def deliver(decisions: Decisions, d: Delivery) -> DataFrame:
     rows = N.add_recipient_id(ready, run.home_brand)
     tags = X.test_tag(numbered, decisions.placed_tests, decisions.active)
     rows = (
-        rows.join(tags, [*POS, "test_keys", "module_code"], "left")
+        spread_join(rows, tags, [*POS, "test_keys", "module_code"], "left", hot_in=numbered)
         .withColumn("recipient_id", rewrite_tag(F.col("recipient_id"), F.col("test_tag")))
         .drop("test_tag")
     )

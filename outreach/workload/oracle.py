@@ -658,18 +658,13 @@ FROM (SELECT DISTINCT tpid, eapid, locale, city, mktsegment FROM traveler) t
 LEFT JOIN content l ON l.city = t.city AND l.tpid = t.tpid AND l.eapid = t.eapid"""
 VIEWS["rendered"] = f"""
 SELECT t.city, t.mktsegment, v.module_id, v.var_position, {_FILL.format('t')} AS text
-FROM (SELECT DISTINCT tpid, eapid, locale, city, mktsegment FROM traveler) t
-JOIN module_variable v ON v.tpid = t.tpid AND v.eapid = t.eapid
+FROM (SELECT DISTINCT tpid, eapid, locale, city, mktsegment, module_id FROM candidate) t
+JOIN module_variable v ON v.module_id = t.module_id
 LEFT JOIN content l ON l.city = t.city AND l.tpid = t.tpid AND l.eapid = t.eapid"""
 _NAMES = re.compile(r"\b(" + "|".join(sorted(VIEWS, key=len, reverse=True)) + r")\b")
 _SQL["render_template"] = "SELECT city, mktsegment, module_id, var_position, text FROM rendered"
-_SQL["rotate_option"] = f"""
-SELECT module_id, var_position, CASE WHEN k = 1 THEN 'None' WHEN k = 2 THEN parts[2]
-         ELSE parts[2 + (test_keys + {SEED} % (k - 1)) % (k - 1)] END AS shown,
-       count(*) AS n_keys, min(test_keys) AS first_key
-FROM (SELECT v.*, string_split(coalesce(var_structure, ''), '|') AS parts, len(string_split(coalesce(var_structure, ''), '|')) AS k
-      FROM module_variable v) v
-JOIN (SELECT DISTINCT tpid, eapid, test_keys FROM traveler) USING (tpid, eapid) GROUP BY ALL"""
+_SQL["rotate_option"] = """
+SELECT module_id, pos AS var_position, att AS option, count(*) AS n_shown, min(value) AS first_value FROM cell GROUP BY ALL"""
 _SQL["content_fallback"] = f"""
 SELECT city, mktsegment, module_id, var_position, {_UNRESOLVED.format('text')} AS unresolved,
        contains(lower(text), 'value_not_found') OR lower(text) = 'none' OR contains(lower(text), 'nan')

@@ -12,7 +12,7 @@ from outreach.functions import templates as T
 from outreach.functions import text as X
 from outreach.operators import allocation, arbitration, checks, content, eligibility, enrichment
 from outreach.operators import experiments, metadata, sampling, slots
-from outreach.operators.skew import consecutive_ids
+from outreach.operators.skew import consecutive_ids, spread_join
 from outreach.params import POS
 from outreach.plans.daily import Decisions, Inputs
 from outreach.sources import runs, sinks, tables
@@ -594,15 +594,14 @@ def _looked_up(d):
     return content.look_up(d.traveler, CONTENT_COLUMNS, specs, {"content": d.content})
 
 
-def _profile_texts(d):
-    """Each distinct profile with the rendered variables of its point of sale."""
-    profiles = content.profile_look_ups(_looked_up(d), CONTENT_COLUMNS)
-    filled = content.fill_variables(
-        F.col("variables"), content.attribute_map(CONTENT_COLUMNS), F.col("look_ups")
-    )
-    info = metadata.module_info(d.variables)
+def _offered_texts(d):
+    """Rendered variables of every module offered to a profile, once per profile."""
+    run = decisions(d)
+    offered = run.offered.select(*POS, *CONTENT_COLUMNS, F.explode("candidates.module_id").alias("module_id"))
+    modules = offered.distinct().join(run.info, [*POS, "module_id"])
+    filled = content.fill_variables(F.col("variables"), F.col("attributes"), F.col("look_ups"))
     return (
-        profiles.join(info, POS)
+        spread_join(modules, run.look_ups, [*POS, *CONTENT_COLUMNS], null_safe=True, hot_in=run.base)
         .select(*CONTENT_COLUMNS, "module_id", F.explode(filled).alias("v"))
         .select(
             *CONTENT_COLUMNS, "module_id", F.col("v.position").alias("var_position"),
@@ -620,26 +619,23 @@ def content_lookup(d):
 
 @query
 def render_template(d):
-    return _profile_texts(d)
+    return _offered_texts(d)
 
 
 @query
 def rotate_option(d):
-    keys = d.traveler.select(*POS, "test_keys").distinct()
-    parts = T.options(F.coalesce("var_structure", F.lit("")))
-    chosen = T.choose(parts, F.col("test_keys"), F.lit(RUN.seed), F.lit(False))
-    return (
-        d.module_variable.join(keys, POS)
-        .select("module_id", "var_position", "test_keys", chosen.alias("shown"))
-        .groupBy("module_id", "var_position", "shown")
-        .agg(F.count(F.lit(1)).alias("n_keys"), F.min("test_keys").alias("first_key"))
+    cells = decisions(d).rendered.select(F.explode("rendered").alias("c")).select(
+        F.col("c.module_id").alias("module_id"), F.explode("c.cells").alias("x")
+    )
+    return cells.groupBy("module_id", F.col("x.position").alias("var_position"), F.col("x.option").alias("option")).agg(
+        F.count(F.lit(1)).alias("n_shown"), F.min("x.value").alias("first_value")
     )
 
 
 @query
 def content_fallback(d):
     text = F.col("text")
-    return _profile_texts(d).select(
+    return _offered_texts(d).select(
         *CONTENT_COLUMNS, "module_id", "var_position",
         T.is_unresolved(text).alias("unresolved"),
         T.is_unresolved(text, legacy_null_words=True).alias("unresolved_legacy"),

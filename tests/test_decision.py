@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from outreach.operators import slots
-from outreach.operators.content import fill_variables, render_candidates, variable_cells
+from outreach.operators.content import attribute_map, fill_variables, render_candidates, variable_cells
 from outreach.operators.metadata import module_info
 
 SLOTS = [1, 2, 3, 4]
@@ -119,7 +119,10 @@ def test_decisions_equal_the_slow_version(spark):
         "campaign_id int, look_ups map<string,map<string,string>>",
     )
     keyed = content.withColumn("locale", F.col("campaign_id").cast("string"))
-    profiles = keyed.select("tpid", "eapid", "locale", "city", "seg", "campaign_id").join(look, "campaign_id").drop("campaign_id")
+    profiles = (
+        keyed.select("tpid", "eapid", "locale", "city", "seg", "campaign_id")
+        .withColumn("attributes", attribute_map(["city", "seg"])).join(look, "campaign_id").drop("campaign_id")
+    )
     rendered = render_candidates(keyed, profiles, ["city", "seg"], SEED)
     slot_frame = spark.createDataFrame([(SLOTS,)], "slots array<int>")
     picked = slots.pick_slots(rendered, slot_frame).select(
