@@ -37,3 +37,9 @@ def require_none(missing: DataFrame, column: str, message: str) -> None:
 
 def missing_schedule(campaigns: DataFrame, schedule: DataFrame) -> DataFrame:
     return campaigns.select("campaign_id").distinct().join(schedule, "campaign_id", "left_anti")
+
+
+def conflicting_priorities(campaigns: DataFrame) -> DataFrame:
+    """Campaigns listed with more than one priority."""
+    spread = campaigns.groupBy("campaign_id").agg(F.count_distinct("priority").alias("n_priorities"))
+    return spread.where(F.col("n_priorities") > 1)

@@ -153,6 +153,11 @@ def traveler_columns_to_read(variables: DataFrame) -> list[str]:
     return BASE_COLUMNS + [c for c in extra if c not in BASE_COLUMNS]
 
 
+def stored_columns(stored: DataFrame, column: str) -> list[str]:
+    """The column list an upstream run left in a one-row table."""
+    return list(stored.select(column).first()[0])
+
+
 def missing_files(specs: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Look-up files that specs name and the catalogue lacks."""
     return specs.select("file_name").distinct().join(catalogue, "file_name", "left_anti")

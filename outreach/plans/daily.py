@@ -172,6 +172,9 @@ class Decisions:
     def check(self) -> None:
         """Stop before the expensive part if configuration is missing."""
         Q.require_rows(self.campaigns, "no campaign launches on the run date")
+        Q.require_none(
+            Q.conflicting_priorities(self.campaigns), "campaign_id", "campaigns with several priorities"
+        )
         Q.require_rows(self.active, "no campaign metadata")
         Q.require_none(
             M.missing_modules(self.active, self.variables), "module_id", "modules without variables"
