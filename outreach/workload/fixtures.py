@@ -172,6 +172,7 @@ class Domain:
     @cached_property
     def module(self) -> DataFrame:
         key, kind = F.col("module_id"), F.col("module_type_id")
+        serial = F.floor(key / 10).cast("int")  # number within the point of sale
         site = self.parts.select(
             key,
             (key % 5).alias("tpid"),
@@ -179,10 +180,10 @@ class Domain:
             kind,
             _pick(kind % 4, PLACEMENTS).alias("placement_type"),
             _pick(F.col("brand") % 5, CHANNELS).alias("channel"),
-            _pick(key % 10, ["active published"] * 8 + ["draft", "test published"]).alias("status"),
+            _pick(serial % 10, ["active published"] * 8 + ["draft", "test published"]).alias("status"),
             (F.col("size") % 5 + 1).alias("version"),
             "module_type",
-            (key % 2).alias("default_flag"),
+            (serial % 2).alias("default_flag"),
             "size",
         )
         return site.join(self.pos, ["tpid", "eapid"])
@@ -218,13 +219,13 @@ class Domain:
     @cached_property
     def module_variable(self) -> DataFrame:
         """Two variables per module; modules of size 50 have none."""
-        position = F.col("var_position")
+        position, serial = F.col("var_position"), F.floor(F.col("module_id") / 10).cast("int")
         return (
             self.module.where(F.col("size") != 50).select("module_id", *POS)
             .withColumn("var_position", F.explode(F.array(F.lit(1), F.lit(2))))
-            .withColumn("source_connection", F.col("module_id") % 2 + 1)
+            .withColumn("source_connection", serial % 2 + 1)
             .withColumn("var_source", F.when(position == 1, SPEC).otherwise(""))
-            .withColumn("var_structure", _pick((F.col("module_id") + position) % 8, TEMPLATES))
+            .withColumn("var_structure", _pick((serial + position) % 8, TEMPLATES))
         )
 
     @cached_property

@@ -79,8 +79,8 @@ SELECT m.*, locale FROM (
          CASE kind % 4 WHEN 0 THEN 'subject' WHEN 1 THEN 'hero' WHEN 2 THEN 'banner' ELSE 'body' END AS placement_type,
          CASE CAST(replace(p_brand, 'Brand#', '') AS INT) % 5 WHEN 0 THEN 'email' WHEN 1 THEN 'app' WHEN 2 THEN 'web'
               WHEN 3 THEN 'push' ELSE 'sms' END AS channel,
-         CASE p_partkey % 10 WHEN 9 THEN 'test published' WHEN 8 THEN 'draft' ELSE 'active published' END AS status,
-         p_size % 5 + 1 AS version, p_type AS module_type, CAST(p_partkey % 2 AS INT) AS default_flag, p_size AS size
+         CASE p_partkey // 10 % 10 WHEN 9 THEN 'test published' WHEN 8 THEN 'draft' ELSE 'active published' END AS status,
+         p_size % 5 + 1 AS version, p_type AS module_type, CAST(p_partkey // 10 % 2 AS INT) AS default_flag, p_size AS size
   FROM (SELECT *, CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'MEDIUM' THEN 3
                    WHEN 'PROMO' THEN 4 WHEN 'SMALL' THEN 5 WHEN 'STANDARD' THEN 6 END AS kind FROM part)) m
 JOIN (SELECT DISTINCT tpid, eapid, locale FROM nations) n ON m.tpid = n.tpid AND m.eapid = n.eapid"""
@@ -100,9 +100,9 @@ FROM segment_module_map CROSS JOIN (SELECT unnest(range(1, 11)) AS t) CROSS JOIN
 WHERE step = 0 OR (module_type_id % 2 = 0 AND module_type_id % 4 + 1 < 4)"""
 
 VIEWS["module_variable"] = """
-SELECT module_id, tpid, eapid, locale, p AS var_position, module_id % 2 + 1 AS source_connection,
+SELECT module_id, tpid, eapid, locale, p AS var_position, module_id // 10 % 2 + 1 AS source_connection,
        CASE WHEN p = 1 THEN 'traveler.city|content.city' ELSE '' END AS var_source,
-       CASE (module_id + p) % 8
+       CASE (module_id // 10 + p) % 8
          WHEN 0 THEN 'Hello' WHEN 1 THEN 'def|In %%traveler.city%%'
          WHEN 2 THEN 'def|A %%traveler.city%%|B %%content.best%%|C' WHEN 3 THEN ''
          WHEN 4 THEN 'Deal|Welcome %%traveler.mktsegment%%'
