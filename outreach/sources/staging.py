@@ -2,23 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder. Only where none is named, as in local tests,
-    is a temporary folder made and set."""
+    """The checkpoint folder that all executors share; the session has to name one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if found:
-        return found
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="outreach-stage-")
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+    if not found:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return found
 
 
 def stage_path(spark: SparkSession) -> str:
