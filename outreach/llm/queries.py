@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outreach.llm import near_dedup
-from outreach.llm.common import table
+from outreach.llm import near_dedup, toxicity
+from outreach.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,3 +23,12 @@ def query(f):
 def op3_near_dedup(spark, sf_dir):
     out = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op5_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    part = fold(F.col("doc_id"), 3)
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), part != 1)
+    out = toxicity.toxicity(docs, model).withColumn("held_out", part == 1)
+    return out.select("doc_id", "held_out", "score", "predicted", "whole", "first", "second")
