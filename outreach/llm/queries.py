@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outreach.llm import near_dedup, toxicity
+from outreach.llm import language_id, near_dedup, toxicity
 from outreach.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,11 @@ def op5_toxicity(spark, sf_dir):
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"), part != 1)
     out = toxicity.toxicity(docs, model).withColumn("held_out", part == 1)
     return out.select("doc_id", "held_out", "score", "predicted", "whole", "first", "second")
+
+
+@query
+def op2_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    part = fold(F.col("doc_id"), 5)
+    out = language_id.identify(docs, language_id.learn(docs, part != 0))
+    return out.withColumn("held_out", part == 0).select("doc_id", "held_out", "lang_pred", "score")
