@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outreach.llm import language_id, near_dedup, toxicity
+from outreach.llm import decontamination, language_id, near_dedup, toxicity
 from outreach.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,8 @@ def op2_language_id(spark, sf_dir):
     part = fold(F.col("doc_id"), 5)
     out = language_id.identify(docs, language_id.learn(docs, part != 0))
     return out.withColumn("held_out", part == 0).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op4_decontamination(spark, sf_dir):
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
