@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outreach.llm import decontamination, language_id, near_dedup, toxicity
+from outreach.llm import decontamination, language_id, mixing, near_dedup, toxicity
 from outreach.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,8 @@ def op2_language_id(spark, sf_dir):
 @query
 def op4_decontamination(spark, sf_dir):
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_mixing(spark, sf_dir):
+    return mixing.mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
