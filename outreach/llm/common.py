@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -81,3 +81,13 @@ def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """Bytes of all texts: what bucket counts are derived from."""
     found = docs.agg(F.sum(F.octet_length(column))).first()[0]
     return int(found or 0)
+
+
+def kept_rows(docs: DataFrame, decide: Callable[[list[str | None]], list[bool]]) -> DataFrame:
+    """The rows whose text `decide` accepts, with all their columns as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows_of(batches, 1000):
+            yield batch.filter(pa.array(decide(batch.column("text").to_pylist()), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outreach.llm.common import rows_of
+from outreach.llm.common import kept_rows, rows_of
 from outreach.sources.staging import stage
 
 SPECTRUM = 3
@@ -31,6 +31,7 @@ ROWS = 200  # per language, landmarks among them
 LONGEST = 20_000  # letters a text may have to be taken for fitting
 RIDGE = 1e-2
 UNKNOWN = "und"
+LEAST = 0.4  # score below which a text counts as being in no language
 _BATCH = 512
 _SHARPNESS = 8.0
 
@@ -209,3 +210,21 @@ def identify(docs: DataFrame, model: Model, keep: list[str] = ["doc_id"]) -> Dat
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields]
     return docs.select(*keep, "text").mapInArrow(run, ", ".join([*kinds, "lang_pred string", "score double"]))
+
+
+def identified(docs: DataFrame, model: Model, *, least: float = LEAST) -> DataFrame:
+    """The rows of `docs` whose text is in a learned language with a score of at least
+    `least`, unchanged. When nothing was learned no row can be rejected."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def decide(texts: list[str | None]) -> list[bool]:
+        own = shared.value
+        if not own.languages:
+            return [True] * len(texts)
+        kept: list[bool] = []
+        for at in range(0, len(texts), _BATCH):
+            names, scores = own.predict(texts[at : at + _BATCH])
+            kept += [n != UNKNOWN and s >= least for n, s in zip(names, scores)]
+        return kept
+
+    return kept_rows(docs, decide)

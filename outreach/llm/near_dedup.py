@@ -352,3 +352,23 @@ def near_duplicates(
         "doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"), "set_key"
     )
     return out.unionByName(without)
+
+
+def deduplicated(docs: DataFrame, **options) -> DataFrame:
+    """One row of each group of near-duplicates, that with the smallest doc_id, unchanged.
+
+    Rows without an id stay. Of rows that repeat the id that is kept, the smallest by its
+    text and then its other columns stays.
+    """
+    found = stage(near_duplicates(docs, **options).where(F.col("doc_id").isNotNull()).select("doc_id", "kept"))
+    repeated = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("_id"))
+    gone = stage(found.where(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct())
+    kept = docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti")
+    repeated = stage(repeated)
+    if repeated.isEmpty():
+        return kept
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    again = kept.join(repeated, kept["doc_id"] == repeated["_id"], "left_semi")
+    least = again.groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("row"))
+    once = least.select("doc_id", "row.*").select(*docs.columns)
+    return kept.join(repeated, kept["doc_id"] == repeated["_id"], "left_anti").unionAll(once)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outreach.llm.common import rows_of
+from outreach.llm.common import kept_rows, rows_of
 from outreach.sources.staging import stage
 
 ORDER = 4
@@ -235,3 +235,14 @@ def toxicity(docs: DataFrame, model: Model, *, threshold: float = THRESHOLD) ->
     """
     out = scored(docs, model, ["doc_id"])
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def without_toxic(docs: DataFrame, model: Model, *, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs` that score below the threshold, unchanged."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def decide(texts: list[str | None]) -> list[bool]:
+        own = shared.value
+        return (own.scores([own.evidence(t) for t in texts]) < threshold).tolist()
+
+    return kept_rows(docs, decide)
