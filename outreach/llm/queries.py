@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outreach.llm import decontamination, language_id, mixing, near_dedup, toxicity
+from outreach.llm import decontamination, language_id, lm_scoring, mixing, near_dedup, toxicity
 from outreach.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,15 @@ def query(f):
     return f
 
 
+@query
+def op1_lm_scoring(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    part = fold(F.col("doc_id"), 10)  # 0 is not learned from, 1 fits the mixture's weights
+    role = F.when(part == 0, lm_scoring.TEST).when(part == 1, lm_scoring.HELD).otherwise(lm_scoring.MAIN)
+    out = lm_scoring.score_texts(docs, role).withColumn("held_out", F.col("role") == lm_scoring.TEST)
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op3_near_dedup(spark, sf_dir):
     out = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
