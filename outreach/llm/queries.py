@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outreach.llm import decontamination, language_id, lm_scoring, mixing, near_dedup, toxicity
+from outreach.llm import decontamination, html_text, language_id, lm_scoring, mixing, near_dedup, toxicity, warc
 from outreach.llm.common import fold, table
+from outreach.sources.staging import stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,3 +60,50 @@ def op4_decontamination(spark, sf_dir):
 @query
 def op9_mixing(spark, sf_dir):
     return mixing.mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_html_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op8_warc(spark, sf_dir):
+    path = stage_path(spark)
+    index = warc.write_archive(table(spark, sf_dir, "pages"), path)
+    records = warc.read_records(index, path)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op8_warc"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), k AS (
+  SELECT *, max(page_id) OVER (PARTITION BY h) AS keeper FROM p
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(1 + ((CAST('0x' || substr(h, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = keeper THEN NULL ELSE keeper END AS refers_to
+FROM k
+"""
+
+ORACLES["op3_near_dedup"] = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh
+  FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), c AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT x, y FROM c JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)
+), r AS (
+  SELECT doc_id, doc_id AS o FROM documents UNION SELECT r.doc_id, l.y FROM r JOIN l ON r.o = l.x
+), m AS (SELECT doc_id, min(o) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM m LEFT JOIN n USING (doc_id)
+"""
