@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outreach.llm import decontamination, html_text, language_id, lm_scoring, mixing, near_dedup, toxicity, warc
+from outreach.llm import decontamination, html_text, language_id, lm_scoring, mixing, near_dedup, token_rollup, toxicity, vector_search, warc
 from outreach.llm.common import fold, table
-from outreach.sources.staging import stage_path
+from outreach.sources.staging import stage, stage_path
+
+# Vocabulary of the counted tokenizer; installed beside the interpreter by default.
+VOCABULARY = os.environ.get("TOKENIZER_FILES", "/opt/tokenizers") + "/byte_bpe_50k.tiktoken"
+# How that vocabulary cuts a text before merging: a fixed value of the format.
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,6 +73,34 @@ def op6_html_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op7_token_rollup(spark, sf_dir):
+    """Load all documents, count their words anew by another rule, delete exact copies,
+    and load again, which changes nothing."""
+    docs = table(spark, sf_dir, "documents")
+    words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "[\\s]+", -1), lambda w: w != "")).cast("long")
+    narrow = docs.withColumns({
+        "words": words, "letters": F.length(F.coalesce("text", F.lit(""))).cast("long"), "copy_of": F.md5(F.coalesce("text", F.lit(""))),
+    })
+    keep = ["doc_id", "source", "lang", "words", "letters", "copy_of"]
+    counted = stage(token_rollup.token_counts(narrow, VOCABULARY, PATTERN, "bpe", keep))
+
+    def version(name: str, count: str, rows=counted):
+        return rows.select("source", "lang", F.lit(name).alias("tokenizer_version"), F.col(count).alias("n_tokens"))
+
+    first = counted.groupBy("copy_of").agg(F.min("doc_id").alias("doc_id"))
+    copies = counted.join(first.select("doc_id"), "doc_id", "left_anti")
+    rollup = token_rollup.Rollup(spark, stage_path(spark))
+    load = token_rollup.inserts(version("byte_bpe_50k", "bpe").unionAll(version("units", "words")))
+    rollup.commit("load", load)
+    revised = counted.select("source", "lang", F.lit("units").alias("tokenizer_version"), F.col("letters").alias("n_tokens"), F.col("words").alias("old_tokens"))
+    rollup.commit("count letters", token_rollup.revisions(revised))
+    rollup.compact()
+    rollup.commit("delete copies", token_rollup.deletes(version("byte_bpe_50k", "bpe", copies).unionAll(version("units", "letters", copies))))
+    rollup.commit("load", load)
+    return rollup.totals()
+
+
 @query
 def op8_warc(spark, sf_dir):
     path = stage_path(spark)
@@ -75,6 +109,12 @@ def op8_warc(spark, sf_dir):
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query
+def op10_vector_search(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return vector_search.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
 ORACLES["op8_warc"] = """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
