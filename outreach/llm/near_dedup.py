@@ -47,6 +47,8 @@ BLOCK = 1024  # members of a list compared in one task at a time, against as man
 
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 _HALF = np.uint64(32)
+_STRIDE = 512
+_SMALL = 1_000_000  # rows of two longs up to which an id list is broadcast; joined by shuffle beyond
 
 
 def _coordinates(count: int) -> np.ndarray:
@@ -56,11 +58,12 @@ def _coordinates(count: int) -> np.ndarray:
 
 def signature(hashes: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     """Smallest value of each seeded hash function over a shingle set, as 32 bits."""
-    out = np.empty(len(seeds), dtype=np.uint32)
-    for i, seed in enumerate(seeds):
-        mixed = (hashes ^ seed) * _ODD
-        out[i] = mixed.min() >> _HALF
-    return out
+    out = np.full(len(seeds), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(hashes), _STRIDE):
+        mixed = hashes[None, at : at + _STRIDE] ^ seeds[:, None]
+        mixed *= _ODD
+        np.minimum(out, mixed.min(axis=1), out=out)
+    return (out >> _HALF).astype(np.uint32)
 
 
 def _sets(batch: pa.RecordBatch, n: int, hashes: Hashes) -> Iterator[np.ndarray]:
@@ -72,8 +75,9 @@ def _key(own: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None
 
 
-def signatures(docs: DataFrame, n: int = WORDS, count: int = COORDINATES) -> DataFrame:
-    """doc_id, n_shingles, set_key (128-bit fingerprint of the set), sig and its low bytes per document."""
+def signatures(docs: DataFrame, n: int = WORDS, count: int = COORDINATES, posted: int = POSTED) -> DataFrame:
+    """doc_id, n_shingles, set_key (128-bit fingerprint of the set), sig (the posted
+    coordinates) and low (the low byte of each coordinate) per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seeds = Hashes(), _coordinates(count)
@@ -85,7 +89,7 @@ def signatures(docs: DataFrame, n: int = WORDS, count: int = COORDINATES) -> Dat
                     batch.column("doc_id"),
                     pa.array([len(s) for s in own], pa.int64()),
                     pa.array([_key(s) for s in own], pa.binary()),
-                    pa.array([s if s is None else s.view(np.int32) for s in sigs], pa.list_(pa.int32())),
+                    pa.array([s if s is None else s[:posted].view(np.int32) for s in sigs], pa.list_(pa.int32())),
                     pa.array([s if s is None else s.astype(np.uint8).tobytes() for s in sigs], pa.binary()),
                 ],
                 names=["doc_id", "n_shingles", "set_key", "sig", "low"],
@@ -111,9 +115,9 @@ def shingle_sets(docs: DataFrame, n: int = WORDS) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, set_key binary, own binary")
 
 
-def prefixes(nodes: DataFrame, posted_at: int, shared_at: int) -> DataFrame:
+def prefixes(nodes: DataFrame, shared_at: int) -> DataFrame:
     """node, token: postings under the rarest values that a node shares."""
-    posted = nodes.select("node", F.posexplode(F.slice("sig", 1, posted_at)).alias("at", "value")).select(
+    posted = nodes.select("node", F.posexplode("sig").alias("at", "value")).select(
         "node", (F.shiftleft(F.col("at").cast("long"), 32) + F.col("value").cast("long")).alias("token")
     )
     shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -167,33 +171,44 @@ def _confirm(percent: int):
     return run
 
 
-def node_sets(nodes: DataFrame, ends: DataFrame, docs: DataFrame, n: int) -> DataFrame:
-    """node, own: the full shingle set of each node in `ends`, from the texts."""
-    wanted = nodes.join(ends, "node").select("node", "set_key")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    texts = texts.join(wanted.select(F.col("node").alias("doc_id")).distinct(), "doc_id")
-    sets = shingle_sets(texts, n).withColumnRenamed("doc_id", "node")
+def _small(df: DataFrame) -> DataFrame:
+    """A staged id list, broadcast if it is counted to be small."""
+    return F.broadcast(df) if df.count() <= _SMALL else df
+
+
+def node_sets(nodes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """node, own: the full shingle set of each node, from the texts."""
+    wanted = stage(nodes.select(F.col("node").alias("doc_id"), "set_key"))
+    ids = _small(stage(wanted.select("doc_id").distinct()))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id")
     # Rows that repeat an id are told apart by the fingerprint of their set.
-    kept = sets.join(wanted, ["node", "set_key"], "left_semi").dropDuplicates(["node", "set_key"])
-    return kept.select("node", "own")
+    sets = shingle_sets(texts, n).join(_small(wanted), ["doc_id", "set_key"], "left_semi")
+    return stage(sets.select(F.col("doc_id").alias("node"), "set_key", "own")).dropDuplicates(["node", "set_key"]).select("node", "own")
+
+
+def _agree(matches: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8) for c in ("a_low", "b_low"))
+            same = (a == b).reshape(batch.num_rows, -1).sum(axis=1) >= matches
+            yield batch.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
+
+    return run
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent: int, matches: int) -> DataFrame:
+def confirmed(pairs: DataFrame, live: DataFrame, sets: DataFrame, percent: int, matches: int) -> DataFrame:
     """Pairs (a, b) whose signatures collide often enough and whose full sets are similar."""
-    side = lambda name: nodes.select(F.col("node").alias(name), F.col("sig").alias(f"{name}_sig"))
-    agree = F.aggregate(
-        F.zip_with("a_sig", "b_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x
-    )
-    near = stage(
-        pairs.join(side("a"), "a").join(side("b"), "b").where(agree >= matches).select("a", "b").distinct()
-    )
-    ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    own = stage(node_sets(nodes, ends, docs, n))
-    full = (
-        near.join(own.select(F.col("node").alias("a"), F.col("own").alias("a_own")), "a")
-        .join(own.select(F.col("node").alias("b"), F.col("own").alias("b_own")), "b")
-    )
-    return stage(full.mapInArrow(_confirm(percent), "a long, b long").distinct())
+
+    def with_both(pairs: DataFrame, of: DataFrame, name: str) -> DataFrame:
+        ends = _small(stage(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()))
+        own = of.select("node", name).join(ends, "node")
+        for side in ("a", "b"):
+            pairs = pairs.join(own.withColumnsRenamed({"node": side, name: f"{side}_{name}"}), side)
+        return pairs
+
+    pairs = stage(pairs)
+    near = stage(with_both(pairs, live, "low").mapInArrow(_agree(matches), "a long, b long").distinct())
+    return stage(with_both(near, sets, "own").mapInArrow(_confirm(percent), "a long, b long").distinct())
 
 
 def _centre(posts: DataFrame, k: int) -> DataFrame:
@@ -280,20 +295,20 @@ def _merge(percent: int, matches: int):
     return run
 
 
-def merged_lists(posts: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent: int, matches: int) -> DataFrame:
+def merged_lists(posts: DataFrame, live: DataFrame, sets: DataFrame, percent: int, matches: int) -> DataFrame:
     """Links between components that share a list, found inside the list."""
-    ends = posts.select("node").distinct()
-    own = node_sets(nodes, ends, docs, n).join(nodes.select("node", "low"), "node")
-    keyed = _open_blocks(posts.select("token", "node", "label"), BLOCK).join(stage(own), "node")
+    own = sets.join(_small(stage(posts.select("node").distinct())), "node").join(live.select("node", "low"), "node")
+    keyed = _open_blocks(posts.select("token", "node", "label"), BLOCK).join(own, "node")
     grouped = keyed.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y")
     found = grouped.select("token", "x", "y", "node", "label", "low", "own").mapInArrow(_merge(percent, matches), "a long, b long")
     return stage(found.distinct())
 
 
-def links(nodes: DataFrame, docs: DataFrame, n: int, percent: int, sizes: tuple[int, int, int, int]) -> DataFrame:
+def links(nodes: DataFrame, docs: DataFrame, n: int, percent: int, shared: int, matches: int) -> DataFrame:
     """Edges (a, b), a > b, that span every component of the similarity graph."""
-    count, posted_at, shared_at, matches = sizes
-    posts = stage(prefixes(nodes, posted_at, shared_at))
+    posts = stage(prefixes(nodes, shared))
+    live = stage(nodes.join(_small(stage(posts.select("node").distinct())), "node").select("node", "set_key", "low"))
+    sets = stage(node_sets(live, docs, n))
     edges = None
     k = 0
     while True:
@@ -308,14 +323,14 @@ def links(nodes: DataFrame, docs: DataFrame, n: int, percent: int, sizes: tuple[
             return edges if edges is not None else posts.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
         last = k >= STARS
         if last:
-            found = merged_lists(open_posts, nodes, docs, n, percent, matches)
+            found = merged_lists(open_posts, live, sets, percent, matches)
         else:
             heads = _centre(open_posts, k)
             heads = heads.join(open_posts.select(F.col("node").alias("centre"), F.col("label").alias("of")).distinct(), "centre")
             pairs = open_posts.join(heads, "token").where("label <> of").select(
                 F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")
             )
-            found = confirmed(pairs.distinct(), nodes, docs, n, percent, matches)
+            found = confirmed(pairs.distinct(), live, sets, percent, matches)
         edges = found if edges is None else edges.unionByName(found)
         if last:
             return edges
@@ -334,13 +349,13 @@ def near_duplicates(
     kept. Of a component the smallest doc_id is kept; repeated rows are returned as often
     as they occur.
     """
-    sigs = stage(signatures(docs, n, count))
+    sigs = stage(signatures(docs, n, count, posted))
     with_set = sigs.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
     classes = with_set.groupBy("set_key").agg(
         F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("low").alias("low")
     )
     nodes = stage(classes)
-    edges = links(nodes, docs, n, percent, (count, posted, shared, matches))
+    edges = links(nodes, docs, n, percent, shared, matches)
     label = components(edges)
     top = nodes.join(label, "node", "left").select("set_key", F.coalesce("label", "node").alias("component_id"))
     joined = sigs.where(F.col("doc_id").isNotNull()).join(top, "set_key", "left")
