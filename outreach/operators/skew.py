@@ -3,25 +3,28 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType, StructType
+from pyspark.sql.types import AtomicType
 
-MAX_HOT_KEYS = 1000     # a key outside the 1000 heaviest holds less than 0.1 % of the rows
-HOT_ROWS = 1_000_000    # below this a single task copes
-SALTS = 64
+from outreach.sources.staging import stage
 
+HOT_ROWS = 1_000_000    # rows of one key that a task copes with
 
-def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> list[Row]:
-    """The heaviest keys, at most MAX_HOT_KEYS of them.
 
-    One small job over the key columns that combines on the map side. Which keys are
-    listed never changes a result, only how evenly the work is spread.
+def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS, salts: int = 2) -> DataFrame:
+    """Keys with at least `min_rows` rows, and `_salts`: among how many sub-keys to split
+    each so that none holds more than `min_rows`, `salts` at least.
+
+    One small job over the key columns that combines on the map side. There can be no more
+    such keys than rows / min_rows. Which keys are listed never changes a result, only how
+    evenly the work is spread.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    heavy = counts.where(F.col("_rows") >= min_rows).orderBy(F.desc("_rows"))
-    return heavy.select(*keys).limit(MAX_HOT_KEYS).collect()
+    split = F.greatest(F.ceil(F.col("_rows") / min_rows), F.lit(salts)).cast("int")
+    return stage(counts.where(F.col("_rows") >= min_rows).select(*keys, split.alias("_salts")))
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -42,7 +45,7 @@ def _match(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool)
 
 
 def _mark(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
-    marks = F.broadcast(_renamed(hot, keys).withColumn("_hot", F.lit(True)))
+    marks = F.broadcast(_renamed(hot, keys))  # at most rows / min_rows keys
     return df.join(marks, _match(df, marks, keys, True), "left").drop(*[f"_r_{k}" for k in keys])
 
 
@@ -55,26 +58,24 @@ def spread_join(
     hot_in: DataFrame | None = None,
     null_safe: bool = False,
     min_rows: int = HOT_ROWS,
-    salts: int = SALTS,
+    salts: int = 2,
 ) -> DataFrame:
     """Equi join (inner, left, left_semi, left_anti) whose hot left keys are split.
 
     Without hot keys this is the plain join and Spark picks its strategy. Otherwise the
-    rows of a hot key go to one of `salts` sub-keys, and the right rows of those keys are
+    rows of a hot key go to one of its sub-keys, and the right rows of those keys are
     repeated once per sub-key. The right side should hold few rows per key. Pass `hot_in`
     to look for hot keys in a cheaper frame than `left`.
     """
-    hot_rows = hot_keys(left if hot_in is None else hot_in, on, min_rows)
+    hot = hot_keys(left if hot_in is None else hot_in, on, min_rows, salts)
     drop = [f"_r_{k}" for k in on]
-    if not hot_rows:
+    if hot.isEmpty():
         r = _renamed(right, on)
         return left.join(r, _match(left, r, on, null_safe), how).drop(*drop)
-    schema = StructType([left.schema[k] for k in on])
-    hot = left.sparkSession.createDataFrame(hot_rows, schema)
-    salt = F.pmod(row_hash(left), F.lit(salts)).cast("int")
-    l = _mark(left, hot, on).withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0)).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    r = _renamed(_mark(right, hot, on).withColumn("_r_salt", F.explode(copies)).drop("_hot"), on)
+    salt = F.coalesce(F.pmod(row_hash(left), F.col("_salts")).cast("int"), F.lit(0))
+    l = _mark(left, hot, on).withColumn("_salt", salt).drop("_salts")
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    r = _renamed(_mark(right, hot, on).withColumn("_r_salt", F.explode(copies)).drop("_salts"), on)
     cond = _match(l, r, on, null_safe) & (l["_salt"] == r["_r_salt"])
     return l.join(r, cond, how).drop("_salt", "_r_salt", *drop)
 
@@ -83,10 +84,11 @@ def group_heads(df: DataFrame, group: list[str], order: list, limit: DataFrame,
     """First n rows of each group with their number `n`, n given by a table.
 
     `limit` holds one row per `by` key with column `n_max`. Rows are numbered inside hashed
-    sub-groups first; only those within n_max there can be within n_max of the whole group,
-    so the final numbering sees SALTS * n_max rows of a group at the most.
+    sub-groups of about HOT_ROWS first; only those within n_max there can be within n_max
+    of the whole group, so the final numbering sees n_max rows of each sub-group at most.
     """
-    salt = F.pmod(row_hash(df), F.lit(SALTS))
+    largest = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows")).first()[0]
+    salt = F.pmod(row_hash(df), F.lit(max(1, ceil((largest or 0) / HOT_ROWS))))
     local = df.join(limit, by).withColumn("_sub", salt)
     local = local.withColumn("n", F.row_number().over(Window.partitionBy(*group, "_sub").orderBy(*order)))
     kept = local.where(F.col("n") <= F.col("n_max")).drop("_sub")
@@ -103,12 +105,17 @@ def first_per_group(df: DataFrame, group: list[str], order: list, n: int = 1) ->
 def consecutive_ids(df: DataFrame, key: list[str], name: str, start: int = 1) -> DataFrame:
     """Consecutive ids over the whole frame, in the order of the md5 of a unique key.
 
-    Two passes and no global sort: rows per md5 prefix are counted, the counts are summed
-    up to offsets (4096 rows at the most), and rows are numbered inside their prefix. `df`
-    is read twice, so stage it first when it is costly.
+    No global sort: rows per md5 prefix are counted, the counts are summed up to offsets,
+    and rows are numbered inside their prefix. Prefixes are as long as it takes for one to
+    hold about HOT_ROWS rows or fewer. `df` is read three times, so stage it first when it
+    is costly.
     """
+    length = 1
+    rows = df.count()
+    while 16**length * HOT_ROWS < rows:
+        length += 1
     digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key]))
-    tagged = df.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, 3))
+    tagged = df.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, length))
     sizes = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

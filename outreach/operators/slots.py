@@ -152,10 +152,10 @@ def dynamic_content(picks: Column) -> Column:
     return F.to_json(F.map_from_entries(entries))
 
 
-def slot_columns(df: DataFrame, n_slots: int) -> DataFrame:
-    """Spread picks into the output columns of each slot."""
+def slot_columns(df: DataFrame, slots: list[int]) -> DataFrame:
+    """Spread picks into the output columns of each of the slots, whatever their numbers."""
     out = df
-    for s in range(1, n_slots + 1):
+    for s in slots:
         pick = F.get(F.filter("picks", lambda p: p["slot"] == s), F.lit(0))
         out = (
             out.withColumn(f"S{s}_module_id", pick["module_id"])

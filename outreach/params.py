@@ -36,6 +36,7 @@ class RunParams:
     test_address: str | None = None
     sink_address: str | None = None
     home_brand: str = "HOME"
+    seed_category: str | None = "Merch"  # category of the seed addresses that get copies
 
     @property
     def seed(self) -> int:

@@ -202,19 +202,19 @@ class Delivery:
 def deliver(decisions: Decisions, d: Delivery) -> DataFrame:
     """Final rows: ids, tokens, seeds, loyalty fields, recipient id, tags."""
     run, tie = decisions.run, decisions.inputs.tie_break
-    launched = decisions.campaigns.select("campaign_id", "launch_date", "launch_time_utc")
+    launched = decisions.campaigns.select("campaign_id", "locale", "launch_date", "launch_time_utc").distinct()
     coded = (
         decisions.winners
         .withColumn("module_code", S.module_code(F.col("picks")))
         .withColumn("subject_line", S.subject_line(F.col("picks")))
         .withColumn("dynamic_content", S.dynamic_content(F.col("picks")))
-        .join(launched, "campaign_id")
+        .join(launched, ["campaign_id", "locale"])
     )
-    numbered = stage(consecutive_ids(stage(coded), ["email_address", "campaign_id", *tie], "row_id"))
+    numbered = stage(consecutive_ids(stage(coded), ["email_address", "campaign_id", *tie, "locale", "segment_set"], "row_id"))
     tokens = N.add_user_token(numbered, d.tokens, d.fallback_tokens)
     counted = N.add_module_count(tokens, M.module_count(decisions.active))
     one = R.dedupe_recipient(counted, ["campaign_id", *tie])
-    seeded = N.add_seeds(N.none_to_null(one), N.numbered_seeds(d.seeds), ["email_address", *tie])
+    seeded = N.add_seeds(N.none_to_null(one), N.numbered_seeds(d.seeds, run.seed_category), ["email_address", *tie])
     master = W.audience_master(decisions.campaigns, run.environment, F.lit(run.run_date))
     parts = master.select(
         "campaign_id", "locale", "subchannel", "program", "campaign_code", "lob_intent", "sid"
@@ -245,15 +245,16 @@ WORKING = [
 ]
 
 
-def write(decisions: Decisions, delivered: DataFrame, d: Delivery, root: str, n_slots: int) -> DataFrame:
+def write(decisions: Decisions, delivered: DataFrame, d: Delivery, root: str) -> DataFrame:
     """Write campaigns, module lists, manifest and metadata; returns the manifest."""
     run = decisions.run
     rows = stage(delivered)
     named = rows.withColumn(
         "audience", output_name(F.col("audience_name"), F.col("launch_date"), run.job_type, run.test_type)
     )
+    slots = M.slot_list(decisions.active).first()["slots"]
     W.write_campaigns(
-        N.output_projection(S.slot_columns(named, n_slots), ["picks", *WORKING], "authrealm"), f"{root}/campaigns"
+        N.output_projection(S.slot_columns(named, slots), ["picks", *WORKING], "authrealm"), f"{root}/campaigns"
     )
     W.write_modules(S.campaign_modules(rows), f"{root}/modules")
     master = W.audience_master(decisions.campaigns, run.environment, F.lit(run.run_date))

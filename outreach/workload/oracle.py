@@ -307,18 +307,18 @@ SELECT * EXCLUDE (stays, n_stay) FROM (
 WHERE stays OR n_stay = 0"""
 
 VIEWS["placed"] = """
-SELECT a.*, p.campaign_look_up_id, p.slot_position, p.campaign_segment_type_id
+SELECT a.*, p.campaign_id, p.slot_position, p.campaign_segment_type_id
 FROM test_assignment a LEFT JOIN (
-  SELECT DISTINCT campaign_id AS campaign_look_up_id, module_id, slot_position, campaign_segment_type_id
+  SELECT DISTINCT campaign_id, module_id, slot_position, campaign_segment_type_id
   FROM meta WHERE status = 'test published') p ON a.module_id = p.module_id
 WHERE a.test_type = 'module version'"""
 VIEWS["placed_tests"] = """
-SELECT * FROM placed WHERE test_id IN (SELECT test_id FROM placed WHERE campaign_look_up_id IS NOT NULL)"""
+SELECT * FROM placed WHERE test_id IN (SELECT test_id FROM placed WHERE campaign_id IS NOT NULL)"""
 
 VIEWS["replacement"] = """
-SELECT campaign_look_up_id AS campaign_id, test_keys, campaign_segment_type_id, module_type_id, slot_position,
+SELECT campaign_id, test_keys, campaign_segment_type_id, module_type_id, slot_position,
        segment_type_id, min(module_id) AS module_id
-FROM placed_tests WHERE t_c_flag <> 'control' AND campaign_look_up_id IS NOT NULL GROUP BY ALL"""
+FROM placed_tests WHERE t_c_flag <> 'control' AND campaign_id IS NOT NULL GROUP BY ALL"""
 VIEWS["tested"] = f"""
 SELECT a.* REPLACE (coalesce(r.module_id, a.module_id) AS module_id)
 FROM type_tested a LEFT JOIN (
@@ -641,7 +641,7 @@ SELECT k.*, module_type_id FROM (
   FROM traveler_segment) k JOIN segment_module_map m USING (segment_type_id)"""
 _SQL["allocate_modules"] = f"{_ALLOC} allocated"
 _SQL["tests_on_campaign"] = """
-SELECT test_id, tpid, eapid, test_keys, module_id, campaign_look_up_id, slot_position, control_test_flag FROM placed_tests"""
+SELECT test_id, tpid, eapid, test_keys, module_id, campaign_id, slot_position, control_test_flag FROM placed_tests"""
 _SQL["test_module_set"] = """
 SELECT tpid, eapid, locale, test_keys, segment_type_id,
        string_agg(CAST(module_type_id AS VARCHAR), '#' ORDER BY module_type_id) AS module_types

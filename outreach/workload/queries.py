@@ -546,7 +546,7 @@ def allocate_modules(d):
 @query
 def tests_on_campaign(d):
     return decisions(d).placed_tests.select(
-        "test_id", "tpid", "eapid", "test_keys", "module_id", "campaign_look_up_id", "slot_position",
+        "test_id", "tpid", "eapid", "test_keys", "module_id", "campaign_id", "slot_position",
         "control_test_flag",
     )
 
@@ -683,7 +683,7 @@ def module_code(d):
 @query
 def slot_columns(d):
     picked = decisions(d).picked.withColumn("subject_line", slots.subject_line(F.col("picks")))
-    wide = slots.slot_columns(picked, 4)
+    wide = slots.slot_columns(picked, [1, 2, 3, 4])
     return wide.select(
         *CONTENT_COLUMNS, *KEY, "subject_line",
         *[f"S{s}_{c}" for s in range(1, 5) for c in ("module_id", "module_type_id", "module_priority", "att_option")],

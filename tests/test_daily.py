@@ -29,7 +29,7 @@ def run(spark):
 
 def test_delivered_rows_and_files(spark, run, tmp_path):
     made, tables, rows = run
-    listed = write(made, rows, tables, str(tmp_path), 4).collect()
+    listed = write(made, rows, tables, str(tmp_path)).collect()
     out = spark.read.parquet(f"{tmp_path}/campaigns")
     people = out.where(F.col("PAID") != SEED_ACCOUNT)
     assert people.count() > 0
@@ -44,6 +44,8 @@ def test_delivered_rows_and_files(spark, run, tmp_path):
     # seeds: never more than the active seed addresses of the site
     seeds = out.where(F.col("PAID") == SEED_ACCOUNT)
     assert 0 < seeds.groupBy("sid").count().agg(F.max("count")).first()[0] <= tables.seeds.count()
+    merch = tables.seeds.where("category = 'Merch' AND is_active = 1").select(F.col("seed_email").alias("EmailAddress"))
+    assert seeds.join(merch, "EmailAddress", "left_anti").isEmpty()
     # every module list row is used, manifest is sorted and names modules of sent campaigns only
     modules = spark.read.parquet(f"{tmp_path}/modules")
     assert modules.select("campaign_id").distinct().count() == out.select("sid").distinct().count()

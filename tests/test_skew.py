@@ -46,7 +46,16 @@ def test_hot_rows_reach_many_tasks(skewed, other):
 
 
 def test_hot_keys_lists_the_heavy_ones(skewed):
-    assert [r.k for r in hot_keys(skewed, ["k"], min_rows=100)] == ["hot"]
+    assert [tuple(r) for r in hot_keys(skewed, ["k"], min_rows=100).collect()] == [("hot", 2)]
+    assert [tuple(r) for r in hot_keys(skewed, ["k"], min_rows=50).collect()] == [("hot", 4)]
+
+
+def test_every_heavy_key_is_split(spark):
+    rows = spark.range(6000).selectExpr("id % 1500 AS k", "id")
+    found = hot_keys(rows, ["k"], min_rows=3)
+    assert found.count() == 1500 and found.where("_salts <> 2").isEmpty()
+    right = spark.range(1500).selectExpr("id AS k", "id * 2 AS v")
+    assert spread_join(rows, right, ["k"], min_rows=3).where("v = k * 2").count() == 6000
 
 
 def test_group_heads_equals_one_window(spark, skewed):
