@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)
-_VOCAB_LIMIT = 1_000_000  # entries a task remembers before it starts afresh
+_VOCAB_LIMIT = 300_000  # entries a task remembers before it starts afresh
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

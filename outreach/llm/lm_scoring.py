@@ -33,8 +33,8 @@ from outreach.llm.common import Hashes, chain, raw_column, rows_of, words
 from outreach.sources.staging import stage_path
 
 ORDER = 2
-BATCH_TOKENS = 1 << 20
-BUCKET_KEYS = 1 << 21  # n-grams that a bucket is sent, about
+BATCH_TOKENS = 1 << 18
+BUCKET_KEYS = 1 << 20  # n-grams that a bucket is sent, about
 ITERATIONS = 12
 ADD = 0.1
 
@@ -94,7 +94,7 @@ def _to_batches(size: int) -> Callable:
             # Named after what is in it and in the batches before: the same on a retried task.
             digest.update(codes.tobytes())
             digest.update(repr(ids).encode())
-            values = [digest.hexdigest(), held, list(ids), pack(np.array(roles, dtype=np.uint8)), pack(lengths), pack_sorted(vocabulary), pack(codes)]
+            values = [("held-" if held else "rest-") + digest.hexdigest(), held, list(ids), pack(np.array(roles, dtype=np.uint8)), pack(lengths), pack_sorted(vocabulary), pack(codes)]
             yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
             waiting[held], tokens[held] = [], 0
 
@@ -259,17 +259,19 @@ def _buckets(order: int) -> int:
     return (order - 1) * _SEEN + 1
 
 
+_EVENTS = pa.schema([("buckets", pa.binary()), ("parts", pa.binary())])
+
+
 def _held_events(order: int, kinds: float, total: float) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in _rows(batch):
-                stream = Stream.of(row, order)
-                main, _ = _counts(row["answers"], order, stream)
-                bucket, parts = estimates(main, total, kinds, stream.predicted)
-                yield pa.RecordBatch.from_pydict({
-                    "buckets": pa.array([bucket.astype(np.uint16).tobytes()], pa.binary()),
-                    "parts": pa.array([parts.astype(np.float32).tobytes()], pa.binary()),
-                })
+    def run(batch: pa.Table, answers: pa.Table) -> pa.Table:
+        buckets, estimated = [], []
+        for row in batch.to_pylist():
+            stream = Stream.of(row, order)
+            main, _ = _counts(answers.to_pylist(), order, stream)
+            bucket, parts = estimates(main, total, kinds, stream.predicted)
+            buckets.append(bucket.astype(np.uint16).tobytes())
+            estimated.append(parts.astype(np.float32).tobytes())
+        return pa.Table.from_arrays([pa.array(buckets, pa.binary()), pa.array(estimated, pa.binary())], schema=_EVENTS)
 
     return run
 
@@ -308,26 +310,25 @@ def learn_weights(events: DataFrame, order: int, iterations: int) -> np.ndarray:
     return weights
 
 
-_SCORES = "doc_id long, role int, n_tokens long, n_known long, base_score double, score double"
+_SCORES = pa.schema([("doc_id", pa.int64()), ("role", pa.int32()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+                     ("base_score", pa.float64()), ("score", pa.float64())])
 
 
 def _score(order: int, kinds: float, total: float, weights: np.ndarray) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in _rows(batch):
-                stream = Stream.of(row, order)
-                main, held = _counts(row["answers"], order, stream)
-                counts = [a + b for a, b in zip(main, held)]
-                bucket, parts = estimates(counts, total, kinds, stream.predicted)
-                single = counts[0][stream.predicted]
-                base = np.log10((single + ADD) / (total + ADD * (kinds + 1)))
-                score = np.log10((parts * weights[bucket].T).sum(axis=0))
-                add = lambda x: np.add.reduceat(x, stream.starts)
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": pa.array(row["doc_ids"], pa.int64()), "role": pa.array(stream.roles, pa.int32()),
-                    "n_tokens": pa.array(stream.lengths + 1, pa.int64()), "n_known": pa.array(add((single > 0).astype(np.int64)), pa.int64()),
-                    "base_score": pa.array(add(base), pa.float64()), "score": pa.array(add(score), pa.float64()),
-                })
+    def run(batch: pa.Table, answers: pa.Table) -> pa.Table:
+        out = []
+        for row in batch.to_pylist():
+            stream = Stream.of(row, order)
+            main, held = _counts(answers.to_pylist(), order, stream)
+            counts = [a + b for a, b in zip(main, held)]
+            bucket, parts = estimates(counts, total, kinds, stream.predicted)
+            single = counts[0][stream.predicted]
+            base = np.log10((single + ADD) / (total + ADD * (kinds + 1)))
+            score = np.log10((parts * weights[bucket].T).sum(axis=0))
+            add = lambda x: np.add.reduceat(x, stream.starts)
+            columns = [row["doc_ids"], stream.roles, stream.lengths + 1, add((single > 0).astype(np.int64)), add(base), add(score)]
+            out.append(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SCORES)], schema=_SCORES))
+        return pa.concat_tables(out) if out else _SCORES.empty_table()
 
     return run
 
@@ -350,10 +351,16 @@ def score_texts(docs: DataFrame, role: Column, *, order: int = ORDER, iterations
     answers = _stage(by_bucket.mapInArrow(_answer(), _ANSWERS))
     sums = answers.where("level = 0").select("main").collect()  # one row per bucket
     main, held, kinds = np.array([np.frombuffer(r[0], np.uint64) for r in sums]).reshape(-1, 3).sum(axis=0).astype(int).tolist()
-    # Of a batch there is one answer per bucket and length: as much as the batch itself.
-    told = answers.where("level > 0").groupBy("batch_id").agg(F.collect_list(F.struct("bucket", "level", "main", "held_out")).alias("answers"))
-    joined = batches.join(told, "batch_id")
-    events = _stage(joined.where("held").mapInArrow(_held_events(order, kinds, main), "buckets binary, parts binary"))
+
+    def with_answers(which: Column, run: Callable, schema: str) -> DataFrame:
+        """A task holds one batch and its answers, as much as the batch itself, at a time."""
+        own = batches.where(which).groupBy("batch_id")
+        told = answers.where(which & (F.col("level") > 0)).groupBy("batch_id")
+        return own.cogroup(told).applyInArrow(run, schema)
+
+    held_out = F.col("batch_id").startswith("held-")
+    events = _stage(with_answers(held_out, _held_events(order, kinds, main), "buckets binary, parts binary"))
     weights = learn_weights(events, order, iterations)
-    out = joined.mapInArrow(_score(order, kinds, main + held, weights), _SCORES)
+    scores = "doc_id long, role int, n_tokens long, n_known long, base_score double, score double"
+    out = with_answers(F.lit(True), _score(order, kinds, main + held, weights), scores)
     return out.withColumn("train_tokens", F.lit(main + held).cast("long"))

@@ -8,8 +8,9 @@ where its letters leave what the ordinary class has often seen; elsewhere both b
 to the same counts and the difference is nil.
 
 A text's evidence are length-normalised log-likelihood differences, toxic less ordinary:
-of the whole text, and of its two most toxic words. A logistic curve, fitted on labelled
-rows that the models have not seen, turns them into a score.
+of the whole text, and of its two most toxic words. A logistic curve turns them into a
+score. It is fitted crosswise: the labelled rows are halved, models of either half give
+the evidence of the other's rows, which they have not seen. The final models hold both.
 
 Learning takes at most `rows` labelled documents per class and half, those with the
 smallest hashes; scoring reads every text whole.
@@ -62,7 +63,7 @@ class Model:
 
     order: int
     counts: tuple[dict[str, int], dict[str, int]]  # ordinary, toxic
-    weights: list[float] = field(default_factory=lambda: [0.0, 0.0, 0.0, 0.0])
+    weights: list[float] = field(default_factory=lambda: [0.0, 0.0, 0.0])
 
     def __post_init__(self):
         self._ready = False
@@ -138,17 +139,25 @@ class Model:
     def scores(self, evidence: list[tuple[float, float, float]]) -> np.ndarray:
         if not (self.counts[0] and self.counts[1]):
             return np.zeros(len(evidence))
-        values = self.weights[0] + np.array(evidence, dtype=float).reshape(-1, 3) @ np.array(self.weights[1:])
+        values = self.weights[0] + condensed(evidence) @ np.array(self.weights[1:])
         return 1 / (1 + np.exp(-np.clip(values, -500, 500)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> list[float]:
-    """Intercept and weights; both classes weigh the same, the intercept is not shrunk."""
+def condensed(evidence: list[tuple[float, float, float]]) -> np.ndarray:
+    """The curve's inputs: the whole text's difference, and that of its two most toxic
+    words, of which the first counts double."""
+    x = np.array(evidence, dtype=float).reshape(-1, 3)
+    return np.stack([x[:, 0], 2 * x[:, 1] + x[:, 2]], axis=1)
+
+
+def logistic(x: np.ndarray, y: np.ndarray, ridge: tuple[float, ...] = (1.0, 0.02)) -> list[float]:
+    """Intercept and weights; both classes weigh the same, the intercept is not shrunk. The
+    whole text's difference is shrunk most: it is the one that short texts throw about."""
     if not len(y) or y.min() == y.max():
         return [0.0] * (x.shape[1] + 1)
     z = np.hstack([np.ones((len(y), 1)), x])
     share = np.where(y == 1, 0.5 / (y == 1).mean(), 0.5 / (y == 0).mean())
-    w, shrink = np.zeros(z.shape[1]), np.diag([1e-6] + [ridge] * x.shape[1])
+    w, shrink = np.zeros(z.shape[1]), np.diag([1e-6, *ridge])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -500, 500)))
         step = np.linalg.solve((z * (share * p * (1 - p))[:, None]).T @ z + shrink, z.T @ (share * (p - y)) + shrink @ w)
@@ -173,37 +182,40 @@ def labelled_sample(labels: DataFrame, allowed: Column, rows: int) -> DataFrame:
 
 def _count_grams(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: tuple[Counter, Counter] = (Counter(), Counter())
+        found = {(half, toxic): Counter() for half in (0, 1) for toxic in (0, 1)}
         for batch in rows_of(batches, 2000):
-            spelled: tuple[Counter, Counter] = (Counter(), Counter())
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                spelled[toxic].update(_WORD.findall(text.lower()) if text else ())
-            for toxic in (0, 1):
-                for word, n in spelled[toxic].items():
+            spelled = {key: Counter() for key in found}
+            for text, toxic, half in zip(*[batch.column(c).to_pylist() for c in ("text", "toxic", "half")]):
+                spelled[half, toxic].update(_WORD.findall(text.lower()) if text else ())
+            for key, words in spelled.items():
+                for word, n in words.items():
                     for gram in word_grams(word, order):
-                        found[toxic][gram] += n
-        for toxic in (0, 1):
+                        found[key][gram] += n
+        for (half, toxic), grams in found.items():
+            size = len(grams)
             yield pa.RecordBatch.from_pydict(
-                {"toxic": pa.array([toxic] * len(found[toxic]), pa.int32()), "gram": pa.array(list(found[toxic]), pa.string()),
-                 "n": pa.array(list(found[toxic].values()), pa.int64())}
+                {"half": pa.array([half] * size, pa.int32()), "toxic": pa.array([toxic] * size, pa.int32()),
+                 "gram": pa.array(list(grams), pa.string()), "n": pa.array(list(grams.values()), pa.int64())}
             )
 
     return run
 
 
 def learn(docs: DataFrame, labels: DataFrame, allowed: Column, *, order: int = ORDER, rows: int = ROWS) -> Model:
-    """Both models from one half of the labelled sample, the curve from the other."""
+    """Models and curve from the labelled sample."""
     sample = labelled_sample(labels, allowed, rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id")
     texts = stage(texts.select("doc_id", "text", "toxic", "half"))
-    grams = texts.where("half = 0").select("text", "toxic").mapInArrow(_count_grams(order), "toxic int, gram string, n long")
-    counts: tuple[dict[str, int], dict[str, int]] = ({}, {})
-    for toxic, gram, n in grams.groupBy("toxic", "gram").agg(F.sum("n")).collect():  # bounded by the sample
-        counts[toxic][gram] = n
-    model = Model(order, counts)
-    seen = scored(texts.where("half = 1"), model, ["toxic"]).select("toxic", "whole", "first", "second").collect()
-    x = np.array([r[1:] for r in seen], dtype=float).reshape(-1, 3)
-    model.weights = logistic(x, np.array([r[0] for r in seen]))
+    grams = texts.select("text", "toxic", "half").mapInArrow(_count_grams(order), "half int, toxic int, gram string, n long")
+    halves = [Model(order, (Counter(), Counter())) for _ in (0, 1)]
+    for half, toxic, gram, n in grams.groupBy("half", "toxic", "gram").agg(F.sum("n")).collect():  # bounded by the sample
+        halves[half].counts[toxic][gram] = n
+    model = Model(order, tuple(halves[0].counts[t] + halves[1].counts[t] for t in (0, 1)))
+    seen = []
+    for half in (0, 1):
+        others = scored(texts.where(F.col("half") == 1 - half), halves[half], ["toxic"])
+        seen += others.select("toxic", "whole", "first", "second").collect()
+    model.weights = logistic(condensed([tuple(r)[1:] for r in seen]), np.array([r[0] for r in seen]))
     return model
 
 
