@@ -9,9 +9,10 @@ queries the exact neighbours are found by brute force, and visits are widened un
 wanted share of them lies in visited leaves.
 
 Equal vectors are one entry of the index, with their smallest ids: as many as a result can
-hold and one more, so nothing that could be a result is lost. Leaves are cut into blocks of
-bounded size; a task holds one block and streams the queries that visit it through it,
-as matrix products.
+hold and one more, so nothing that could be a result is lost. Neighbouring leaves share a
+bin of bounded size and a larger leaf is cut into blocks; a task holds one bin or block and
+streams the queries that visit any of its leaves through it, a matrix product a leaf. So a
+query is sent, and answers, once a bin and not once a leaf.
 """
 
 from __future__ import annotations
@@ -37,8 +38,9 @@ LEAF_SAMPLE = 8  # sampled vectors that a leaf has at least
 BRANCHES = 8
 RECALL = 0.97
 PROBES = 128  # queries that the number of visits is calibrated with
-BLOCK = 4096
-CHUNK = 512
+BLOCK = 4096  # entries that a task holds at once
+CHUNK = 512  # queries in a matrix product
+SENT = 20_000  # rows of visits in a batch
 
 
 @dataclass
@@ -141,17 +143,19 @@ def _as_matrix(values: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(values), dtype=np.float64).reshape(len(values), -1)
 
 
-def _best(queries: np.ndarray, vectors: np.ndarray, ids: list[list[int]], k: int) -> list[list[tuple[float, int]]]:
-    """Per query (-score, id) of the k best, ties to smaller ids. Products find the
-    candidates; their scores are summed anew, one pair like another."""
-    rough = queries @ vectors.T
+def _best(
+    rough: np.ndarray, queries: np.ndarray, vectors: np.ndarray, ids: list[list[int]], k: int
+) -> list[list[tuple[float, int]]]:
+    """Per query (-score, id) of the k best, ties to smaller ids. Products (-inf where a
+    query does not look) find the candidates; their scores are summed anew, one pair like
+    another."""
+    edges = np.full(len(queries), -np.inf)
+    if len(vectors) > k:
+        edges = np.partition(rough, len(vectors) - k, axis=1)[:, len(vectors) - k]
+    edges = edges - 1e-9 * (1 + np.where(np.isfinite(edges), np.abs(edges), 0))
     out = []
-    for query, row in zip(queries, rough):
-        if len(row) > k:
-            edge = np.partition(row, len(row) - k)[len(row) - k]
-            near = np.flatnonzero(row >= edge - 1e-9 * (1 + abs(edge)))
-        else:
-            near = np.arange(len(row))
+    for query, row, edge in zip(queries, rough, edges):
+        near = np.flatnonzero((row >= edge) & (row > -np.inf))
         exact = np.einsum("ij,j->i", vectors[near], query)
         found = sorted((-s, i) for s, j in zip(exact.tolist(), near.tolist()) for i in ids[j])
         out.append(found[:k])
@@ -176,7 +180,8 @@ def brute_force(queries: list[tuple[bytes, bytes]], entries: DataFrame, k: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches, BLOCK):
-            found = _best(matrix, _as_matrix(batch.column("vec").to_pylist()), batch.column("ids").to_pylist(), k)
+            vectors = _as_matrix(batch.column("vec").to_pylist())
+            found = _best(matrix @ vectors.T, matrix, vectors, batch.column("ids").to_pylist(), k)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), _pairs(found)], names=["key", "found"])
 
     return _merged(entries.select("vec", "ids").mapInArrow(run, f"key binary, found {_CANDIDATES}"), k)
@@ -193,52 +198,89 @@ def _placed(entries: DataFrame, tree: Tree) -> DataFrame:
     return entries.select("key", "vec", "ids").mapInArrow(run, "leaf long, key binary, vec binary, ids array<long>")
 
 
-def _visited(queries: DataFrame, tree: Tree, sizes: dict[int, int], visits: int, k: int) -> DataFrame:
-    """key, vec, leaf: at least `visits` leaves and `k` candidates for each query."""
-    shared = queries.sparkSession.sparkContext.broadcast((tree, sizes))
+def _bins(entries: dict[int, int], block: int) -> dict[int, tuple[int, int]]:
+    """Bin of each leaf and the blocks that bin is cut into. Leaves with neighbouring
+    numbers lie side by side in the tree; they share a bin while it holds at most `block`
+    entries."""
+    out, number, held = {}, -1, block
+    for leaf in sorted(entries):
+        if held + entries[leaf] > block:
+            number, held = number + 1, 0
+        held += entries[leaf]
+        out[leaf] = (number, -(-entries[leaf] // block))
+    return out
+
+
+def _visited(
+    queries: DataFrame, tree: Tree, sizes: dict[int, int], bins: dict[int, tuple[int, int]], visits: int, k: int
+) -> DataFrame:
+    """key, vec, bin, blocks, leaves: at least `visits` leaves and `k` candidates for each
+    query, by bin."""
+    shared = queries.sparkSession.sparkContext.broadcast((tree, sizes, bins))
+    names, types = ["key", "vec", "bin", "blocks", "leaves"], (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, size = shared.value
-        for batch in rows_of(batches, CHUNK):
-            keys, vecs = batch.column("key").to_pylist(), batch.column("vec").to_pylist()
-            rows = []
-            for key, vec in zip(keys, vecs):
+        own, size, place = shared.value
+        rows = []
+
+        def packed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+        for batch in batches:
+            for key, vec in zip(batch.column("key").to_pylist(), batch.column("vec").to_pylist()):
                 seen = held = 0
+                by_bin: dict[tuple[int, int], list[int]] = {}
                 for leaf in own.visits(np.frombuffer(vec, dtype=np.float64)):
                     if size.get(leaf, 0):
-                        rows.append((key, vec, leaf))
+                        by_bin.setdefault(place[leaf], []).append(leaf)
                     seen, held = seen + 1, held + size.get(leaf, 0)
                     if seen >= visits and held >= k:
                         break
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.binary(), pa.binary(), pa.int64()))], names=["key", "vec", "leaf"])
+                rows += [(key, vec, *at, leaves) for at, leaves in by_bin.items()]
+                if len(rows) >= SENT:
+                    yield packed()
+                    rows = []
+        if rows:
+            yield packed()
 
-    return queries.mapInArrow(run, "key binary, vec binary, leaf long")
+    return queries.mapInArrow(run, "key binary, vec binary, bin long, blocks long, leaves array<long>")
 
 
 def _scan(k: int):
-    """Vectors of a block come first and are held; its queries stream through."""
+    """Vectors of a bin come first, by leaf, and are held; its queries stream through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, vecs, ids, matrix = None, [], [], None
+        place, vecs, ids, spans, matrix = None, [], [], {}, None
         for batch in rows_of(batches, CHUNK):
-            columns = [batch.column(c).to_pylist() for c in ("leaf", "block", "asks", "key", "vec", "ids")]
-            waiting: list[tuple[bytes, bytes]] = []
+            columns = [batch.column(c).to_pylist() for c in ("bin", "block", "asks", "leaf", "key", "vec", "ids", "leaves")]
+            waiting: list[tuple[bytes, bytes, list[int]]] = []
 
             def answer() -> Iterator[pa.RecordBatch]:
                 nonlocal matrix
                 if waiting and vecs:
                     matrix = _as_matrix(vecs) if matrix is None else matrix
-                    found = _best(_as_matrix([w[1] for w in waiting]), matrix, ids, k)
+                    queries = _as_matrix([w[1] for w in waiting])
+                    by_leaf: dict[int, list[int]] = {}
+                    for i, (_, _, leaves) in enumerate(waiting):
+                        for leaf in leaves:
+                            by_leaf.setdefault(leaf, []).append(i)
+                    rough = np.full((len(queries), len(vecs)), -np.inf)
+                    for leaf, asking in by_leaf.items():
+                        if leaf in spans:  # a block need not hold rows of the leaf
+                            start, stop = spans[leaf]
+                            rough[asking, start:stop] = queries[asking] @ matrix[start:stop].T
+                    found = _best(rough, queries, matrix, ids, k)
                     yield pa.RecordBatch.from_arrays([pa.array([w[0] for w in waiting], pa.binary()), _pairs(found)], names=["key", "found"])
                 waiting.clear()
 
-            for leaf, block, asks, key, vec, own in zip(*columns):
-                if (leaf, block) != place:
+            for number, block, asks, leaf, key, vec, own, leaves in zip(*columns):
+                if (number, block) != place:
                     yield from answer()
-                    place, vecs, ids, matrix = (leaf, block), [], [], None
+                    place, vecs, ids, spans, matrix = (number, block), [], [], {}, None
                 if asks:
-                    waiting.append((key, vec))
+                    waiting.append((key, vec, leaves))
                 else:
+                    spans[leaf] = (spans.get(leaf, (len(vecs),))[0], len(vecs) + 1)
                     vecs.append(vec)
                     ids.append(own)
             yield from answer()
@@ -270,17 +312,22 @@ def nearest(
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     tree = fit_tree(_as_matrix(picked), max(LEAF_SAMPLE, leaf_rows * len(picked) // count))
     index = stage(_placed(entries, tree))
-    sizes = {r[0]: r[1] for r in index.groupBy("leaf").agg(F.sum(F.size("ids"))).collect()}  # one row per leaf
+    leaves = index.groupBy("leaf").agg(F.sum(F.size("ids")), F.count(F.lit(1))).collect()  # one row per leaf
+    sizes, bins = {r[0]: r[1] for r in leaves}, _bins({r[0]: r[2] for r in leaves}, block)
     visits = _calibrated(queries, index, tree, k, recall, probes)
-    counts = index.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
-    held = index.join(F.broadcast(counts), "leaf")  # one row per leaf
-    held = held.select("leaf", F.pmod(F.xxhash64("key"), "blocks").alias("block"), F.lit(False).alias("asks"), "key", "vec", "ids")
-    asked = _visited(queries, tree, sizes, visits, k + 1).join(F.broadcast(counts), "leaf")
+    session = vectors.sparkSession
+    places = session.createDataFrame([(leaf, *at) for leaf, at in bins.items()], "leaf long, bin long, blocks long")
+    held = index.join(F.broadcast(places), "leaf")  # one row per leaf
+    held = held.select(
+        "bin", F.pmod(F.xxhash64("key"), "blocks").alias("block"), F.lit(False).alias("asks"), "leaf", "key", "vec", "ids",
+        F.lit(None).cast("array<long>").alias("leaves"),
+    )
+    asked = _visited(queries, tree, sizes, bins, visits, k + 1)
     asked = asked.select(
-        "leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("asks"), "key", "vec",
-        F.lit(None).cast("array<long>").alias("ids"),
+        "bin", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("asks"),
+        F.lit(None).cast("long").alias("leaf"), "key", "vec", F.lit(None).cast("array<long>").alias("ids"), "leaves",
     )
-    dealt = held.unionByName(asked).repartition(F.col("leaf"), F.col("block")).sortWithinPartitions("leaf", "block", "asks")
+    dealt = held.unionByName(asked).repartition(F.col("bin"), F.col("block")).sortWithinPartitions("bin", "block", "asks", "leaf")
     best = _merged(dealt.mapInArrow(_scan(k + 1), f"key binary, found {_CANDIDATES}"), k + 1)
     others = F.slice(F.filter("found", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
     out = asking.select("query_id", "key").join(best, "key").select("query_id", F.posexplode(others).alias("at", "hit"))
