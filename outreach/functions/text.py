@@ -76,6 +76,12 @@ def traveler_columns(template: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(own, token_column)))
 
 
+def display_locale(locale: Column) -> Column:
+    """A locale in delivered spelling: `en_us` becomes `en_US`."""
+    parts = F.split(locale, "_", 2)
+    return F.when(locale.isNotNull(), F.concat_ws("_", F.lower(parts[0]), F.upper(F.get(parts, F.lit(1)))))
+
+
 def output_name(audience: Column, run_date: Column, job_type: str, test_type: str | None) -> Column:
     """Audience name with the suffix of the run mode."""
     if job_type != "test":

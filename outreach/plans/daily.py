@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outreach.functions.dates import issue_id
-from outreach.functions.text import output_name, rewrite_tag
+from outreach.functions.dates import compact_date, issue_id
+from outreach.functions.text import display_locale, output_name, rewrite_tag
 from outreach.operators import allocation as A
 from outreach.operators import arbitration as R
 from outreach.operators import checks as Q
@@ -47,6 +47,15 @@ class Inputs:
     tie_break: list[str] = field(default_factory=lambda: ["user_id"])
 
 
+def same_case(tables):
+    """Inputs or a delivery with every locale in lower case, so that `en_US` meets `en_us`."""
+    def lower(df: DataFrame) -> DataFrame:
+        return df.withColumn("locale", F.lower("locale")) if "locale" in df.columns else df
+
+    own = {f.name: getattr(tables, f.name) for f in fields(tables)}
+    return replace(tables, **{name: lower(df) for name, df in own.items() if isinstance(df, DataFrame)})
+
+
 class Decisions:
     """Who gets which content, frame by frame and on demand.
 
@@ -57,7 +66,7 @@ class Decisions:
     """
 
     def __init__(self, inputs: Inputs, run: RunParams):
-        self.inputs = inputs
+        self.inputs = same_case(inputs)
         self.run = run
 
     @cached_property
@@ -189,7 +198,9 @@ class Decisions:
 
 @dataclass(frozen=True)
 class Delivery:
-    """Tables used after arbitration."""
+    """Tables used after arbitration. `schedule` holds the launch details; with `jobs` and
+    `details_locales`, only locales of the latter take their schedule from it and all others
+    take it from `jobs`."""
 
     tokens: DataFrame
     fallback_tokens: DataFrame
@@ -197,11 +208,19 @@ class Delivery:
     loyalty: DataFrame
     pos_mapping: DataFrame
     schedule: DataFrame
+    jobs: DataFrame | None = None
+    details_locales: DataFrame | None = None
+
+    @property
+    def launch_times(self) -> DataFrame:
+        if self.jobs is None or self.details_locales is None:
+            return self.schedule
+        return W.pick_schedule(self.schedule, self.jobs, self.details_locales)
 
 
 def deliver(decisions: Decisions, d: Delivery) -> DataFrame:
     """Final rows: ids, tokens, seeds, loyalty fields, recipient id, tags."""
-    run, tie = decisions.run, decisions.inputs.tie_break
+    run, tie, d = decisions.run, decisions.inputs.tie_break, same_case(d)
     launched = decisions.campaigns.select("campaign_id", "locale", "launch_date", "launch_time_utc").distinct()
     coded = (
         decisions.winners
@@ -245,26 +264,35 @@ WORKING = [
 ]
 
 
+def run_root(run: RunParams, root: str) -> str:
+    """The run's own folder: runs of another date, locale, program or mode stay as they are."""
+    return f"{root}/" + W.run_folder(
+        run.environment, run.job_type, run.test_type, run.run_date.isoformat(), run.locale, run.program
+    )
+
+
 def write(decisions: Decisions, delivered: DataFrame, d: Delivery, root: str) -> DataFrame:
-    """Write campaigns, module lists, manifest and metadata; returns the manifest."""
-    run = decisions.run
+    """Write campaigns, module lists and manifest below the run's folder, and metadata
+    below `root`; returns the manifest."""
+    run, own = decisions.run, run_root(decisions.run, root)
     rows = stage(delivered)
-    named = rows.withColumn(
-        "audience", output_name(F.col("audience_name"), F.col("launch_date"), run.job_type, run.test_type)
-    )
+    name = output_name(F.col("audience_name"), F.col("launch_date"), run.job_type, run.test_type)
+    named = rows.withColumn("audience", name).withColumn("locale", display_locale(F.col("locale")))
     slots = M.slot_list(decisions.active).first()["slots"]
-    W.write_campaigns(
-        N.output_projection(S.slot_columns(named, slots), ["picks", *WORKING], "authrealm"), f"{root}/campaigns"
-    )
-    W.write_modules(S.campaign_modules(rows), f"{root}/modules")
+    campaigns = N.output_projection(S.slot_columns(named, slots), ["picks", *WORKING], "authrealm")
+    W.write_campaigns(campaigns, f"{own}/campaigns")
+    W.write_modules(S.campaign_modules(rows), f"{own}/modules")
     master = W.audience_master(decisions.campaigns, run.environment, F.lit(run.run_date))
-    summary = (
+    sids = master.select("campaign_id", "campaign_date", "sid").distinct()
+    summary = stage(
         W.campaign_summary(decisions.campaigns, rows)
-        .withColumn("file_name", output_name(F.col("audience_name"), F.col("launch_date"), run.job_type, run.test_type))
-        .join(master.select("campaign_id", "sid"), "campaign_id")
+        .withColumn("file_name", name)
+        .withColumn("campaign_date", compact_date(F.col("launch_date")))
+        .join(sids, ["campaign_id", "campaign_date"])
     )
-    listed = W.manifest(summary, d.schedule, f"{root}/campaigns")
-    W.write_manifest(listed, f"{root}/manifest")
+    W.write_empty_campaigns(summary, campaigns, f"{own}/campaigns")
+    listed = W.manifest(summary, d.launch_times, own)
+    W.write_manifest(listed, f"{own}/manifest")
     W.snapshot_metadata(
         M.module_variables(decisions.active, decisions.variables), F.lit(run.run_date), f"{root}/metadata"
     )

@@ -11,6 +11,26 @@ from outreach.functions.text import program_part
 MAX_FILE_ROWS = 5_000_000
 
 
+def folder_name(name: Column) -> Column:
+    """A name as part of a path: letters, digits, dot, dash and underscore stay. Names that
+    become equal are told apart by the SID in their path."""
+    safe = F.regexp_replace(F.coalesce(name, F.lit("")), r"(?U)[^\w.-]", "_")
+    return F.when(safe == "", F.lit("unnamed")).otherwise(safe)
+
+
+def audience_folder(root: str, launch_date: Column, audience: Column, sid: Column) -> Column:
+    """Where `write_campaigns` puts a campaign below its root."""
+    return F.concat(
+        F.lit(f"{root}/launch_date="), launch_date.cast("string"), F.lit("/audience="), folder_name(audience),
+        F.lit("/sid="), sid.cast("string"),
+    )
+
+
+def modules_folder(root: str, campaign_id: Column) -> Column:
+    """Where `write_modules` puts a campaign's module list below its root."""
+    return F.concat(F.lit(f"{root}/campaign_id="), campaign_id.cast("string"))
+
+
 def with_program_parts(campaigns: DataFrame) -> DataFrame:
     c = F.col("program_type")
     names = ("subchannel", "program", "campaign_code", "lob_intent")
@@ -60,13 +80,13 @@ def campaign_summary(campaigns: DataFrame, rows: DataFrame) -> DataFrame:
 def manifest(summary: DataFrame, schedule: DataFrame, root: str) -> DataFrame:
     """Written folders joined with their schedule and sorted by it: the audience of every
     campaign, and the module list of those that were not suppressed."""
-    def entry(name: Column, leaf: Column) -> list[Column]:
-        path = F.concat_ws("/", F.lit(root), F.col("launch_date").cast("string"), F.col("file_name"), leaf)
+    def entry(name: Column, path: Column) -> list[Column]:
         return [F.col("campaign_id"), name.alias("staging_filename"), path.alias("path"), F.col("sid")]
 
-    audiences = summary.select(*entry(F.col("file_name"), F.col("sid").cast("string")))
+    folder = audience_folder(f"{root}/campaigns", F.col("launch_date"), F.col("file_name"), F.col("sid"))
+    audiences = summary.select(*entry(F.col("file_name"), folder))
     modules = summary.where(F.col("suppressed") == 0).select(
-        *entry(F.concat("file_name", F.lit("_modules")), F.lit("modules"))
+        *entry(F.concat("file_name", F.lit("_modules")), modules_folder(f"{root}/modules", F.col("campaign_id")))
     )
     return (
         audiences.unionByName(modules)
@@ -87,19 +107,28 @@ def pick_schedule(details: DataFrame, jobs: DataFrame, enabled: DataFrame) -> Da
 
 
 def write_campaigns(rows: DataFrame, path: str) -> None:
-    """One folder per launch date, audience and SID.
+    """One folder per launch date, audience and SID, named as `audience_folder` has it.
 
     REBALANCE puts a campaign's rows together and splits those of a large one over several
     tasks, so neither small files nor one giant task result.
     """
     keys = ["launch_date", "audience", "sid"]
     (
-        rows.drop("campaign_id").hint("rebalance", *keys)
+        rows.drop("campaign_id").withColumn("audience", folder_name(F.col("audience"))).hint("rebalance", *keys)
         .write.mode("overwrite").option("maxRecordsPerFile", MAX_FILE_ROWS)
         .partitionBy(*keys).parquet(path)
     )
 
 
+def write_empty_campaigns(summary: DataFrame, rows: DataFrame, path: str) -> None:
+    """An empty folder for each suppressed campaign of the summary (one row a campaign)."""
+    folder = audience_folder(path, F.col("launch_date"), F.col("file_name"), F.col("sid"))
+    shape = rows.drop("campaign_id", "launch_date", "audience", "sid").schema
+    nothing = rows.sparkSession.createDataFrame([], shape)
+    for (place,) in summary.where(F.col("suppressed") == 1).select(folder).collect():
+        nothing.write.mode("overwrite").parquet(place)
+
+
 def write_modules(modules: DataFrame, path: str) -> None:
     modules.write.mode("overwrite").partitionBy("campaign_id").parquet(path)
 
@@ -110,9 +139,9 @@ def write_manifest(rows: DataFrame, path: str) -> None:
 
 
 def snapshot_metadata(meta: DataFrame, run_date: Column, path: str) -> None:
-    meta.withColumn("run_date", run_date).write.mode("overwrite").partitionBy(
-        "locale", "run_date"
-    ).parquet(path)
+    """Replaces the snapshot of this run's locales and date; others stay."""
+    dated = meta.withColumn("run_date", run_date)
+    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("locale", "run_date").parquet(path)
 
 
 def run_folder(environment: str, job: str, test: str | None, date: str, locale: str | None, program: str) -> str:

@@ -713,10 +713,10 @@ FROM run_campaign LEFT JOIN (SELECT campaign_id, user_id FROM winner) USING (cam
 _SQL["campaign_summary"] = _SUMMARY
 _SQL["launch_manifest"] = f"""
 SELECT campaign_id, staging_filename, path, sid, strftime(scheduled_launch_time, {_STAMP}) AS scheduled_launch_time
-FROM (SELECT campaign_id, audience_name AS staging_filename, concat('out/2001-08-01/', audience_name, '/', sid) AS path, sid
+FROM (SELECT campaign_id, audience_name AS staging_filename, concat('out/campaigns/launch_date=2001-08-01/audience=', regexp_replace(audience_name, '[^A-Za-z0-9_.-]', '_', 'g'), '/sid=', sid) AS path, sid
       FROM ({_SUMMARY}) s JOIN run_master USING (campaign_id)
       UNION ALL
-      SELECT campaign_id, audience_name || '_modules', concat('out/2001-08-01/', audience_name, '/modules'), sid
+      SELECT campaign_id, audience_name || '_modules', concat('out/modules/campaign_id=', campaign_id), sid
       FROM ({_SUMMARY}) s JOIN run_master USING (campaign_id) WHERE suppressed = 0)
 JOIN schedule USING (campaign_id)"""
 _SQL["test_tag"] = "SELECT tpid, eapid, locale, test_keys, module_code, test_tag FROM test_tags"

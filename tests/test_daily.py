@@ -1,13 +1,16 @@
 """The whole run on the driver's tables: invariants, repeatability, outputs, plan shape."""
 
+import datetime as dt
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from outreach.functions.text import display_locale
 from outreach.operators.slots import module_code
-from outreach.params import SEED_ACCOUNT
-from outreach.plans.daily import Delivery, deliver, write
+from outreach.params import SEED_ACCOUNT, RunParams
+from outreach.plans.daily import Delivery, deliver, run_root, same_case, write
+from outreach.sources.sinks import folder_name, snapshot_metadata
 from outreach.workload.fixtures import Domain
 from outreach.workload.queries import decisions
 
@@ -30,7 +33,8 @@ def run(spark):
 def test_delivered_rows_and_files(spark, run, tmp_path):
     made, tables, rows = run
     listed = write(made, rows, tables, str(tmp_path)).collect()
-    out = spark.read.parquet(f"{tmp_path}/campaigns")
+    own = run_root(made.run, str(tmp_path))
+    out = spark.read.parquet(f"{own}/campaigns")
     people = out.where(F.col("PAID") != SEED_ACCOUNT)
     assert people.count() > 0
     # one campaign per address, and per address and account one row
@@ -47,11 +51,45 @@ def test_delivered_rows_and_files(spark, run, tmp_path):
     merch = tables.seeds.where("category = 'Merch' AND is_active = 1").select(F.col("seed_email").alias("EmailAddress"))
     assert seeds.join(merch, "EmailAddress", "left_anti").isEmpty()
     # every module list row is used, manifest is sorted and names modules of sent campaigns only
-    modules = spark.read.parquet(f"{tmp_path}/modules")
+    modules = spark.read.parquet(f"{own}/modules")
     assert modules.select("campaign_id").distinct().count() == out.select("sid").distinct().count()
     times = [(r.scheduled_launch_time, r.staging_filename) for r in listed]
     assert times == sorted(times)
     assert not spark.read.parquet(f"{tmp_path}/metadata").isEmpty()
+    # every listed folder opens; the campaigns hold all rows, and the suppressed ones none
+    held = [spark.read.parquet(r.path).count() for r in listed if not r.staging_filename.endswith("_modules")]
+    scheduled = out.join(spark.createDataFrame([(r.sid,) for r in listed], "sid long").distinct(), "sid", "left_semi")
+    assert 0 in held and sum(held) == scheduled.count()
+    assert all(spark.read.parquet(r.path).count() for r in listed if r.staging_filename.endswith("_modules"))
+
+
+def test_runs_do_not_share_folders():
+    day = dt.date(2001, 8, 1)
+    runs = [RunParams(run_date=day), RunParams(run_date=day, locale="en_us"), RunParams(run_date=day, job_type="test")]
+    runs.append(RunParams(run_date=dt.date(2001, 8, 2)))
+    assert len({run_root(r, "/out") for r in runs}) == len(runs)
+
+
+def test_a_snapshot_leaves_other_dates_and_locales(spark, tmp_path):
+    path = str(tmp_path / "metadata")
+    for locale, day in (("en_us", "2001-08-01"), ("en_gb", "2001-08-01"), ("en_us", "2001-08-02"), ("en_us", "2001-08-02")):
+        snapshot_metadata(spark.createDataFrame([(1, locale)], "module_id int, locale string"), F.lit(day), path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_folder_names_and_locale_spelling(spark):
+    rows = spark.createDataFrame([("A#1/b c", "en_us"), ("", "EN_us"), (None, "fr"), ("Ä.x-1_", None)], "n string, l string")
+    out = rows.select(folder_name(F.col("n")), display_locale(F.col("l"))).collect()
+    assert [r[0] for r in out] == ["A_1_b_c", "unnamed", "unnamed", "Ä.x-1_"]
+    assert [r[1] for r in out] == ["en_US", "en_US", "fr", None]
+
+
+def test_locales_meet_in_any_case(spark):
+    rows = spark.createDataFrame([("en_US", 1), (None, 2)], "locale string, n int")
+    tables = Delivery(*[rows] * 5, schedule=rows.drop("locale"))
+    lowered = same_case(tables)
+    assert [r.locale for r in lowered.seeds.orderBy("n").collect()] == ["en_us", None]
+    assert lowered.schedule.columns == ["n"] and lowered.jobs is None
 
 
 def test_rerun_gives_the_same_codes(spark, run):
