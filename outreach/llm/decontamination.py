@@ -3,12 +3,15 @@
 Words are runs of letters and digits, lower-cased, so case and punctuation edits do not
 matter. One pass over the corpus notes which documents hold which seed (an n-gram of an
 item). A seed is rare if it lies in at most RARE times as many documents as the lower
-quartile of its own item's seeds: relative to the item, so that a passage copied into a
-third of the corpus keeps its seeds. Documents joined to an item by a rare seed are aligned
+quartile of its own item's seeds. Documents joined to an item by a rare seed are aligned
 with it: the whole document against the whole item, word by word. The score counts +2 for
 an equal word, -1 for a changed, extra or missing one; the share is the score divided by
 that of a perfect copy.
 
+A document that holds only common seeds of an item, a single one being enough, is aligned
+with it too, unless a bound on the score, which no alignment exceeds, stays below what is
+asked for. So the frequency of a passage decides about the work, never about the result.
+
 The benchmark goes to the tasks in blocks of at most BLOCK items of bounded length, so its
 size has no limit.
 """
@@ -72,6 +75,21 @@ def align(doc: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
     return score, end - back, end
 
 
+def may_reach(doc: np.ndarray, words: np.ndarray, length: int, need: float) -> bool:
+    """False if no alignment of `doc` with an item of `length` words, `words` its sorted
+    distinct ones, scores `need`. A document word that the item lacks costs OTHER wherever
+    an alignment spans it, any other gains MATCH at the most; and with `length` matches at
+    the most an alignment that scores `need` spans a bounded number of document words."""
+    known = words[np.minimum(np.searchsorted(words, doc), len(words) - 1)] == doc
+    score = np.concatenate([[0], np.cumsum(np.where(known, MATCH, -OTHER))])
+    if (score - np.minimum.accumulate(score)).max() < need:
+        return False
+    span = max(1, length + int((MATCH * length - need) // OTHER))
+    held = np.concatenate([[0], np.cumsum(known)])
+    most = (held[span:] - held[:-span]).max() if span < len(held) else held[-1]
+    return MATCH * min(most, length) >= need
+
+
 def _item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """Distinct items with words, a bounded block at a time."""
     items = benchmark.where(F.col("item_id").isNotNull() & (F.length("text") > 0))
@@ -119,13 +137,20 @@ def _align_all(items: list[tuple[int, np.ndarray]], share: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
+        words: dict[int, np.ndarray] = {}
         for batch in rows_of(batches, 200):
             out = []
-            columns = [batch.column(c).to_pylist() for c in ("doc_id", "text", "items")]
-            for doc_id, text, wanted in zip(*columns):
+            columns = [batch.column(c).to_pylist() for c in ("doc_id", "text", "items", "others")]
+            for doc_id, text, wanted, others in zip(*columns):
                 doc = hashes.of(plain_words(text))
-                for k in wanted:
+                certain = set(wanted)
+                for k in [*wanted, *(k for k in others if k not in certain)]:
                     item_id, own = items[k]
+                    if k not in certain:
+                        if k not in words:
+                            words[k] = np.unique(own)
+                        if not may_reach(doc, words[k], len(own), share * MATCH * len(own)):
+                            continue
                     score, first, end = align(doc, own)
                     if score >= share * MATCH * len(own):
                         out.append((doc_id, item_id, score, score / (MATCH * len(own)), first, end))
@@ -143,7 +168,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, n: int = SEED, rare:
     row per document and item, the best alignment, where its share reaches `share`.
 
     Null and empty texts hold no copies; items without text, or with fewer than `n` words,
-    have no seed and find nothing. Rows without an id are not searched. Rows that repeat a
+    have no seed and find nothing. A copy is found if it holds `n` words in a row of its
+    item, however many documents hold them; `rare` bears on the work alone. Rows without an id are not searched. Rows that repeat a
     doc_id or item_id count as one, with the best alignment of any of them (ties: the
     earliest span). An empty table on either side gives an empty result.
     """
@@ -162,15 +188,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, n: int = SEED, rare:
         counts = np.zeros(len(grams), dtype=np.int64)
         for gram, count in held.groupBy("gram").agg(F.count(F.lit(1))).collect():  # bounded by the block
             counts[gram] = count
-        rare_of = defaultdict(list)
+        items_of = defaultdict(list)
         for k, own in enumerate(seeds):
             at = np.searchsorted(grams, own)
-            for gram in at[counts[at] <= rare * max(1, np.quantile(counts[at], 0.25, method="lower"))].tolist():
-                rare_of[gram].append(k)
-        pairs = spark.createDataFrame([(g, ks) for g, ks in sorted(rare_of.items())], "gram long, ks array<int>")
+            is_rare = counts[at] <= rare * max(1, np.quantile(counts[at], 0.25, method="lower"))
+            for gram, first in zip(at.tolist(), is_rare.tolist()):
+                if counts[gram]:
+                    items_of[gram].append((k, first))
+        pairs = spark.createDataFrame(sorted(items_of.items()), "gram long, ks array<struct<k: int, rare: boolean>>")
         # Bounded by the block, like the items that the tasks align with.
-        joined = held.join(F.broadcast(pairs), "gram").select("doc_id", F.explode("ks").alias("k"))
-        wanted = joined.groupBy("doc_id").agg(F.sort_array(F.collect_set("k")).alias("items"))
+        joined = held.join(F.broadcast(pairs), "gram").select("doc_id", F.inline("ks"))
+        first, other = (F.sort_array(F.collect_set(F.when(F.col("rare") == is_rare, F.col("k")))) for is_rare in (True, False))
+        wanted = joined.groupBy("doc_id").agg(first.alias("items"), other.alias("others"))
         near = texts.join(wanted, "doc_id")
         parts.append(near.mapInArrow(_align_all(items, share), _FOUND))
     if not parts:

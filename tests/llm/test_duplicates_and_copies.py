@@ -146,6 +146,30 @@ def test_edited_copies_and_common_passages(spark, monkeypatch):
     assert decontamination.contaminated(docs, items.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("words, changed, verbatim", [(20, 2, 0), (30, 3, 0), (50, 4, 1), (12, 1, 0)])
+def test_repeated_edited_passages_are_found(spark, words, changed, verbatim):
+    item = [f"item{i}" for i in range(words)]
+    step = words // (changed + 1)
+    edited = [f"new{i}" if i and i % step == 0 and i // step <= changed else w for i, w in enumerate(item)]
+    rng = random.Random(4)
+    rows = [(i, " ".join([f"z{rng.randrange(500)}" for _ in range(20)] + (item if i < verbatim else edited))) for i in range(50)]
+    rows += [(100 + i, f"{rng.random()} " + " ".join(item[:3])) for i in range(50)]  # a seed alone is no copy
+    bench = frame(spark, [(7, " ".join(item))], "item_id long, text string")
+    found = decontamination.contaminated(frame(spark, rows), bench).collect()
+    assert sorted(r.doc_id for r in found) == list(range(50))
+
+
+def test_no_alignment_exceeds_the_bound():
+    rng = random.Random(5)
+    for _ in range(500):
+        doc = np.array([rng.randrange(12) for _ in range(rng.randrange(1, 60))], dtype=np.uint64)
+        item = np.array([rng.randrange(9) for _ in range(rng.randrange(3, 15))], dtype=np.uint64)
+        need = 0.5 * 2 * len(item)
+        score, _, _ = decontamination.align(doc, item)
+        assert score < need or decontamination.may_reach(doc, np.unique(item), len(item), need)
+    assert not decontamination.may_reach(doc + np.uint64(50), np.unique(item), len(item), need)
+
+
 # Pipeline ----------------------------------------------------------------------------
 
 
