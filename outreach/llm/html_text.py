@@ -8,6 +8,10 @@ or has few stop words is ambiguous. The second pass gives ambiguous blocks the l
 their nearest decided neighbours before and after: content where these agree on it, or
 where one says so and the block has stop words or is a heading.
 
+A class, an id or a form tag is weak evidence: layouts are called `with-sidebar`, and whole
+pages lie in one form. Such a container is opened, and what it encloses judged like the
+rest, if it holds the page's only article or most of its running text.
+
 A page that marks its article (`article` or `main`) settles two questions that densities
 cannot: nothing outside is content, and inside a block is ambiguous unless it is mostly
 links, with neighbours sought inside only and the article itself as the last word.
@@ -18,6 +22,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from html import unescape
 
 import pyarrow as pa
@@ -30,6 +35,7 @@ SHORT = 70  # characters; a shorter block alone decides nothing
 LONG = 200
 LINKS = 0.5  # share of characters in links that makes a block boilerplate
 STOP_LOW, STOP_HIGH = 0.20, 0.30
+ROUNDS = 20  # of opening nested containers; in deeper nests names count for nothing
 
 # Function words of English, French, German and Spanish.
 STOP_WORDS = {
@@ -54,6 +60,8 @@ _NAMES = frozenset(
     "disclaimer disqus footer gdpr menu modal nav navbar navigation newsletter notice notification pagination popup promo "
     "related replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+# Running text that is not the page's own: opened only if the page has no other.
+_OTHERS = frozenset("comment comments consent cookie cookies disclaimer disqus gdpr newsletter replies respond".split())
 _ROOTS = frozenset("html body article main".split())
 
 _TOKEN = re.compile(
@@ -74,34 +82,53 @@ class Block:
     heading: bool
     inside: int  # number of the article it lies in, 0 for none
     skipped: bool
+    weak: int = 0  # number of the container it is skipped with on weak evidence, 0 for none
+    own: bool = False  # lies in an article inside that container
+    others: bool = False  # that container is named as one of other people's text
+
+    @cached_property
+    def stops(self) -> float:
+        return stop_share(self.text)
+
+    @property
+    def running(self) -> int:
+        """Characters, if the block is running text."""
+        size = len(self.text)
+        return size if self.linked <= LINKS * size and self.stops >= STOP_LOW else 0
 
 
-def _says_boilerplate(attrs: str, in_article: bool) -> bool:
+def _boilerplate_names(attrs: str, in_article: bool) -> set[str] | None:
+    """What in class or id says boilerplate; None if the role says so."""
+    found: set[str] = set()
     for name, value in _NAMED.findall(attrs):
         value = value.strip("\"'")
         if name.lower() == "role":
             if value.lower() in _ROLES:
-                return True
+                return None
         elif name.lower() in ("class", "id"):
             parts = {p.lower() for p in _PARTS.findall(value)}
-            if parts & _NAMES or ("header" in parts and not in_article):
-                return True
-    return False
+            found |= parts & _NAMES
+            if "header" in parts and not in_article:
+                found.add("header")
+    return found
 
 
-def blocks(html: str | None) -> list[Block]:
-    """Blocks with text, in page order."""
+def blocks(html: str | None, opened: frozenset[int] | None = frozenset()) -> list[Block]:
+    """Blocks with text, in page order. `opened` containers, None for all, are skipped on
+    strong evidence only."""
     out: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
     skip = ""  # the tag whose end closes the skipped container
+    weak = own = 0  # its number if the evidence is weak; articles open inside it
+    others = False
     depth = articles = inside = nested = links = 0
     heading = False
 
     def flush() -> None:
         text = " ".join("".join(parts).split())
         if text:
-            out.append(Block(text, len(" ".join("".join(linked).split())), heading, inside, bool(skip)))
+            out.append(Block(text, len(" ".join("".join(linked).split())), heading, inside, bool(skip), weak if skip else 0, bool(skip and own), bool(skip and others)))
         parts.clear()
         linked.clear()
 
@@ -142,6 +169,9 @@ def blocks(html: str | None) -> list[Block]:
                 if not depth:
                     skip = ""
                 continue
+            elif tag in ("article", "main") and (own or not end):
+                own += -1 if end else 1
+                continue
             elif end and tag in ("article", "main", "body", "html"):
                 skip = ""
             else:
@@ -155,13 +185,17 @@ def blocks(html: str | None) -> list[Block]:
             elif nested:
                 nested -= 1
                 inside = inside if nested else 0
-        elif not end and tag not in _VOID and (
-            tag in _SKIPPED or (tag == "header" and not inside)
-            or (tag not in _ROOTS and (block or tag in ("span", "ins", "b", "i")) and _says_boilerplate(m.group("attrs"), bool(inside)))
-        ):
-            if not block:
-                flush()
-            skip, depth = tag, 1
+        elif not end and tag not in _VOID:
+            strong = (tag in _SKIPPED and tag != "form") or (tag == "header" and not inside)
+            names: set[str] | None = set()
+            if not strong and tag not in _ROOTS and (block or tag in ("span", "ins", "b", "i")):
+                names = _boilerplate_names(m.group("attrs"), bool(inside))
+                strong = names is None
+            if strong or ((names or tag == "form") and opened is not None and at not in opened):
+                if not block:
+                    flush()
+                skip, depth, own = tag, 1, 0
+                weak, others = (0, False) if strong else (at, bool(names & _OTHERS))
     add(html[at:])
     flush()
     return out
@@ -175,12 +209,46 @@ def stop_share(text: str) -> float:
     return max(sum(w in own for w in words) for own in _STOP.values()) / len(words)
 
 
+def _to_open(found: list[Block]) -> frozenset[int]:
+    """Numbers of the containers skipped on weak evidence that hold the page's text."""
+    numbers = {b.weak for b in found if b.weak}
+    if not numbers:
+        return frozenset()
+    outside = sum(b.running for b in found if not b.skipped)
+    marked = any(b.inside and not b.skipped for b in found)
+    total = outside + sum(b.running for b in found if b.weak)
+    whole, article, others = dict.fromkeys(numbers, 0), {}, set()
+    for b in found:
+        if b.weak:
+            whole[b.weak] += b.running
+            if b.own:
+                article[b.weak] = article.get(b.weak, 0) + b.running
+            if b.others:
+                others.add(b.weak)
+    return frozenset(
+        n for n in numbers
+        if (2 * whole[n] > total or (not marked and article.get(n, -1) >= outside)) and not (n in others and outside)
+    )
+
+
+def page_blocks(html: str | None) -> list[Block]:
+    """Blocks, with the containers opened that hold the page's text."""
+    opened: frozenset[int] = frozenset()
+    for _ in range(ROUNDS):
+        found = blocks(html, opened)
+        more = _to_open(found)
+        if not more:
+            return found
+        opened |= more
+    return blocks(html, None)
+
+
 def first_pass(block: Block, marked: bool) -> str:
     """good, bad, near (ambiguous with stop words) or short (ambiguous)."""
     size = len(block.text)
     if block.skipped or (marked and not block.inside) or block.linked > LINKS * size:
         return "bad"
-    stops = stop_share(block.text)
+    stops = block.stops
     if size < SHORT:
         return "short"
     if stops >= STOP_HIGH:
@@ -219,7 +287,7 @@ def second_pass(found: list[Block], labels: list[str]) -> list[bool]:
 
 def main_text(html: str | None) -> str:
     """Content blocks, white space in each turned into single spaces, joined by blank lines."""
-    found = blocks(html)
+    found = page_blocks(html)
     marked = any(b.inside for b in found)
     labels = [first_pass(b, marked) for b in found]
     return "\n\n".join(b.text for b, keep in zip(found, second_pass(found, labels)) if keep)

@@ -40,6 +40,22 @@ def test_main_text(html, want):
     assert html_text.main_text(html) == want
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<div class='layout with-sidebar'><article><p>Keep.</p></article><div class='sidebar'>x</div></div>", "Keep."),
+    (f"<div class='no-sidebar'><p>{LONG}</p><div class='share'>Share</div></div><footer>F</footer>", LONG.strip()),
+    (f"<div id='page-header-wrap'><div class='has-menu'><main><p>{LONG}</p><div class='ad'><p>Buy</p></div></main></div></div>", LONG.strip()),
+    (f"<form action='/'><nav>N</nav><p>{LONG}</p><input></form>", LONG.strip()),
+    ("<form><article><p>Keep.</p></article></form>", "Keep."),
+    (f"<main><div class='widget-page'><p>{LONG}</p></div></main>", LONG.strip()),
+    (f"<article><p>Keep.</p></article><div class='related'><article><p>Other.</p></article></div>", "Keep."),
+    (f"<p>{LONG}</p><div id='comments'><article><p>{LONG}{LONG}</p></article></div>", LONG.strip()),
+    ("<aside><article><p>Other.</p></article><p>x</p></aside><div class='ad'><article><p>Keep.</p></article></div>", "Keep."),
+    ("<div class='ad'>" * 3000 + f"<p>{LONG}</p>", LONG.strip()),
+])
+def test_wrappers_do_not_hide_the_text(html, want):
+    assert html_text.main_text(html) == want
+
+
 def test_ambiguous_blocks_follow_their_neighbours():
     found = [html_text.Block(t, 0, False, 0, False) for t in "abcde"]
     assert html_text.second_pass(found, ["good", "short", "good", "short", "bad"]) == [True, True, True, False, False]
