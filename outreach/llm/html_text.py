@@ -8,6 +8,11 @@ or has few stop words is ambiguous. The second pass gives ambiguous blocks the l
 their nearest decided neighbours before and after: content where these agree on it, or
 where one says so and the block has stop words or is a heading.
 
+Stop words are known for a few languages only, and code, tables and lists have few in any.
+So where long blocks without them outweigh those with them, they say nothing about the page:
+long blocks are content and shorter ones ambiguous, unless they are mostly links. On other
+pages blocks with few stop words are ambiguous, too.
+
 A class, an id or a form tag is weak evidence: layouts are called `with-sidebar`, and whole
 pages lie in one form. Such a container is opened, and what it encloses judged like the
 rest, if it holds the page's only article or most of its running text.
@@ -35,6 +40,7 @@ SHORT = 70  # characters; a shorter block alone decides nothing
 LONG = 200
 LINKS = 0.5  # share of characters in links that makes a block boilerplate
 STOP_LOW, STOP_HIGH = 0.20, 0.30
+WIDE = 3
 ROUNDS = 20  # of opening nested containers; in deeper nests names count for nothing
 
 # Function words of English, French, German and Spanish.
@@ -73,6 +79,7 @@ _TOKEN = re.compile(
 _NAMED = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.IGNORECASE)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _WORD = re.compile(r"[^\W\d_]+")
+_WIDE = re.compile("[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]")  # say as much as WIDE others
 
 
 @dataclass
@@ -90,11 +97,18 @@ class Block:
     def stops(self) -> float:
         return stop_share(self.text)
 
+    @cached_property
+    def size(self) -> int:
+        """Characters, wide ones counted WIDE times."""
+        return len(self.text) if self.text.isascii() else len(self.text) + (WIDE - 1) * len(_WIDE.findall(self.text))
+
     @property
-    def running(self) -> int:
-        """Characters, if the block is running text."""
-        size = len(self.text)
-        return size if self.linked <= LINKS * size and self.stops >= STOP_LOW else 0
+    def links(self) -> bool:
+        return self.linked > LINKS * len(self.text)
+
+    def running(self, dense: bool) -> int:
+        """Size, if the block is running text: by its stop words, or else by its length."""
+        return self.size if not self.links and (self.stops >= STOP_LOW if dense else self.size >= SHORT) else 0
 
 
 def _boilerplate_names(attrs: str, in_article: bool) -> set[str] | None:
@@ -209,20 +223,27 @@ def stop_share(text: str) -> float:
     return max(sum(w in own for w in words) for own in _STOP.values()) / len(words)
 
 
+def stops_tell(found: list[Block]) -> bool:
+    """Whether stop words tell text from boilerplate in these blocks."""
+    long = [b for b in found if b.size >= SHORT and not b.links]
+    return 2 * sum(b.size for b in long if b.stops >= STOP_LOW) >= sum(b.size for b in long)
+
+
 def _to_open(found: list[Block]) -> frozenset[int]:
     """Numbers of the containers skipped on weak evidence that hold the page's text."""
     numbers = {b.weak for b in found if b.weak}
     if not numbers:
         return frozenset()
-    outside = sum(b.running for b in found if not b.skipped)
+    dense = stops_tell([b for b in found if b.weak or not b.skipped])
+    outside = sum(b.running(dense) for b in found if not b.skipped)
     marked = any(b.inside and not b.skipped for b in found)
-    total = outside + sum(b.running for b in found if b.weak)
+    total = outside + sum(b.running(dense) for b in found if b.weak)
     whole, article, others = dict.fromkeys(numbers, 0), {}, set()
     for b in found:
         if b.weak:
-            whole[b.weak] += b.running
+            whole[b.weak] += b.running(dense)
             if b.own:
-                article[b.weak] = article.get(b.weak, 0) + b.running
+                article[b.weak] = article.get(b.weak, 0) + b.running(dense)
             if b.others:
                 others.add(b.weak)
     return frozenset(
@@ -243,19 +264,24 @@ def page_blocks(html: str | None) -> list[Block]:
     return blocks(html, None)
 
 
-def first_pass(block: Block, marked: bool) -> str:
-    """good, bad, near (ambiguous with stop words) or short (ambiguous)."""
-    size = len(block.text)
-    if block.skipped or (marked and not block.inside) or block.linked > LINKS * size:
+def first_pass(block: Block, marked: bool, dense: bool = True) -> str:
+    """good, bad, near (ambiguous with stop words or long) or short (ambiguous). Unless
+    `dense`, few stop words say nothing."""
+    size = block.size
+    if block.skipped or (marked and not block.inside) or block.links:
         return "bad"
-    stops = block.stops
     if size < SHORT:
         return "short"
+    stops = block.stops
     if stops >= STOP_HIGH:
         return "good" if size > LONG or block.inside else "near"
     if stops >= STOP_LOW:
         return "near"
-    return "short" if block.inside else "bad"
+    if block.inside:
+        return "short"
+    if dense:
+        return "near" if size > LONG else "short"
+    return "good" if size > LONG else "near"
 
 
 def second_pass(found: list[Block], labels: list[str]) -> list[bool]:
@@ -289,7 +315,8 @@ def main_text(html: str | None) -> str:
     """Content blocks, white space in each turned into single spaces, joined by blank lines."""
     found = page_blocks(html)
     marked = any(b.inside for b in found)
-    labels = [first_pass(b, marked) for b in found]
+    dense = marked or stops_tell([b for b in found if not b.skipped])
+    labels = [first_pass(b, marked, dense) for b in found]
     return "\n\n".join(b.text for b, keep in zip(found, second_pass(found, labels)) if keep)
 
 

@@ -56,6 +56,24 @@ def test_wrappers_do_not_hide_the_text(html, want):
     assert html_text.main_text(html) == want
 
 
+RUSSIAN = "Кошка и собака живут в доме, и у них есть всё, чего они хотят, а именно быть с вами весь день. " * 3
+CHINESE = "猫和狗住在房子里,它们拥有想要的一切,就是整天和你在一起。" * 5
+POLISH = "Kot i pies mieszkają w domu, mają wszystko, czego chcą, czyli chcą być przy tobie każdego dnia. " * 3
+CODE = "rows = [int(x) for x in open(path)]\nprint(sum(rows) / len(rows), max(rows), min(rows))\n" * 4
+
+
+@pytest.mark.parametrize("html, want", [
+    (f"<ul><li><a href='/'>Дом</a></ul><h1>Кошка</h1><p>{RUSSIAN}</p><p>{RUSSIAN}</p><footer>{RUSSIAN}</footer>", ["Кошка", RUSSIAN, RUSSIAN]),
+    (f"<p><a href='/'>{CHINESE}</a></p><p>{CHINESE}</p>", [CHINESE]),
+    (f"<div class='with-sidebar'><p>{POLISH}</p><p>{POLISH}</p><div class='ad'>Kup</div></div>", [POLISH, POLISH]),
+    (f"<p>{RUSSIAN}</p><p>{LONG[:105]}</p>", [RUSSIAN, LONG[:105]]),
+    (f"<p>{LONG}</p><pre>{CODE}</pre><p>{LONG}</p><pre>{CODE}</pre>", [LONG, CODE, LONG, CODE]),
+    (f"<pre>{CODE}</pre>", [CODE]),
+])
+def test_text_without_known_stop_words(html, want):
+    assert html_text.main_text(html) == "\n\n".join(" ".join(t.split()) for t in want)
+
+
 def test_ambiguous_blocks_follow_their_neighbours():
     found = [html_text.Block(t, 0, False, 0, False) for t in "abcde"]
     assert html_text.second_pass(found, ["good", "short", "good", "short", "bad"]) == [True, True, True, False, False]
