@@ -14,6 +14,20 @@ from outreach.llm.common import table
 from outreach.sources.staging import stage
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """Rows without an id but with words get a hash of their text as id, above 2**62, so that
+    ordinary ids are smaller; `unkeyed` takes it away again."""
+    key = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    return docs.withColumns({
+        "_no_id": F.col("doc_id").isNull(),
+        "doc_id": F.coalesce("doc_id", F.when(F.col("text").rlike(r"[^\x09-\x0d\x20]"), key)),
+    })
+
+
+def unkeyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("doc_id", F.when(~F.col("_no_id"), F.col("doc_id"))).drop("_no_id")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that score as toxic."""
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"), F.lit(True))
@@ -26,13 +40,13 @@ def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates."""
-    return near_dedup.deduplicated(docs)
+    """Keeps one document of each group of near-duplicates, rows without an id among them."""
+    return unkeyed(near_dedup.deduplicated(keyed(docs)))
 
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that hold a benchmark item, also in edited form."""
-    return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+    """Rejects documents that hold a benchmark item, also in edited form, with or without id."""
+    return unkeyed(decontamination.decontaminated(keyed(docs), table(spark, sf_dir, "benchmark")))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

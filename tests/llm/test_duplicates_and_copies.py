@@ -187,6 +187,19 @@ def test_pipeline(spark, sf_dir):
     assert out.count() == before and out.where("rate < 0 OR rate IS NULL").isEmpty()
 
 
+def test_stages_search_rows_without_id(spark, sf_dir):
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first().text
+    schema = "doc_id long, text string, lang string"
+    rows = [(None, f"before {item} after", "en"), (None, "a b c d e f g h", "en"), (None, "a b c d e f g h", "fr"), (None, "one of its own kind", "en"),
+            (3, "i j k l m n o p", "en"), (None, "i j k l m n o p", "en"), (None, None, "en"), (None, " ", "en"), (None, " ", "en")]
+    docs = frame(spark, rows, schema)
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir)
+    assert left.columns == docs.columns
+    assert sorted(map(str, left.collect())) == sorted(map(str, docs.exceptAll(frame(spark, [rows[2], rows[5]], schema)).collect()))
+    left = corpus_pipeline.drop_benchmark_copies(spark, docs, sf_dir)
+    assert sorted(map(str, left.collect())) == sorted(map(str, frame(spark, rows[1:], schema).collect()))
+
+
 @pytest.mark.parametrize("name, step", corpus_pipeline.STAGES)
 def test_stages_take_odd_rows(spark, sf_dir, name, step):
     schema = "doc_id long, text string, lang string, source string, n_chars long, score string, node long"
