@@ -14,7 +14,7 @@ takes at most `rows` labelled texts per language, scoring reads every text whole
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -31,7 +31,8 @@ ROWS = 200  # per language, landmarks among them
 LONGEST = 20_000  # letters a text may have to be taken for fitting
 RIDGE = 1e-2
 UNKNOWN = "und"
-LEAST = 0.4  # score below which a text counts as being in no language
+SURE = 0.01  # share of the labelled texts that calibrate the cutoff from below
+JUDGED = 200  # letters; a shorter text is too short to be judged as being in no language
 _BATCH = 512
 _SHARPNESS = 8.0
 
@@ -116,17 +117,30 @@ class Model:
     spectrum: Spectrum
     landmarks: np.ndarray  # 0/1, n-grams of each landmark
     weights: np.ndarray  # landmarks and a constant, by language
+    least: float = -np.inf  # best value below which a text counts as being in no language
 
     def kernel(self, texts: list[np.ndarray]) -> np.ndarray:
         x = self.spectrum.matrix(texts)
         return _normal(x @ self.landmarks.T, x.sum(axis=1), self.landmarks.sum(axis=1))
 
+    def values(self, points: list[np.ndarray]) -> np.ndarray:
+        """One-versus-rest values, text by language."""
+        k = self.kernel(points)
+        return np.hstack([k, np.ones((len(k), 1))]) @ self.weights
+
+    def belongs(self, texts: list[str | None]) -> list[bool]:
+        """Whether texts have letters and are in a learned language or too short to tell."""
+        points = [letters(t) for t in texts]
+        if not self.languages:
+            return [True] * len(texts)
+        best = self.values(points).max(axis=1)
+        return [bool(len(p)) and (np.count_nonzero(p) < JUDGED or bool(v >= self.least)) for p, v in zip(points, best)]
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         points = [letters(t) for t in texts]
         if not self.languages:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
-        k = self.kernel(points)
-        values = np.hstack([k, np.ones((len(k), 1))]) @ self.weights
+        values = self.values(points)
         best = values.argmax(axis=1)
         raised = np.exp(_SHARPNESS * (values - values.max(axis=1, keepdims=True)))
         sure = raised.max(axis=1) / raised.sum(axis=1)
@@ -165,6 +179,18 @@ def fit(rows: list[tuple[str, str]], *, spectrum: int = SPECTRUM, landmarks: int
     shrink[-1, -1] = 1e-9
     solved = np.linalg.solve(gram + shrink, target)
     model.weights = np.vstack([whiten @ solved[:-1], solved[-1:]])
+    # Halfway from the value of a text that shares nothing with any landmark to the lowest
+    # values of labelled texts. With a single language there is no rest, and both are 1;
+    # without labelled texts long enough to be judged nothing is calibrated. Then none is rejected.
+    alone = float(solved[-1].max())
+    lowest = []
+    for lang in languages:
+        long = [p for p in by_lang[lang] if np.count_nonzero(p) >= JUDGED]
+        parts = [model.values(long[at : at + _BATCH]).max(axis=1) for at in range(0, len(long), _BATCH)]
+        if parts:
+            lowest.append(float(np.quantile(np.concatenate(parts), SURE, method="lower")))
+    if len(languages) > 1 and lowest and min(lowest) > alone:
+        model.least = (alone + min(lowest)) / 2
     return model
 
 
@@ -212,19 +238,17 @@ def identify(docs: DataFrame, model: Model, keep: list[str] = ["doc_id"]) -> Dat
     return docs.select(*keep, "text").mapInArrow(run, ", ".join([*kinds, "lang_pred string", "score double"]))
 
 
-def identified(docs: DataFrame, model: Model, *, least: float = LEAST) -> DataFrame:
-    """The rows of `docs` whose text is in a learned language with a score of at least
-    `least`, unchanged. When nothing was learned no row can be rejected."""
+def identified(docs: DataFrame, model: Model, *, least: float | None = None) -> DataFrame:
+    """The rows of `docs` whose text is in a learned language, unchanged: whose best
+    one-versus-rest value reaches `least`, by default the model's calibrated one, or which
+    has fewer than JUDGED letters. Texts without letters go. When nothing was learned no
+    row can be rejected, and none that has letters without a calibrated cutoff."""
+    if least is not None:
+        model = replace(model, least=least)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def decide(texts: list[str | None]) -> list[bool]:
         own = shared.value
-        if not own.languages:
-            return [True] * len(texts)
-        kept: list[bool] = []
-        for at in range(0, len(texts), _BATCH):
-            names, scores = own.predict(texts[at : at + _BATCH])
-            kept += [n != UNKNOWN and s >= least for n, s in zip(names, scores)]
-        return kept
+        return [k for at in range(0, len(texts), _BATCH) for k in own.belongs(texts[at : at + _BATCH])]
 
     return kept_rows(docs, decide)

@@ -134,6 +134,18 @@ def test_language_edges(spark):
     assert {1, 2, 7} <= kept and not {3, 4, 5} & kept
 
 
+def test_the_cutoff_does_not_hang_on_the_number_of_languages(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").where("length(text) > 200").orderBy("doc_id").collect()
+    languages = sorted({r.lang for r in rows})
+    other = ["Кошка и собака живут в доме, и у них есть всё, чего они хотят, а именно быть с вами весь день. " * 6, "ქართული ენა არის " * 20]
+    for n in (2, len(languages)):
+        known = [r for r in rows if r.lang in languages[:n]]
+        model = language_id.fit([(r.lang, r.text) for r in known[::2]])
+        assert np.mean(model.belongs([r.text for r in known[1::2]])) > 0.99
+        assert all(model.belongs([" ".join(r.text.split()[:1]) for r in known if r.text.split()[0][:1].isalpha()] + ["De."]))
+        assert model.belongs(other) == [False, False] and model.belongs([None, "", "12"]) == [False] * 3
+
+
 # Toxicity ----------------------------------------------------------------------------
 
 
