@@ -28,7 +28,7 @@ from outreach.sources.staging import stage
 SPECTRUM = 3
 LANDMARKS = 24  # per language
 ROWS = 200  # per language, landmarks among them
-LONGEST = 20_000  # letters a text may have to be taken for fitting
+LONGEST = 20_000  # characters of a text that fitting looks at
 RIDGE = 1e-2
 UNKNOWN = "und"
 SURE = 0.01  # share of the labelled texts that calibrate the cutoff from below
@@ -197,22 +197,27 @@ def fit(rows: list[tuple[str, str]], *, spectrum: int = SPECTRUM, landmarks: int
 def learn(docs: DataFrame, allowed: Column, *, rows: int = ROWS, **options) -> Model:
     """Model from at most `rows` texts of each language, of those `allowed`.
 
-    Per language the ids with the smallest hashes among rows with text of at most LONGEST
-    characters. Rows without lang, id or text are not learned from.
+    Per language the ids with the smallest hashes among rows with letters in the first
+    LONGEST characters of their text. Longer texts, cut there, fill up the sample of a
+    language that has too few others. Rows without lang, id or text are not learned from.
     """
-    known = docs.where(allowed & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") <= LONGEST))
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    own = docs.where(allowed & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+    own = own.select("lang", "doc_id", F.substring("text", 1, LONGEST).alias("text"), (F.length("text") > LONGEST).alias("_long"))
+    known = own.where(F.col("text").rlike(r"\p{L}"))
+    counts = known.groupBy("lang", "_long").agg(F.count(F.lit(1)).alias("n")).collect()
     if not counts:
         return fit([])
     # A hash below the language's share leaves about 1.5 times `rows` texts; the smallest hashes stay.
     spread = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << 40)) / float(1 << 40)
     share = F.lit(False)
-    for lang, n in counts:
-        share = share | ((F.col("lang") == lang) & (spread <= min(1.0, (1.5 * rows + 50) / n)))
-    near = known.where(share).select("lang", "text", spread.alias("_at"), "doc_id")
-    picked = stage(near).orderBy("_at", "doc_id", "text").collect()
+    short = {lang: n for lang, long, n in counts if not long}
+    for lang, long, n in counts:
+        if not long or short.get(lang, 0) < rows:
+            share = share | ((F.col("lang") == lang) & (F.col("_long") == long) & (spread <= min(1.0, (1.5 * rows + 50) / n)))
+    near = known.where(share).select("lang", "text", "_long", spread.alias("_at"), "doc_id")
+    picked = stage(near).orderBy("_long", "_at", "doc_id", "text").collect()
     chosen: dict[str, list[str]] = {}
-    for lang, text, _, _ in picked:
+    for lang, text, *_ in picked:
         if len(chosen.setdefault(lang, [])) < rows:
             chosen[lang].append(text)
     return fit([(lang, t) for lang, texts in chosen.items() for t in texts], **options)

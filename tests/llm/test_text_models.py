@@ -134,6 +134,14 @@ def test_language_edges(spark):
     assert {1, 2, 7} <= kept and not {3, 4, 5} & kept
 
 
+def test_a_language_of_long_texts_is_learned(spark):
+    rows = [(i, f"the cat and the dog {i}", "en") for i in range(5)] + [(10 + i, "le chat et le chien " * 2_000, "fr") for i in range(3)]
+    docs = frame(spark, rows + [(20, "12 " * 9_000, "xx")], "doc_id long, text string, lang string")
+    model = language_id.learn(docs, F.lit(True))
+    assert model.languages == ["en", "fr"]
+    assert {r.doc_id: r.lang_pred for r in language_id.identify(docs, model).collect()} == {i: lang for i, _, lang in rows} | {20: "und"}
+
+
 def test_the_cutoff_does_not_hang_on_the_number_of_languages(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").where("length(text) > 200").orderBy("doc_id").collect()
     languages = sorted({r.lang for r in rows})
