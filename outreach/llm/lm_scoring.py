@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from outreach.llm.common import Hashes, chain, raw_column, rows_of, words
 from outreach.sources.staging import stage_path
 
-ORDER = 2
+ORDER = 3
 BATCH_TOKENS = 1 << 18
 BUCKET_KEYS = 1 << 20  # n-grams that a bucket is sent, about
 ITERATIONS = 12

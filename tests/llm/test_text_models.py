@@ -97,6 +97,13 @@ def test_mixture_beats_the_base_on_held_out_texts(spark, sf_dir):
     assert rows[2] > 0 and rows[0] > rows[1]
 
 
+def test_two_preceding_words_are_context(spark):
+    docs = frame(spark, [(i, "a b c" if i % 2 else "x b d") for i in range(60)], "doc_id long, text string")
+    role = (F.col("doc_id") % 3).cast("int")
+    mean = lambda out: out.agg(F.avg("score")).first()[0]
+    assert mean(lm_scoring.score_texts(docs, role)) > mean(lm_scoring.score_texts(docs, role, order=2)) + 0.05
+
+
 # Language identification -------------------------------------------------------------
 
 
