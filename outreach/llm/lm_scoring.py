@@ -8,11 +8,14 @@ of the training texts is held out, the estimates come from the rest, the weights
 that make the held-out counts likeliest. The final estimates use all training texts.
 
 How it runs: texts are packed into batches of about BATCH_TOKENS tokens (a longer text is
-a batch of its own), each with its own word list. A batch sends its distinct n-grams, with
-their counts, to buckets of the hash space; a bucket adds the counts up and answers each
-batch with the totals of the n-grams it asked for. So a word that makes up a third of all
-tokens is one entry per batch, and nothing is sent per token. Batches and answers are
-written to the staging folder; every step is a plain Spark stage over them.
+a batch of its own), each with its own word list, and named by the task that makes it and
+its number there, so no two share a name whatever they hold. A batch sends its distinct
+n-grams, with their counts, to buckets of the hash space; a bucket adds the counts up and
+answers each batch with the totals of the n-grams it asked for. So a word that makes up a
+third of all tokens is one entry per batch, and nothing is sent per token. Batches and
+answers are written to the staging folder; every step is a plain Spark stage over them.
+N-grams of one length are asked for at a time, and the files of that exchange are given up
+once its answers are written, so the disk holds one length's n-grams and not all.
 
 N-grams are told apart by 64-bit hashes: among a billion different ones about one pair in
 37 such corpora would be taken for the same.
@@ -26,6 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,10 +48,19 @@ _SEEN = 40  # powers of two told apart per context length
 TEST, HELD, MAIN = 0, 1, 2
 
 
+# Ends the life of a write's shuffle files with the write, instead of with the driver's next garbage collection.
+_GIVE_UP_FILES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def _stage(df: DataFrame) -> DataFrame:
-    path = stage_path(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, stage_path(df.sparkSession)
+    before = spark.conf.get(_GIVE_UP_FILES, "false")
+    spark.conf.set(_GIVE_UP_FILES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_GIVE_UP_FILES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -81,7 +94,7 @@ def _to_batches(size: int) -> Callable:
         hashes = Hashes()
         waiting: dict[bool, list] = {False: [], True: []}
         tokens = {False: 0, True: 0}
-        digest = xxhash.xxh3_128()
+        task, made = TaskContext.get().partitionId(), 0
 
         def close(held: bool) -> Iterator[pa.RecordBatch]:
             rows = waiting[held]
@@ -91,10 +104,9 @@ def _to_batches(size: int) -> Callable:
             lengths = np.array([len(h) for h in hashed], dtype=np.uint32)
             vocabulary, codes = np.unique(np.concatenate(hashed), return_inverse=True)
             codes = codes.astype(np.uint32)
-            # Named after what is in it and in the batches before: the same on a retried task.
-            digest.update(codes.tobytes())
-            digest.update(repr(ids).encode())
-            values = [("held-" if held else "rest-") + digest.hexdigest(), held, list(ids), pack(np.array(roles, dtype=np.uint8)), pack(lengths), pack_sorted(vocabulary), pack(codes)]
+            nonlocal made
+            made += 1  # a retried task makes the same batches in the same order
+            values = [f"{task}-{made}", held, list(ids), pack(np.array(roles, dtype=np.uint8)), pack(lengths), pack_sorted(vocabulary), pack(codes)]
             yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
             waiting[held], tokens[held] = [], 0
 
@@ -161,83 +173,86 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
         yield batch.slice(i, 1).to_pylist()[0]
 
 
-def _ask(order: int, bits: int) -> Callable:
-    """Distinct n-grams of each batch by bucket, with their counts in training texts."""
-    schema = pa.schema([("bucket", pa.int32()), ("level", pa.int32()), ("batch_id", pa.string()), ("keys", pa.binary()),
-                        ("main", pa.binary()), ("held_out", pa.binary())])
+_ASKED = "bucket int, batch_id string, held boolean, keys binary, seen binary"
+
+
+def _ask(level: int, order: int, bits: int) -> Callable:
+    """Distinct n-grams of a length of each batch by bucket, with their counts in its
+    training texts."""
+    schema = pa.schema([("bucket", pa.int32()), ("batch_id", pa.string()), ("held", pa.bool_()), ("keys", pa.binary()), ("seen", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
                 stream = Stream.of(row, order)
-                role = stream.role_at(order)[stream.counted]
-                for level, grams in enumerate(stream.grams(order), start=1):
-                    keys, at = np.unique(grams[stream.counted], return_inverse=True)
-                    main = np.bincount(at[role == MAIN], minlength=len(keys)).astype(np.uint32)
-                    held = np.bincount(at[role == HELD], minlength=len(keys)).astype(np.uint32)
-                    buckets = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
-                    edges = np.flatnonzero(np.diff(buckets, prepend=-1))
-                    parts = [(int(buckets[a]), slice(a, b)) for a, b in zip(edges, [*edges[1:], len(keys)])]
-                    columns = [[k for k, _ in parts], [level] * len(parts), [row["batch_id"]] * len(parts),
-                               [pack_sorted(keys[s]) for _, s in parts], [pack(main[s]) for _, s in parts], [pack(held[s]) for _, s in parts]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+                learned = stream.role_at(order)[stream.counted] != TEST
+                keys, at = np.unique(stream.grams(level)[-1][stream.counted], return_inverse=True)
+                seen = np.bincount(at[learned], minlength=len(keys)).astype(np.uint32)
+                buckets = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+                edges = np.flatnonzero(np.diff(buckets, prepend=-1))
+                parts = [(int(buckets[a]), slice(a, b)) for a, b in zip(edges, [*edges[1:], len(keys)])]
+                columns = [[k for k, _ in parts], [row["batch_id"]] * len(parts), [row["held"]] * len(parts),
+                           [pack_sorted(keys[s]) for _, s in parts], [pack(seen[s]) for _, s in parts]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return run
 
 
-_ANSWERS = "bucket int, level int, batch_id string, main binary, held_out binary"
+_ANSWERS = "level int, bucket int, batch_id string, held boolean, main binary, whole binary, sums array<long>"
+
 
+def _answer(level: int) -> Callable:
+    """Totals for each batch's n-grams, over all training texts (`whole`) and, for held-out
+    batches, over the main part. With batch_id null a bucket's own sums: tokens in the main
+    part, tokens held out, distinct tokens."""
+    schema = pa.schema([("level", pa.int32()), ("bucket", pa.int32()), ("batch_id", pa.string()), ("held", pa.bool_()), ("main", pa.binary()),
+                        ("whole", pa.binary()), ("sums", pa.list_(pa.int64()))])
 
-def _answer() -> Callable:
-    """Totals for each batch's n-grams; with batch_id null a bucket's own sums: tokens in
-    the main part, tokens held out, distinct tokens."""
-    schema = pa.schema([("bucket", pa.int32()), ("level", pa.int32()), ("batch_id", pa.string()), ("main", pa.binary()), ("held_out", pa.binary())])
+    def one(*values) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows = None, []
+        bucket, rows = None, []
 
         def done() -> Iterator[pa.RecordBatch]:
             if not rows:
                 return
-            keys = [unpack_sorted(r[1]) for r in rows]
+            keys = [unpack_sorted(r[2]) for r in rows]
             found, at = np.unique(np.concatenate(keys), return_inverse=True)
-            main, held = (
-                np.bincount(at, weights=np.concatenate([unpack(r[i], np.uint32) for r in rows]), minlength=len(found)).astype(np.uint64)
-                for i in (2, 3)
-            )
+            seen = np.concatenate([unpack(r[3], np.uint32) for r in rows]).astype(np.float64)
+            of_held = np.repeat([r[1] for r in rows], [len(k) for k in keys])
+            whole = np.bincount(at, weights=seen, minlength=len(found)).astype(np.uint64)
+            held = np.bincount(at, weights=seen * of_held, minlength=len(found)).astype(np.uint64)
+            main = whole - held
             cuts = np.cumsum([0] + [len(k) for k in keys])
-            for (batch_id, *_), a, b in zip(rows, cuts, cuts[1:]):
-                values = [key[0], key[1], batch_id, pack(main[at[a:b]]), pack(held[at[a:b]])]
-                yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
-            if key[1] == 1:
+            for (batch_id, is_held, *_), a, b in zip(rows, cuts, cuts[1:]):
+                yield one(level, bucket, batch_id, is_held, pack(main[at[a:b]]) if is_held else None, pack(whole[at[a:b]]), None)
+            if level == 1:
                 word = found != _BEGIN
-                sums = np.array([main[word].sum(), held[word].sum(), ((main + held)[word] > 0).sum()], dtype=np.uint64)
-                values = [key[0], 0, None, sums.tobytes(), b""]
-                yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
+                yield one(level, bucket, None, None, None, None, [int(main[word].sum()), int(held[word].sum()), int((whole[word] > 0).sum())])
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("bucket", "level", "batch_id", "keys", "main", "held_out")]
-            for bucket, level, *row in zip(*columns):
-                if (bucket, level) != key:
+            columns = [batch.column(c).to_pylist() for c in ("bucket", "batch_id", "held", "keys", "seen")]
+            for own, *row in zip(*columns):
+                if own != bucket:
                     yield from done()
-                    key, rows = (bucket, level), []
+                    bucket, rows = own, []
                 rows.append(row)
         yield from done()
 
     return run
 
 
-def _counts(answers: list[dict], order: int, stream: Stream) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Main and held-out counts, by length, of the n-gram that ends at each position."""
-    main, held = [], []
+def _counts(answers: list[dict], order: int, stream: Stream, name: str) -> list[np.ndarray]:
+    """Counts, by length, of the n-gram that ends at each position."""
+    out = []
     for level, grams in enumerate(stream.grams(order), start=1):
         own = sorted((a for a in answers if a["level"] == level), key=lambda a: a["bucket"])
         _, at = np.unique(grams[stream.counted], return_inverse=True)
-        for out, name in ((main, "main"), (held, "held_out")):
-            values = np.zeros(len(grams))
-            values[stream.counted] = np.concatenate([unpack(a[name], np.uint64) for a in own]).astype(np.float64)[at]
-            out.append(values)
-    return main, held
+        values = np.zeros(len(grams))
+        values[stream.counted] = np.concatenate([unpack(a[name], np.uint64) for a in own]).astype(np.float64)[at]
+        out.append(values)
+    return out
 
 
 def estimates(counts: list[np.ndarray], total: float, kinds: float, predicted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -267,7 +282,7 @@ def _held_events(order: int, kinds: float, total: float) -> Callable:
         buckets, estimated = [], []
         for row in batch.to_pylist():
             stream = Stream.of(row, order)
-            main, _ = _counts(answers.to_pylist(), order, stream)
+            main = _counts(answers.to_pylist(), order, stream, "main")
             bucket, parts = estimates(main, total, kinds, stream.predicted)
             buckets.append(bucket.astype(np.uint16).tobytes())
             estimated.append(parts.astype(np.float32).tobytes())
@@ -319,8 +334,7 @@ def _score(order: int, kinds: float, total: float, weights: np.ndarray) -> Calla
         out = []
         for row in batch.to_pylist():
             stream = Stream.of(row, order)
-            main, held = _counts(answers.to_pylist(), order, stream)
-            counts = [a + b for a, b in zip(main, held)]
+            counts = _counts(answers.to_pylist(), order, stream, "whole")
             bucket, parts = estimates(counts, total, kinds, stream.predicted)
             single = counts[0][stream.predicted]
             base = np.log10((single + ADD) / (total + ADD * (kinds + 1)))
@@ -346,21 +360,22 @@ def score_texts(docs: DataFrame, role: Column, *, order: int = ORDER, iterations
     batches = _stage(rows.mapInArrow(_to_batches(BATCH_TOKENS), _BATCHES))
     size = batches.agg(F.sum(F.octet_length("codes") / 4)).first()[0] or 0
     bits = max(0, int(np.ceil(np.log2(max(1, size / BUCKET_KEYS)))))
-    asked = batches.mapInArrow(_ask(order, bits), "bucket int, level int, batch_id string, keys binary, main binary, held_out binary")
-    by_bucket = asked.repartition(F.col("bucket"), F.col("level")).sortWithinPartitions("bucket", "level", "batch_id")
-    answers = _stage(by_bucket.mapInArrow(_answer(), _ANSWERS))
-    sums = answers.where("level = 0").select("main").collect()  # one row per bucket
-    main, held, kinds = np.array([np.frombuffer(r[0], np.uint64) for r in sums]).reshape(-1, 3).sum(axis=0).astype(int).tolist()
-
-    def with_answers(which: Column, run: Callable, schema: str) -> DataFrame:
+    answers = None
+    for level in range(1, order + 1):
+        by_bucket = batches.mapInArrow(_ask(level, order, bits), _ASKED).repartition("bucket").sortWithinPartitions("bucket", "batch_id")
+        told = _stage(by_bucket.mapInArrow(_answer(level), _ANSWERS))
+        answers = told if answers is None else answers.unionAll(told)
+    sums = answers.where("level = 1").agg(*[F.sum(F.col("sums")[i]) for i in range(3)]).first()
+    main, held, kinds = (int(x or 0) for x in sums)
+
+    def with_answers(which: Column, of: str, run: Callable, schema: str) -> DataFrame:
         """A task holds one batch and its answers, as much as the batch itself, at a time."""
         own = batches.where(which).groupBy("batch_id")
-        told = answers.where(which & (F.col("level") > 0)).groupBy("batch_id")
+        told = answers.where(which & F.col("batch_id").isNotNull()).select("batch_id", "level", "bucket", of).groupBy("batch_id")
         return own.cogroup(told).applyInArrow(run, schema)
 
-    held_out = F.col("batch_id").startswith("held-")
-    events = _stage(with_answers(held_out, _held_events(order, kinds, main), "buckets binary, parts binary"))
+    events = _stage(with_answers(F.col("held"), "main", _held_events(order, kinds, main), "buckets binary, parts binary"))
     weights = learn_weights(events, order, iterations)
     scores = "doc_id long, role int, n_tokens long, n_known long, base_score double, score double"
-    out = with_answers(F.lit(True), _score(order, kinds, main + held, weights), scores)
+    out = with_answers(F.lit(True), "whole", _score(order, kinds, main + held, weights), scores)
     return out.withColumn("train_tokens", F.lit(main + held).cast("long"))

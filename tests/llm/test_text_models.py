@@ -79,6 +79,37 @@ def test_scores_equal_brute_force(spark, monkeypatch, order):
         assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(score, rel=1e-9)
 
 
+def scored(spark, monkeypatch, docs, rows, order=3):
+    """Scores of `docs` beside those by brute force of `rows`, (key, text, role); both sorted."""
+    seen = {}
+    learn = lm_scoring.learn_weights
+    monkeypatch.setattr(lm_scoring, "learn_weights", lambda *args: seen.setdefault("weights", learn(*args)))
+    found = lm_scoring.score_texts(docs, F.col("role"), order=order, iterations=2).collect()
+    got = sorted((r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in found)
+    want = plain_scores([(i, text, role) for i, (_, text, role) in enumerate(rows)], order, seen["weights"])
+    return got, sorted((n, known, total, round(base, 6), round(score, 6)) for n, known, total, base, score in want.values())
+
+
+def test_a_table_twice_and_long_texts(spark, monkeypatch):
+    """Equal batches in several tasks, and texts longer than a batch."""
+    monkeypatch.setattr(lm_scoring, "BUCKET_KEYS", 20)
+    monkeypatch.setattr(lm_scoring, "BATCH_TOKENS", 50)
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choices("a b c the cat sat".split(), k=rng.randrange(0, 30))), i % 3) for i in range(40)]
+    rows.append((90, "so long a text " * 200, 2))
+    once = frame(spark, rows, "doc_id long, text string, role int").coalesce(1)
+    got, want = scored(spark, monkeypatch, once.unionAll(once), rows + rows)
+    assert got == want
+
+
+def test_rows_without_an_id_in_several_partitions(spark, monkeypatch):
+    rows = [(None, "pear", 2), (None, "zebra", 0), (None, "pear", 1), (None, None, 0)]
+    parts = [frame(spark, [r], "doc_id long, text string, role int").coalesce(1) for r in rows]
+    docs = parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
+    got, want = scored(spark, monkeypatch, docs, rows)
+    assert got == want
+
+
 def test_scores_of_nothing_and_without_training(spark):
     empty = frame(spark, [])
     assert lm_scoring.score_texts(empty, F.lit(2)).count() == 0
