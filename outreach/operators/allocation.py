@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outreach.operators.skew import spread_join
-from outreach.params import POS
+from outreach.params import POS, SUPPRESSED
 
 CONTENT_KEY = ["campaign_id", "test_keys", "segment_set"]
 TRAVELER_KEY = ["email_address", "test_keys", *POS]
@@ -24,6 +24,45 @@ def traveler_campaign(traveler_segments: DataFrame, campaigns: DataFrame, **spre
     return spread_join(left.distinct(), campaigns, key, hot_in=left, **spread)
 
 
+def campaign_lists(campaigns: DataFrame) -> DataFrame:
+    """The campaigns of each outer segment as one array of (priority, campaign_id), best
+    first: one row per segment and point of sale. Suppressed campaigns are left out."""
+    entry = F.struct("priority", "campaign_id")
+    return (
+        campaigns.where(F.col("priority") < SUPPRESSED)
+        .groupBy("campaign_segment_type_id", *POS)
+        .agg(F.array_sort(F.collect_set(entry)).alias("campaigns"))
+    )
+
+
+def members(traveler_segments: DataFrame, travelers: DataFrame, **spread) -> DataFrame:
+    """Profiles with each outer segment they are in, before any campaign is looked at."""
+    outer = traveler_segments.withColumnRenamed("segment_type_id", "campaign_segment_type_id").distinct()
+    return spread_join(travelers.distinct(), outer, TRAVELER_KEY, hot_in=travelers, **spread)
+
+
+def next_campaigns(waiting: DataFrame, lists: DataFrame, n: int) -> DataFrame:
+    """The `n` best campaigns of each address that come after its `last`.
+
+    `waiting` has a row per address and list (email_address, campaign_segment_type_id, point
+    of sale) with `last`, the (priority, campaign_id) an address was offered last, or NULL.
+    Lists are configuration, a row per segment: Spark broadcasts them while they are small
+    and splits hot segments beyond. Only the next entries of a list leave the join. Of an
+    address, its campaigns combine before the shuffle.
+    """
+    key = ["campaign_segment_type_id", *POS]
+    after = F.filter("campaigns", lambda c: F.col("last").isNull() | (c > F.col("last")))
+    entry = F.transform(
+        F.slice(after, 1, n),
+        lambda c: F.struct(c["priority"].alias("priority"), c["campaign_id"].alias("campaign_id"), *[F.col(k).alias(k) for k in key]),
+    )
+    heads = waiting.join(lists, key).select("email_address", F.explode(entry).alias("c"))
+    if n == 1:
+        return heads.groupBy("email_address").agg(F.min("c").alias("c")).select("email_address", "c.*")
+    best = F.slice(F.array_sort(F.collect_set("c")), 1, n)
+    return heads.groupBy("email_address").agg(F.explode(best).alias("c")).select("email_address", "c.*")
+
+
 def join_profile(matched: DataFrame, travelers: DataFrame, **spread) -> DataFrame:
     """Attach the profile. Both sides are made distinct first, so the join needs no
     clean-up shuffle of the wide rows afterwards. Profiles are the side that is split: a
@@ -38,6 +77,14 @@ def slot_keys(base: DataFrame) -> DataFrame:
     return base.select(*CONTENT_KEY, "campaign_segment_type_id").distinct()
 
 
+def content_keys(members: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """`slot_keys` without joining people with campaigns: the few distinct test keys and
+    segment sets of an outer segment meet its campaigns."""
+    kinds = members.select("test_keys", "segment_set", "campaign_segment_type_id", *POS).distinct()
+    met = kinds.join(campaigns, ["campaign_segment_type_id", *POS])
+    return met.select(*CONTENT_KEY, "campaign_segment_type_id").distinct()
+
+
 def segment_member(keys: DataFrame, inner: DataFrame) -> DataFrame:
     """Join the ids of a `2#6#7` segment set with a frame keyed by segment_type_id."""
     ids = F.transform(F.split("segment_set", "#"), lambda s: s.cast("int"))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outreach.operators.allocation import CONTENT_KEY
+from outreach.operators.allocation import CONTENT_KEY, next_campaigns
 from outreach.operators.skew import first_per_group, spread_join
 from outreach.operators.slots import slot_module
 from outreach.params import EMPTY_MODULE, POS, SUPPRESSED
+from outreach.sources.staging import stage
 
 
 def fan_out(people: DataFrame, content: DataFrame, columns: list[str], **spread) -> DataFrame:
@@ -57,6 +61,55 @@ def arbitrate(rows: DataFrame, fallthrough: bool = False, **spread) -> DataFrame
     return sendable(keep_best(rows, **spread))
 
 
+def _of_address(rows: DataFrame, told: DataFrame, how: str, *more: str) -> DataFrame:
+    """Join by address, a missing one equal to a missing one, and other columns."""
+    keys = ["email_address", *more]
+    other = told.withColumnsRenamed({k: f"_t_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(other[f"_t_{k}"]) for k in keys])
+    return rows.join(other, same, how).drop(*[f"_t_{k}" for k in keys])
+
+
+def arbitrate_rounds(
+    members: DataFrame, lists: DataFrame, render: Callable[[DataFrame], DataFrame], fallthrough: bool = False, widen: int = 4
+) -> tuple[DataFrame | None, list[DataFrame]]:
+    """What `arbitrate` keeps, found without rendering what cannot win: the rows, or None
+    if there are none, and the rows that each round offered for rendering.
+
+    `members` are profiles with their outer segments, `lists` the campaigns of a segment in
+    order of priority, both staged; `render` gives rows (profile, campaign) their content, as
+    `fan_out` does. A campaign ends with its own priority or with 9999, never with a better
+    one, and a row's content does not depend on other rows. So an address is offered its
+    best campaign first; if some row of it keeps its priority, no other campaign can win,
+    and the address is settled. Only addresses whose campaign fell to 9999, or had no
+    content, go on to the next round, where they are offered `widen` times as many campaigns
+    at once, so that a long list is through after few rounds. Priorities lie below 9999;
+    campaigns at 9999 are never offered, as they would not be sent.
+
+    The joins of a round have one row per address, or per address and campaign, on one side;
+    Spark splits an address that many people share.
+    """
+    key = ["campaign_segment_type_id", *POS]
+    waiting = members.select("email_address", *key).distinct().withColumn(
+        "last", F.lit(None).cast(lists.schema["campaigns"].dataType.elementType)
+    )
+    kept, offered, n = None, [], 1
+    while True:
+        chosen = stage(next_campaigns(waiting, lists, n))
+        if chosen.isEmpty():
+            return kept, offered
+        people = stage(_of_address(members, chosen, "inner", *key))
+        offered.append(people)
+        rows = stage(render(people))
+        alive = sendable(rows) if fallthrough else rows.where(F.col("campaign_priority") != SUPPRESSED)
+        best = stage(best_campaign(alive))
+        won = _of_address(rows, best, "left_semi", "campaign_id")
+        kept = sendable(won) if kept is None else kept.unionByName(sendable(won))
+        last = chosen.groupBy("email_address").agg(F.max(F.struct("priority", "campaign_id")).alias("last"))
+        open_ones = _of_address(last, best, "left_anti")
+        waiting = stage(_of_address(waiting.drop("last"), open_ones, "inner"))
+        n *= widen
+
+
 def dedupe_recipient(rows: DataFrame, tie_break: list[str]) -> DataFrame:
     """One row per address and account."""
     return first_per_group(rows, ["email_address", "paid"], tie_break)

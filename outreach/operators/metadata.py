@@ -54,6 +54,37 @@ def campaign_metadata(
     )
 
 
+def placed_slots(campaigns: DataFrame, templates: DataFrame, seg_map: DataFrame, segments: DataFrame) -> DataFrame:
+    """Campaign slots whose inner segment is active: the places modules compete for."""
+    return campaign_slots(campaigns, templates, seg_map).join(active_segments(segments), SEGMENT_KEY, "left_semi")
+
+
+def placed_modules(modules: DataFrame, slots: DataFrame) -> DataFrame:
+    """The modules that some slot can show, one row each: what the metadata says of modules
+    without repeating it for every campaign."""
+    sendable = modules.where(F.col("status").isin(ACTIVE, TEST_ONLY))
+    return sendable.join(slots.select(*MODULE_KEY).distinct(), MODULE_KEY, "left_semi")
+
+
+def module_families(placed: DataFrame, info: DataFrame) -> DataFrame:
+    """One row per MODULE_KEY, status and version, with the smallest module id of those that
+    have variables, NULL if none has. Whatever counts or ranks versions sees the same in it
+    as in all modules, so campaigns are joined with versions and never with each module."""
+    shown = info.select(*POS, "module_id").distinct().withColumn("_shown", F.lit(True))
+    return (
+        placed.join(shown, [*POS, "module_id"], "left")
+        .groupBy(*MODULE_KEY, "status", "version")
+        .agg(F.min(F.when(F.col("_shown"), F.col("module_id"))).alias("module_id"))
+    )
+
+
+def factored_metadata(slots: DataFrame, families: DataFrame) -> DataFrame:
+    """The campaign metadata with a row per version in place of a row per module. It grows
+    with campaigns times the slots and versions of a template, whatever the number of
+    modules."""
+    return slots.join(families, MODULE_KEY)
+
+
 def active_only(meta: DataFrame) -> DataFrame:
     return meta.where(F.col("status") == ACTIVE)
 

@@ -56,6 +56,7 @@ def spread_join(
     how: str = "inner",
     *,
     hot_in: DataFrame | None = None,
+    rows: int | None = None,
     null_safe: bool = False,
     min_rows: int = HOT_ROWS,
     salts: int = 2,
@@ -65,11 +66,13 @@ def spread_join(
     Without hot keys this is the plain join and Spark picks its strategy. Otherwise the
     rows of a hot key go to one of its sub-keys, and the right rows of those keys are
     repeated once per sub-key. The right side should hold few rows per key. Pass `hot_in`
-    to look for hot keys in a cheaper frame than `left`.
+    to look for hot keys in a cheaper frame than `left`, and `rows`, the number of its rows,
+    where it is known: below `min_rows` no key is hot and none are counted.
     """
-    hot = hot_keys(left if hot_in is None else hot_in, on, min_rows, salts)
+    few = rows is not None and rows < min_rows
+    hot = None if few else hot_keys(left if hot_in is None else hot_in, on, min_rows, salts)
     drop = [f"_r_{k}" for k in on]
-    if hot.isEmpty():
+    if hot is None or hot.isEmpty():
         r = _renamed(right, on)
         return left.join(r, _match(left, r, on, null_safe), how).drop(*drop)
     salt = F.coalesce(F.pmod(row_hash(left), F.col("_salts")).cast("int"), F.lit(0))

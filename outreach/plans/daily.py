@@ -56,13 +56,44 @@ def same_case(tables):
     return replace(tables, **{name: lower(df) for name, df in own.items() if isinstance(df, DataFrame)})
 
 
+class Content:
+    """What a base of travelers and campaigns is shown, step by step and on demand."""
+
+    def __init__(self, of: Decisions, base: DataFrame):
+        self.of, self.base, self.columns = of, base, of.inputs.columns
+
+    @cached_property
+    def spread(self) -> dict:
+        """Where hot keys are looked for; the base is staged, so its size costs no pass."""
+        return {"hot_in": self.base, "rows": self.base.count()}
+
+    @cached_property
+    def offered(self) -> DataFrame:
+        """Distinct content with its candidate modules."""
+        content = C.distinct_content(self.base, self.columns)
+        return C.content_with_candidates(content, self.of.offers, **self.spread)
+
+    @cached_property
+    def rendered(self) -> DataFrame:
+        return C.render_candidates(self.offered, self.of.look_ups, self.columns, self.of.run.seed, **self.spread)
+
+    @cached_property
+    def picked(self) -> DataFrame:
+        return S.pick_slots(self.rendered, M.slot_list(self.of.active))
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        return R.fan_out(self.base, self.picked, self.columns, **self.spread)
+
+
 class Decisions:
     """Who gets which content, frame by frame and on demand.
 
-    Frames with several readers are staged: campaigns, metadata and module variables, the
-    base of travelers and campaigns, the allocation, and the rows that arbitration reads
-    twice. So are the two small tables rendering reads, candidates and look-ups. Rendered
-    content, the widest frame, is never written.
+    Frames with several readers are staged: campaigns, their slots, the modules placed in
+    them and the metadata of versions, module variables, the travelers with their segments,
+    and of each round the people offered, their allocation, candidates and look-ups, and
+    the rows that arbitration reads twice. A run never joins travelers with all campaigns;
+    `base` and `whole` do, for those who want every traveler's content for every campaign.
     """
 
     def __init__(self, inputs: Inputs, run: RunParams):
@@ -89,16 +120,28 @@ class Decisions:
         return M.backfill_source(self.inputs.variables)
 
     @cached_property
-    def metadata(self) -> DataFrame:
+    def slots(self) -> DataFrame:
         i = self.inputs
-        return stage(
-            M.campaign_metadata(self.campaigns, self.templates, i.seg_map, i.modules, i.segments)
-        )
+        return stage(M.placed_slots(self.campaigns, self.templates, i.seg_map, i.segments))
+
+    @cached_property
+    def placed(self) -> DataFrame:
+        """Modules that some slot can show."""
+        return stage(M.placed_modules(self.inputs.modules, self.slots))
+
+    @cached_property
+    def metadata(self) -> DataFrame:
+        """Campaign metadata, a row per version and not per module."""
+        return stage(M.factored_metadata(self.slots, M.module_families(self.placed, self.info)))
 
     @cached_property
     def active(self) -> DataFrame:
         return M.active_only(self.metadata)
 
+    @cached_property
+    def placed_active(self) -> DataFrame:
+        return M.active_only(self.placed)
+
     @cached_property
     def info(self) -> DataFrame:
         return stage(M.module_info(self.variables))
@@ -121,18 +164,24 @@ class Decisions:
             rows = P.stratified_sample(rows, "test_keys", ["email_address", *self.inputs.tie_break])
         return stage(rows)
 
+    @cached_property
+    def members(self) -> DataFrame:
+        """Travelers with their outer segments; campaigns are met round by round."""
+        return stage(A.members(self.inputs.traveler_segments, self.travelers))
+
+    @cached_property
+    def lists(self) -> DataFrame:
+        return stage(A.campaign_lists(A.outer_campaigns(self.active)))
+
     @cached_property
     def candidates(self) -> DataFrame:
         ranked = M.ranked_metadata(self.active, self.active)
-        return A.slot_candidates(ranked.join(self.info, [*POS, "module_id"], "left_semi"))
+        return stage(A.slot_candidates(ranked.where(F.col("module_id").isNotNull())))
 
     @cached_property
     def allocated(self) -> DataFrame:
-        return stage(A.allocate_modules(A.slot_keys(self.base), self.candidates, self.run.seed))
-
-    @cached_property
-    def placed_tests(self) -> DataFrame:
-        return X.tests_on_campaign(self.inputs.assignments, self.metadata)
+        keys = A.content_keys(self.members, A.outer_campaigns(self.active))
+        return stage(A.allocate_modules(keys, self.candidates, self.run.seed))
 
     @cached_property
     def type_tested(self) -> DataFrame:
@@ -140,43 +189,51 @@ class Decisions:
 
     @cached_property
     def tested(self) -> DataFrame:
-        return X.version_test_replace(self.type_tested, self.placed_tests, self.metadata)
-
-    @cached_property
-    def look_ups(self) -> DataFrame:
-        columns = self.inputs.columns
-        specs = C.distinct_specs(self.variables)
-        found = C.look_up(self.base, columns, specs, self.inputs.files)
-        return stage(C.profile_look_ups(found, columns))
+        return X.version_test_replace(self.type_tested, self.placed_tests, self.placed)
 
     @cached_property
     def offers(self) -> DataFrame:
-        """Candidate modules per campaign, test key and segment set."""
+        """Candidate modules per campaign, test key and segment set: rows that do not grow
+        with the number of travelers."""
         return stage(C.candidate_arrays(self.tested, self.inputs.modules, self.info))
 
     @cached_property
-    def offered(self) -> DataFrame:
-        """Distinct content with its candidate modules."""
-        content = C.distinct_content(self.base, self.inputs.columns)
-        return C.content_with_candidates(content, self.offers, hot_in=self.base)
+    def look_ups(self) -> DataFrame:
+        """What each distinct profile finds; once for all rounds."""
+        found = C.look_up(self.members, self.inputs.columns, self.specs, self.inputs.files)
+        return stage(C.profile_look_ups(found, self.inputs.columns))
 
     @cached_property
-    def rendered(self) -> DataFrame:
-        return C.render_candidates(
-            self.offered, self.look_ups, self.inputs.columns, self.run.seed, hot_in=self.base
-        )
+    def placed_tests(self) -> DataFrame:
+        tests = self.inputs.assignments
+        tested = self.placed.join(tests.select("module_id").distinct(), "module_id", "left_semi")
+        return stage(X.tests_on_campaign(tests, M.factored_metadata(self.slots, tested)))
 
     @cached_property
-    def picked(self) -> DataFrame:
-        return S.pick_slots(self.rendered, M.slot_list(self.active))
+    def specs(self) -> DataFrame:
+        return stage(C.distinct_specs(self.variables))
+
+    def content(self, base: DataFrame) -> Content:
+        return Content(self, base)
 
     @cached_property
-    def rows(self) -> DataFrame:
-        return stage(R.fan_out(self.base, self.picked, self.inputs.columns))
+    def whole(self) -> Content:
+        """Content of every traveler for every campaign of their segments."""
+        return self.content(self.base)
+
+    def arbitrated(self, fallthrough: bool = False) -> DataFrame:
+        """Rows of each address's campaign. A live test draws its sample from all rows, so
+        it renders them all; other runs go by rounds."""
+        if self.run.is_live_test:
+            return R.arbitrate(stage(self.whole.rows), fallthrough)
+        kept, self.offered_rounds = R.arbitrate_rounds(
+            self.members, self.lists, lambda people: self.content(people).rows, fallthrough
+        )
+        return R.arbitrate(self.whole.rows, fallthrough) if kept is None else kept
 
     @cached_property
     def winners(self) -> DataFrame:
-        return R.arbitrate(self.rows)
+        return stage(self.arbitrated())
 
     def check(self) -> None:
         """Stop before the expensive part if configuration is missing."""
@@ -186,7 +243,7 @@ class Decisions:
         )
         Q.require_rows(self.active, "no campaign metadata")
         Q.require_none(
-            M.missing_modules(self.active, self.variables), "module_id", "modules without variables"
+            M.missing_modules(self.placed_active, self.variables), "module_id", "modules without variables"
         )
         known = self.inputs.modules.sparkSession.createDataFrame(
             [(name,) for name in self.inputs.files], "file_name string"
@@ -243,7 +300,7 @@ def deliver(decisions: Decisions, d: Delivery) -> DataFrame:
         "issue_id", issue_id(F.col("launch_time_utc"))
     )
     rows = N.add_recipient_id(ready, run.home_brand)
-    tags = X.test_tag(numbered, decisions.placed_tests, decisions.active)
+    tags = X.test_tag(numbered, decisions.placed_tests, decisions.placed_active)
     rows = (
         spread_join(rows, tags, [*POS, "test_keys", "module_code"], "left", hot_in=numbered)
         .withColumn("recipient_id", rewrite_tag(F.col("recipient_id"), F.col("test_tag")))
@@ -293,7 +350,6 @@ def write(decisions: Decisions, delivered: DataFrame, d: Delivery, root: str) ->
     W.write_empty_campaigns(summary, campaigns, f"{own}/campaigns")
     listed = W.manifest(summary, d.launch_times, own)
     W.write_manifest(listed, f"{own}/manifest")
-    W.snapshot_metadata(
-        M.module_variables(decisions.active, decisions.variables), F.lit(run.run_date), f"{root}/metadata"
-    )
+    shown = M.factored_metadata(decisions.slots, decisions.placed_active)
+    W.snapshot_metadata(M.module_variables(shown, decisions.variables), F.lit(run.run_date), f"{root}/metadata")
     return listed

@@ -17,7 +17,7 @@ from outreach.params import POS
 from outreach.plans.daily import Decisions, Inputs
 from outreach.sources import runs, sinks, tables
 from outreach.sources.staging import stage, stage_path
-from outreach.workload.fixtures import CONTENT_COLUMNS, RUN, Domain
+from outreach.workload.fixtures import CONTENT_COLUMNS, RUN, DemotingDomain, Domain
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 KEY = allocation.CONTENT_KEY
@@ -581,7 +581,7 @@ def version_test_replace(d):
 
 @query
 def content_alloc_join(d):
-    return decisions(d).offered.select(
+    return decisions(d).whole.offered.select(
         *CONTENT_COLUMNS, *KEY, F.size("candidates").alias("n_candidates")
     )
 
@@ -597,7 +597,7 @@ def _looked_up(d):
 def _offered_texts(d):
     """Rendered variables of every module offered to a profile, once per profile."""
     run = decisions(d)
-    offered = run.offered.select(*POS, *CONTENT_COLUMNS, F.explode("candidates.module_id").alias("module_id"))
+    offered = run.whole.offered.select(*POS, *CONTENT_COLUMNS, F.explode("candidates.module_id").alias("module_id"))
     modules = offered.distinct().join(run.info, [*POS, "module_id"])
     filled = content.fill_variables(F.col("variables"), F.col("attributes"), F.col("look_ups"))
     return (
@@ -624,7 +624,7 @@ def render_template(d):
 
 @query
 def rotate_option(d):
-    cells = decisions(d).rendered.select(F.explode("rendered").alias("c")).select(
+    cells = decisions(d).whole.rendered.select(F.explode("rendered").alias("c")).select(
         F.col("c.module_id").alias("module_id"), F.explode("c.cells").alias("x")
     )
     return cells.groupBy("module_id", F.col("x.position").alias("var_position"), F.col("x.option").alias("option")).agg(
@@ -645,7 +645,7 @@ def content_fallback(d):
 
 @query
 def dynamic_content(d):
-    return decisions(d).picked.select(
+    return decisions(d).whole.picked.select(
         *CONTENT_COLUMNS, *KEY, slots.dynamic_content(F.col("picks")).alias("dynamic_content")
     )
 
@@ -655,7 +655,7 @@ def dynamic_content(d):
 
 @query
 def slot_winner(d):
-    return decisions(d).picked.select(
+    return decisions(d).whole.picked.select(
         *CONTENT_COLUMNS, *KEY, F.explode("picks").alias("p")
     ).select(
         *CONTENT_COLUMNS, *KEY, F.col("p.slot").alias("slot"), F.col("p.module_id").alias("module_id"),
@@ -667,7 +667,7 @@ def slot_winner(d):
 def hero_banner_rule(d):
     spent = F.filter("picks", lambda p: p["priority"] == 9999)
     emptied = F.filter(spent, lambda p: p["module_id"] == 999)
-    return decisions(d).picked.select(
+    return decisions(d).whole.picked.select(
         *CONTENT_COLUMNS, *KEY, "campaign_priority",
         F.size(spent).alias("n_spent"), F.size(emptied).alias("n_emptied"),
     )
@@ -675,14 +675,14 @@ def hero_banner_rule(d):
 
 @query
 def module_code(d):
-    return decisions(d).picked.select(
+    return decisions(d).whole.picked.select(
         *CONTENT_COLUMNS, *KEY, slots.module_code(F.col("picks")).alias("module_code")
     )
 
 
 @query
 def slot_columns(d):
-    picked = decisions(d).picked.withColumn("subject_line", slots.subject_line(F.col("picks")))
+    picked = decisions(d).whole.picked.withColumn("subject_line", slots.subject_line(F.col("picks")))
     wide = slots.slot_columns(picked, [1, 2, 3, 4])
     return wide.select(
         *CONTENT_COLUMNS, *KEY, "subject_line",
@@ -693,7 +693,7 @@ def slot_columns(d):
 @query
 def content_fanout(d):
     run = decisions(d)
-    rows = arbitration.fan_out(run.base, run.picked, CONTENT_COLUMNS)
+    rows = arbitration.fan_out(run.base, run.whole.picked, CONTENT_COLUMNS)
     return rows.select(
         "email_address", "user_id", "campaign_id", "campaign_priority",
         slots.module_code(F.col("picks")).alias("module_code"),
@@ -711,9 +711,20 @@ def arbitrate(d):
     return rows.select("email_address", "user_id", "campaign_id", "campaign_priority", "module_code")
 
 
+@query
+def arbitrate_rounds(d):
+    """Both orders of arbitration where most addresses see several campaigns demoted."""
+    run = decisions(DemotingDomain(d.spark, d.source.root))
+    out = [run.arbitrated(mode).withColumn("fallthrough", F.lit(int(mode))) for mode in (False, True)]
+    return out[0].unionByName(out[1]).select(
+        "fallthrough", "email_address", "user_id", "campaign_id", "campaign_priority",
+        slots.module_code(F.col("picks")).alias("module_code"),
+    )
+
+
 @query
 def arbitrate_fallthrough(d):
-    rows = arbitration.arbitrate(decisions(d).rows, fallthrough=True)
+    rows = decisions(d).arbitrated(fallthrough=True)
     return rows.select("email_address", "user_id", "campaign_id", "campaign_priority")
 
 
@@ -744,13 +755,13 @@ def launch_manifest(d):
 @query
 def test_tag(d):
     run, rows = _coded_winners(d)
-    return experiments.test_tag(rows, run.placed_tests, run.active)
+    return experiments.test_tag(rows, run.placed_tests, run.placed_active)
 
 
 @query
 def rewrite_tag(d):
     run, rows = _coded_winners(d)
-    tags = experiments.test_tag(rows, run.placed_tests, run.active)
+    tags = experiments.test_tag(rows, run.placed_tests, run.placed_active)
     tagged = rows.join(tags, [*POS, "test_keys", "module_code"], "left").withColumn(
         "recipient_id", F.concat(F.lit("ID.PAID"), F.col("paid").cast("string"), F.lit(".TEST1.VERSX.MIDS"), F.col("module_code"))
     )

@@ -7,11 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from outreach.functions.text import display_locale
+from outreach.operators.arbitration import arbitrate
 from outreach.operators.slots import module_code
 from outreach.params import SEED_ACCOUNT, RunParams
 from outreach.plans.daily import Delivery, deliver, run_root, same_case, write
 from outreach.sources.sinks import folder_name, snapshot_metadata
-from outreach.workload.fixtures import Domain
+from outreach.sources.staging import stage
+from outreach.workload.fixtures import DemotingDomain, Domain
 from outreach.workload.queries import decisions
 
 SF = os.environ.get("TEST_RUN_DIR", "/root/testdata/sf0.01")
@@ -32,6 +34,7 @@ def run(spark):
 
 def test_delivered_rows_and_files(spark, run, tmp_path):
     made, tables, rows = run
+    assert not {"base", "whole", "matched"} & set(vars(made))  # people met campaigns round by round only
     listed = write(made, rows, tables, str(tmp_path)).collect()
     own = run_root(made.run, str(tmp_path))
     out = spark.read.parquet(f"{own}/campaigns")
@@ -92,6 +95,22 @@ def test_locales_meet_in_any_case(spark):
     assert lowered.schedule.columns == ["n"] and lowered.jobs is None
 
 
+def test_rounds_keep_what_rendering_everything_keeps(spark):
+    """With many demotions: the same rows in both orders, from fewer rendered ones."""
+    made = decisions(DemotingDomain(spark, SF))
+    whole = stage(made.whole.rows)
+    fallen = whole.where("campaign_priority = 9999").groupBy("email_address").agg(F.count_distinct("campaign_id").alias("n"))
+    assert fallen.where("n > 1").count() > 50
+    columns = ["email_address", "user_id", "campaign_id", "campaign_priority", module_code(F.col("picks"))]
+    for fallthrough in (False, True):
+        want = sorted(map(tuple, arbitrate(whole, fallthrough).select(*columns).collect()), key=str)
+        got = sorted(map(tuple, made.arbitrated(fallthrough).select(*columns).collect()), key=str)
+        assert got == want and got
+        rendered = [people.count() for people in made.offered_rounds]
+        assert len(rendered) > 1 and rendered[0] < made.base.count() / 2
+        assert sum(rendered) < made.base.count()
+
+
 def test_rerun_gives_the_same_codes(spark, run):
     made, _, _ = run
     def codes(m):
@@ -104,7 +123,8 @@ def test_rerun_gives_the_same_codes(spark, run):
 
 def test_main_path_has_no_python_and_no_cross_join(run):
     made, _, rows = run
-    for df in (made.picked, made.type_tested, made.tested, made.winners, rows):
+    whole = made.whole
+    for df in (whole.picked, made.type_tested, made.tested, made.winners, rows):
         plan = df._jdf.queryExecution().executedPlan().toString()
         for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert bad not in plan
