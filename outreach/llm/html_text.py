@@ -27,8 +27,10 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from bisect import bisect_right
 from functools import cached_property
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,7 +43,6 @@ LONG = 200
 LINKS = 0.5  # share of characters in links that makes a block boilerplate
 STOP_LOW, STOP_HIGH = 0.20, 0.30
 WIDE = 3
-ROUNDS = 20  # of opening nested containers; in deeper nests names count for nothing
 
 # Function words of English, French, German and Spanish.
 STOP_WORDS = {
@@ -69,10 +70,18 @@ _NAMES = frozenset(
 # Running text that is not the page's own: opened only if the page has no other.
 _OTHERS = frozenset("comment comments consent cookie cookies disclaimer disqus gdpr newsletter replies respond".split())
 _ROOTS = frozenset("html body article main".split())
+# What stands beside a boilerplate name without changing its sense. Inside an article a name
+# beside any other word, as in `related-work`, says nothing: links and density decide.
+_STRUCTURE = frozenset(
+    "area bar block body bottom box button buttons card cards center column container content form inner item items large layer left link links "
+    "list main mobile outer page panel post posts article articles entry right row section site slot small stories top unit wrap wrapper".split()
+)
+_FOREIGN = frozenset("svg math".split())  # close themselves with `/>`, end where a block begins
+_INERT = frozenset("template object canvas".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"|<(?P<raw>script|style|noscript|template|svg|math|iframe|object|canvas|textarea|head)\b(?:[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|noscript|iframe|textarea|title|xmp|noembed|noframes)\b(?:[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attrs>(?:[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+)>?",
     re.DOTALL | re.IGNORECASE,
 )
@@ -92,6 +101,7 @@ class Block:
     weak: int = 0  # number of the container it is skipped with on weak evidence, 0 for none
     own: bool = False  # lies in an article inside that container
     others: bool = False  # that container is named as one of other people's text
+    at: int = 0  # where in the page it ends
 
     @cached_property
     def stops(self) -> float:
@@ -120,16 +130,19 @@ def _boilerplate_names(attrs: str, in_article: bool) -> set[str] | None:
             if value.lower() in _ROLES:
                 return None
         elif name.lower() in ("class", "id"):
-            parts = {p.lower() for p in _PARTS.findall(value)}
-            found |= parts & _NAMES
-            if "header" in parts and not in_article:
-                found.add("header")
+            for token in value.split():
+                parts = {p.lower() for p in _PARTS.findall(token)}
+                if in_article and parts - _NAMES - _STRUCTURE:
+                    continue
+                found |= parts & _NAMES
+                if "header" in parts and not in_article:
+                    found.add("header")
     return found
 
 
-def blocks(html: str | None, opened: frozenset[int] | None = frozenset()) -> list[Block]:
-    """Blocks with text, in page order. `opened` containers, None for all, are skipped on
-    strong evidence only."""
+def blocks(html: str | None, opened: frozenset[int] = frozenset()) -> list[Block]:
+    """Blocks with text, in page order. `opened` containers are skipped on strong evidence
+    only."""
     out: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
@@ -142,7 +155,7 @@ def blocks(html: str | None, opened: frozenset[int] | None = frozenset()) -> lis
     def flush() -> None:
         text = " ".join("".join(parts).split())
         if text:
-            out.append(Block(text, len(" ".join("".join(linked).split())), heading, inside, bool(skip), weak if skip else 0, bool(skip and own), bool(skip and others)))
+            out.append(Block(text, len(" ".join("".join(linked).split())), heading, inside, bool(skip), weak if skip else 0, bool(skip and own), bool(skip and others), at))
         parts.clear()
         linked.clear()
 
@@ -155,8 +168,10 @@ def blocks(html: str | None, opened: frozenset[int] | None = frozenset()) -> lis
 
     at = 0
     html = html or ""
+    inert, deep = "", 0  # the foreign or inert element whose text is no one's, and its depth
     for m in _TOKEN.finditer(html):
-        add(html[at : m.start()])
+        if not inert:
+            add(html[at : m.start()])
         at = m.end()
         tag = m.group("tag")
         if not tag:
@@ -164,6 +179,19 @@ def blocks(html: str | None, opened: frozenset[int] | None = frozenset()) -> lis
                 parts.append(" ")
             continue
         tag, end = tag.lower(), bool(m.group("end"))
+        if inert:
+            if tag == inert:
+                deep += -1 if end else 1
+                inert = inert if deep else ""
+                continue
+            if not (end and tag in ("article", "main", "body", "html") or not end and inert in _FOREIGN and tag in _BLOCKS):
+                continue
+            inert = ""
+        if tag in _FOREIGN or tag in _INERT:
+            parts.append(" ")
+            if not end and not (tag in _FOREIGN and m.group("attrs").rstrip().endswith("/")):
+                inert, deep = tag, 1
+            continue
         if tag == "a":
             links = 0 if end else 1
         if tag == "br":
@@ -176,11 +204,12 @@ def blocks(html: str | None, opened: frozenset[int] | None = frozenset()) -> lis
             if not end:
                 links = 0
         if skip:
-            if not end and skip in _SELF_CLOSING and block:
+            if not end and block and skip in _SELF_CLOSING:
                 skip = ""
             elif tag == skip and tag not in _VOID:
                 depth += -1 if end else 1
                 if not depth:
+                    flush()
                     skip = ""
                 continue
             elif tag in ("article", "main") and (own or not end):
@@ -205,12 +234,13 @@ def blocks(html: str | None, opened: frozenset[int] | None = frozenset()) -> lis
             if not strong and tag not in _ROOTS and (block or tag in ("span", "ins", "b", "i")):
                 names = _boilerplate_names(m.group("attrs"), bool(inside))
                 strong = names is None
-            if strong or ((names or tag == "form") and opened is not None and at not in opened):
+            if strong or ((names or tag == "form") and at not in opened):
                 if not block:
                     flush()
                 skip, depth, own = tag, 1, 0
                 weak, others = (0, False) if strong else (at, bool(names & _OTHERS))
-    add(html[at:])
+    if not inert:
+        add(html[at:])
     flush()
     return out
 
@@ -229,6 +259,37 @@ def stops_tell(found: list[Block]) -> bool:
     return 2 * sum(b.size for b in long if b.stops >= STOP_LOW) >= sum(b.size for b in long)
 
 
+def _weak_spans(html: str) -> list[tuple[int, int]]:
+    """Where the containers of names and forms begin and end, by tags alone, nested ones too."""
+    spans: list[tuple[int, int]] = []
+    inner: list[list] = []  # open containers: tag, depth, begin
+    for m in _TOKEN.finditer(html):
+        tag = (m.group("tag") or "").lower()
+        end = bool(m.group("end"))
+        if inner and tag == inner[-1][0]:
+            inner[-1][1] += -1 if end else 1
+            if not inner[-1][1]:
+                spans.append((inner.pop()[2], m.start()))
+                continue
+        if tag and not end and tag not in _ROOTS and (tag == "form" or (tag in _BLOCKS and tag not in _SKIPPED and _boilerplate_names(m.group("attrs"), False))):
+            if inner and tag == inner[-1][0]:
+                inner[-1][1] -= 1
+            inner.append([tag, 1, m.end()])
+    return spans + [(begin, len(html)) for _, _, begin in inner]
+
+
+def _nested(html: str, found: list[Block], opened: frozenset[int]) -> frozenset[int]:
+    """Containers inside the ones just opened that hold most of the page's text as well: a
+    nest of wrappers is opened at once, however deep it is."""
+    inside = [b for b in found if b.weak in opened]
+    dense = stops_tell([b for b in found if b.weak or not b.skipped])
+    total = sum(b.running(dense) for b in found if b.weak or not b.skipped)
+    ends = [b.at for b in inside]
+    sums = [0, *accumulate(b.running(dense) for b in inside)]
+    held = lambda begin, end: sums[bisect_right(ends, end)] - sums[bisect_right(ends, begin)]
+    return frozenset(begin for begin, end in _weak_spans(html) if 2 * held(begin, end) > total)
+
+
 def _to_open(found: list[Block]) -> frozenset[int]:
     """Numbers of the containers skipped on weak evidence that hold the page's text."""
     numbers = {b.weak for b in found if b.weak}
@@ -255,13 +316,12 @@ def _to_open(found: list[Block]) -> frozenset[int]:
 def page_blocks(html: str | None) -> list[Block]:
     """Blocks, with the containers opened that hold the page's text."""
     opened: frozenset[int] = frozenset()
-    for _ in range(ROUNDS):
+    while True:
         found = blocks(html, opened)
         more = _to_open(found)
         if not more:
             return found
-        opened |= more
-    return blocks(html, None)
+        opened |= more | _nested(html or "", found, more)
 
 
 def first_pass(block: Block, marked: bool, dense: bool = True) -> str:
@@ -285,8 +345,11 @@ def first_pass(block: Block, marked: bool, dense: bool = True) -> str:
 
 
 def second_pass(found: list[Block], labels: list[str]) -> list[bool]:
-    """Which blocks are content, ambiguous ones by their nearest decided neighbours."""
-    decided = [i for i, x in enumerate(labels) if x in ("good", "bad")]
+    """Which blocks are content, ambiguous ones by their nearest decided neighbours. Where no
+    block is good by itself, the better ambiguous ones are. Of neighbours that differ the
+    nearer one counts; a skipped container only ends the text and says nothing beyond itself."""
+    if "good" not in labels:
+        labels = ["good" if x == "near" else x for x in labels]
     before, after = [-1] * len(labels), [-1] * len(labels)
     last = -1
     for i in range(len(labels)):
@@ -304,10 +367,14 @@ def second_pass(found: list[Block], labels: list[str]) -> list[bool]:
         near = [labels[j] for j in (before[i], after[i]) if j >= 0 and found[j].inside == block.inside and not (block.inside and found[j].skipped)]
         if block.inside:
             out.append(near.count("bad") < 2)
-        elif len(near) == 2 and near[0] == near[1]:
+        elif near and near[0] == near[-1]:  # both say the same, or there is one only
             out.append(near[0] == "good")
         else:
-            out.append("good" in near and (label == "near" or block.heading) or (not decided and label == "near"))
+            kept = "good" in near and (label == "near" or block.heading)
+            if "good" in near and not kept:
+                good, bad = (before[i], after[i]) if labels[before[i]] == "good" else (after[i], before[i])
+                kept = found[bad].skipped or abs(i - good) < abs(i - bad)
+            out.append(kept)
     return out
 
 

@@ -14,7 +14,7 @@ takes at most `rows` labelled texts per language, scoring reads every text whole
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from functools import lru_cache
 
 import numpy as np
@@ -32,7 +32,6 @@ LONGEST = 20_000  # characters of a text that fitting looks at
 RIDGE = 1e-2
 UNKNOWN = "und"
 SURE = 0.01  # share of the labelled texts that calibrate the cutoff from below
-JUDGED = 200  # letters; a shorter text is too short to be judged as being in no language
 _BATCH = 512
 _SHARPNESS = 8.0
 
@@ -117,7 +116,9 @@ class Model:
     spectrum: Spectrum
     landmarks: np.ndarray  # 0/1, n-grams of each landmark
     weights: np.ndarray  # landmarks and a constant, by language
-    least: float = -np.inf  # best value below which a text counts as being in no language
+    # Best value below which a text counts as being in no language, by the power of two of
+    # its letters; texts of more letters go by the last one.
+    least: np.ndarray = field(default_factory=lambda: np.full(1, -np.inf))
 
     def kernel(self, texts: list[np.ndarray]) -> np.ndarray:
         x = self.spectrum.matrix(texts)
@@ -129,12 +130,13 @@ class Model:
         return np.hstack([k, np.ones((len(k), 1))]) @ self.weights
 
     def belongs(self, texts: list[str | None]) -> list[bool]:
-        """Whether texts have letters and are in a learned language or too short to tell."""
+        """Whether texts have letters and are in a learned language, as far as texts of
+        their length tell."""
         points = [letters(t) for t in texts]
         if not self.languages:
             return [True] * len(texts)
         best = self.values(points).max(axis=1)
-        return [bool(len(p)) and (np.count_nonzero(p) < JUDGED or bool(v >= self.least)) for p, v in zip(points, best)]
+        return [bool(len(p)) and bool(v >= self.least[min(_power(p), len(self.least) - 1)]) for p, v in zip(points, best)]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         points = [letters(t) for t in texts]
@@ -148,6 +150,39 @@ class Model:
         return names, [float(s) if len(p) else 0.0 for s, p in zip(sure, points)]
 
 
+def _power(points: np.ndarray) -> int:
+    return max(0, int(np.count_nonzero(points)).bit_length() - 1)
+
+
+def _pieces(texts: list[np.ndarray], size: int) -> list[np.ndarray]:
+    """A stretch of `size` characters of each text that has as many, from anywhere in it."""
+    edge = np.zeros(1, np.uint32)
+    out = []
+    for i, points in enumerate(texts):
+        if len(points) >= size:
+            start = int((i * 0.618034) % 1 * (len(points) - size + 1))
+            out.append(np.concatenate([edge, points[start : start + size], edge]))
+    return out
+
+
+def calibrated(model: Model, by_lang: dict[str, list[np.ndarray]], alone: float) -> np.ndarray:
+    """Cutoffs by length: halfway from `alone`, the value of a text that shares nothing with
+    any landmark, to the lowest values that stretches of that length of the labelled texts
+    have in any language; no text is rejected where these are not above `alone`."""
+    longest = max(_power(p) for texts in by_lang.values() for p in texts)
+    out = np.full(longest + 1, -np.inf)
+    for power in range(longest + 1):
+        lowest = []
+        for texts in by_lang.values():
+            parts = _pieces(texts, 1 << power)
+            if parts:
+                best = [model.values(parts[at : at + _BATCH]).max(axis=1) for at in range(0, len(parts), _BATCH)]
+                lowest.append(float(np.quantile(np.concatenate(best), SURE, method="lower")))
+        if lowest and min(lowest) > alone:
+            out[power] = (alone + min(lowest)) / 2
+    return out
+
+
 def fit(rows: list[tuple[str, str]], *, spectrum: int = SPECTRUM, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
     """Model from (lang, text) rows; the first `landmarks` texts of a language are its landmarks."""
     by_lang: dict[str, list[np.ndarray]] = {}
@@ -179,18 +214,8 @@ def fit(rows: list[tuple[str, str]], *, spectrum: int = SPECTRUM, landmarks: int
     shrink[-1, -1] = 1e-9
     solved = np.linalg.solve(gram + shrink, target)
     model.weights = np.vstack([whiten @ solved[:-1], solved[-1:]])
-    # Halfway from the value of a text that shares nothing with any landmark to the lowest
-    # values of labelled texts. With a single language there is no rest, and both are 1;
-    # without labelled texts long enough to be judged nothing is calibrated. Then none is rejected.
-    alone = float(solved[-1].max())
-    lowest = []
-    for lang in languages:
-        long = [p for p in by_lang[lang] if np.count_nonzero(p) >= JUDGED]
-        parts = [model.values(long[at : at + _BATCH]).max(axis=1) for at in range(0, len(long), _BATCH)]
-        if parts:
-            lowest.append(float(np.quantile(np.concatenate(parts), SURE, method="lower")))
-    if len(languages) > 1 and lowest and min(lowest) > alone:
-        model.least = (alone + min(lowest)) / 2
+    if len(languages) > 1:  # with a single language there is no rest, and nothing to tell it from
+        model.least = calibrated(model, by_lang, float(solved[-1].max()))
     return model
 
 
@@ -245,11 +270,11 @@ def identify(docs: DataFrame, model: Model, keep: list[str] = ["doc_id"]) -> Dat
 
 def identified(docs: DataFrame, model: Model, *, least: float | None = None) -> DataFrame:
     """The rows of `docs` whose text is in a learned language, unchanged: whose best
-    one-versus-rest value reaches `least`, by default the model's calibrated one, or which
-    has fewer than JUDGED letters. Texts without letters go. When nothing was learned no
+    one-versus-rest value reaches `least`, by default the model's calibrated one for texts of
+    its length. Texts without letters go. When nothing was learned no
     row can be rejected, and none that has letters without a calibrated cutoff."""
     if least is not None:
-        model = replace(model, least=least)
+        model = replace(model, least=np.full(1, least))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def decide(texts: list[str | None]) -> list[bool]:

@@ -369,21 +369,49 @@ def near_duplicates(
     return out.unionByName(without)
 
 
-def deduplicated(docs: DataFrame, **options) -> DataFrame:
+def fresh_name(docs: DataFrame, name: str) -> str:
+    """A column name that `docs` does not use, in any case."""
+    used = {c.lower() for c in docs.columns}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def text_key() -> Column:
+    """A key above 2**62 for the content of a row that its id does not tell from others, so
+    that ordinary ids are smaller; NULL for a text without words."""
+    key = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    return F.when(F.col("text").rlike(r"[^\x09-\x0d\x20]"), key)
+
+
+def _first_of(rows: DataFrame, key: str) -> DataFrame:
+    """The smallest row of each key, by the columns that have an order."""
+    names = [f"`{c}`" for c in rows.columns]
+    ordered = [f"`{f.name}`" for f in rows.schema.fields if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
+    least = rows.groupBy(key).agg(F.min_by(F.struct(*names), F.struct(*ordered)).alias("_row"))
+    return least.select(*[F.col("_row").getField(c).alias(c) for c in rows.columns])
+
+
+def deduplicated(docs: DataFrame, *, without_id: bool = False, **options) -> DataFrame:
     """One row of each group of near-duplicates, that with the smallest doc_id, unchanged.
 
-    Rows without an id stay. Of rows that repeat the id that is kept, the smallest by its
-    text and then its other columns stays.
+    Rows are told apart by doc_id while it is theirs alone. Rows that share a doc_id are
+    told apart by their texts: only those of equal id and text, of which the smallest row
+    stays, or of near-duplicate texts are one. Rows without an id stay, or are told apart by
+    their texts as well if `without_id`; rows that have one come first. Rows without words
+    are copies of nothing and stay. Other columns, of any type and name, are kept as they are.
     """
-    found = stage(near_duplicates(docs, **options).where(F.col("doc_id").isNotNull()).select("doc_id", "kept"))
-    repeated = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("_id"))
-    gone = stage(found.where(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct())
-    kept = docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti")
-    repeated = stage(repeated)
-    if repeated.isEmpty():
-        return kept
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    again = kept.join(repeated, kept["doc_id"] == repeated["_id"], "left_semi")
-    least = again.groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("row"))
-    once = least.select("doc_id", "row.*").select(*docs.columns)
-    return kept.join(repeated, kept["doc_id"] == repeated["_id"], "left_anti").unionAll(once)
+    key = fresh_name(docs, "_key")
+    shared = stage(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("doc_id").alias("_id")))
+    same = docs["doc_id"].eqNullSafe(shared["_id"])
+    told = docs.join(shared, same, "left_anti").withColumn(key, F.coalesce("doc_id", text_key()))
+    others = docs.join(shared, same, "left_semi").withColumn(key, text_key())
+    if not without_id:
+        told, others = (df.withColumn(key, F.when(F.col("doc_id").isNotNull(), F.col(key))) for df in (told, others))
+    keyed = told.unionAll(others)
+    found = near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), **options)
+    gone = stage(found.where(F.col("doc_id").isNotNull() & ~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct())
+    kept = told.join(gone, told[key] == gone["_id"], "left_anti")
+    again = others.join(gone, others[key] == gone["_id"], "left_anti")
+    once = _first_of(again.where(F.col(key).isNotNull()), key)
+    return kept.unionAll(once).unionAll(again.where(F.col(key).isNull())).drop(key)

@@ -81,6 +81,20 @@ def test_near_duplicate_edges(spark):
     assert [tuple(r) for r in twice] == [(2, long, "x", 1)]
 
 
+def test_rows_that_share_an_id_are_not_copies(spark):
+    """Different texts under one id stay; odd columns do too."""
+    schema = "doc_id long, text string, `a.b` string, m map<string,int>, _key int, _no_id string, _id int"
+    a, b, c = "a b c d e f g h", "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(1, a), (1, b), (1, b), (2, a), (None, b), (None, c), (None, c), (3, c), (1, ""), (1, None), (None, "")]
+    docs = frame(spark, [(*r, "x", {"k": 1}, 7, "n", 8) for r in rows], schema)
+    left = near_dedup.deduplicated(docs, without_id=True)
+    assert left.columns == docs.columns
+    found = sorted(((r.doc_id or -1, r.text or "") for r in left.collect()))
+    assert found[:1] == [(-1, "")] and (3, c) in found and (1, "") in found
+    assert sorted(t for _, t in found) == sorted(["", "", "", a, b, c])
+    assert {r._no_id for r in left.collect()} == {"n"} and {r.m["k"] for r in left.collect()} == {1}
+
+
 def test_near_dedup_equals_sql(spark, sf_dir):
     assert difference(QUERIES["op3_near_dedup"](spark, sf_dir), connect(sf_dir), ORACLES["op3_near_dedup"]) is None
 

@@ -56,6 +56,53 @@ def test_wrappers_do_not_hide_the_text(html, want):
     assert html_text.main_text(html) == want
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<head><title>x</title><body><article><p>Text.</article>", "Text."),
+    ("<html><head><title>x</title><meta a=b><article><p>Text.</article>", "Text."),
+    ("<article><svg/><p>Text.</p></article>", "Text."),
+    ("<article><p>a<svg><text>no</text></svg>b</p><svg><g>no<p>Text.</p></article>", "a b\n\nText."),
+    ("<article><template><p>no</p></template><object><p>no</p></object><p>Text.</p></article>", "Text."),
+    (f"<article><p>{LONG}</p><section class='related-work'><p>{LONG}</p></section><div class='share-price'><p>Up 3</p></div>"
+     f"<div class='related-posts'><p>no</p></div><div class='ad box'><p>no</p></div></article>", f"{LONG.strip()}\n\n{LONG.strip()}\n\nUp 3"),
+    ("<div class='ad'>" * 25 + f"<p>{LONG}</p><div class='sidebar'><p>Side.</p></div>", LONG.strip()),
+])
+def test_valid_pages_lose_no_text(html, want):
+    assert html_text.main_text(html) == want
+
+
+MIDDLE = "He was in the house and it was not for him that they had come to the door of it."
+
+
+def unmarked(rng):
+    """A page without article or main, and its text: short ends, by-line, list, headings."""
+    story = ["By A. Writer", *[" ".join(rng.choices(MIDDLE.split(), k=rng.randint(30, 80))) for _ in range(3)],
+             "He never came back.", *[" ".join(rng.choices(MIDDLE.split(), k=rng.randint(30, 80))) for _ in range(2)], "The end."]
+    body = "".join(f"<p>{t}</p>" for t in story)
+    menu = "".join(f"<li><a href='/{i}'>Item {i}</a></li>" for i in range(6))
+    return f"<body><nav><ul>{menu}</ul></nav><h1>A title</h1>{body}<footer><p>Imprint</p></footer>", ["A title", *story]
+
+
+def test_unmarked_pages_by_density():
+    """Where nothing but the density rules decides, nearly all text and little else is found."""
+    rng = random.Random(3)
+    right = found = wanted = 0
+    for _ in range(60):
+        html, want = unmarked(rng)
+        got = html_text.main_text(html).split("\n\n")
+        right += len(set(got) & set(want))
+        found, wanted = found + len(got), wanted + len(want)
+    assert right / found > 0.97 and right / wanted > 0.97
+
+
+@pytest.mark.parametrize("html, want", [
+    (f"<p>By-line.</p><p>{LONG}{LONG}</p><p>He never came back.</p>", ["By-line.", LONG + LONG, "He never came back."]),
+    (f"<h1>Four</h1><p>{MIDDLE}</p><p>{MIDDLE}</p><h2>More</h2><p>{MIDDLE}</p>", ["Four", MIDDLE, MIDDLE, "More", MIDDLE]),
+    (f"<ul><li>Flour<li>Salt</ul><p>{LONG}{LONG}</p>", ["Flour", "Salt", LONG + LONG]),
+])
+def test_edges_of_unmarked_pages(html, want):
+    assert html_text.main_text(html) == "\n\n".join(" ".join(t.split()) for t in want)
+
+
 RUSSIAN = "Кошка и собака живут в доме, и у них есть всё, чего они хотят, а именно быть с вами весь день. " * 3
 CHINESE = "猫和狗住在房子里,它们拥有想要的一切,就是整天和你在一起。" * 5
 POLISH = "Kot i pies mieszkają w domu, mają wszystko, czego chcą, czyli chcą być przy tobie każdego dnia. " * 3
