@@ -14,43 +14,36 @@ from outreach.llm.common import table
 from outreach.sources.staging import stage
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """Rows without an id but with words get a hash of their text as id, above 2**62, so that
-    ordinary ids are smaller; `unkeyed` takes it away again."""
-    key = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-    return docs.withColumns({
-        "_no_id": F.col("doc_id").isNull(),
-        "doc_id": F.coalesce("doc_id", F.when(F.col("text").rlike(r"[^\x09-\x0d\x20]"), key)),
-    })
-
-
-def unkeyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("doc_id", F.when(~F.col("_no_id"), F.col("doc_id"))).drop("_no_id")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that score as toxic."""
+    """Rejects documents that score as toxic. Null and empty texts, repeated rows, long texts
+    and further columns of any name are scored and kept like others."""
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"), F.lit(True))
     return toxicity.without_toxic(docs, model)
 
 
 def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without letters or in no language that the corpus names."""
+    """Rejects documents without letters, null texts among them, or in no language that the
+    corpus names; repeated rows and further columns stay as they are."""
     return language_id.identified(docs, language_id.learn(docs, F.lit(True)))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates, rows without an id among them."""
-    return unkeyed(near_dedup.deduplicated(keyed(docs)))
+    """Keeps one document of each group of near-duplicates, rows without an id or with a
+    shared one among them; texts without words and null texts all stay."""
+    return near_dedup.deduplicated(docs, without_id=True)
 
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that hold a benchmark item, also in edited form, with or without id."""
-    return unkeyed(decontamination.decontaminated(keyed(docs), table(spark, sf_dir, "benchmark")))
+    """Rejects documents that hold a benchmark item, also in edited form, with or without
+    id; null and empty texts stay. Rows without an id are searched under a key of their text."""
+    lacks = near_dedup.fresh_name(docs, "_no_id")
+    keyed = docs.withColumns({lacks: F.col("doc_id").isNull(), "doc_id": F.coalesce("doc_id", near_dedup.text_key())})
+    left = decontamination.decontaminated(keyed, table(spark, sf_dir, "benchmark"))
+    return left.withColumn("doc_id", F.when(~F.col(lacks), F.col("doc_id"))).drop(lacks)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rates that bring the domains to their target weights."""
+    """Rates that bring the domains to their target weights, a row per document."""
     return mixing.mixing_rates(docs, table(spark, sf_dir, "labels"), keep=("doc_id", "lang", "source"))
 
 
