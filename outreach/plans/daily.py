@@ -48,12 +48,16 @@ class Inputs:
 
 
 def same_case(tables):
-    """Inputs or a delivery with every locale in lower case, so that `en_US` meets `en_us`."""
-    def lower(df: DataFrame) -> DataFrame:
-        return df.withColumn("locale", F.lower("locale")) if "locale" in df.columns else df
+    """Inputs or a delivery with every locale in lower case, so that `en_US` meets `en_us`,
+    in look-up files and contact keys as well."""
+    def lower(value):
+        if isinstance(value, DataFrame):
+            return value.withColumn("locale", F.lower("locale")) if "locale" in value.columns else value
+        if isinstance(value, dict):
+            return {name: lower(v) for name, v in value.items()}
+        return [lower(v) for v in value] if isinstance(value, list) else value
 
-    own = {f.name: getattr(tables, f.name) for f in fields(tables)}
-    return replace(tables, **{name: lower(df) for name, df in own.items() if isinstance(df, DataFrame)})
+    return replace(tables, **{f.name: lower(getattr(tables, f.name)) for f in fields(tables)})
 
 
 class Content:
@@ -257,7 +261,8 @@ class Decisions:
 class Delivery:
     """Tables used after arbitration. `schedule` holds the launch details; with `jobs` and
     `details_locales`, only locales of the latter take their schedule from it and all others
-    take it from `jobs`."""
+    take it from `jobs`. `master` holds the audience master that earlier runs left, whose SIDs
+    stay as they are."""
 
     tokens: DataFrame
     fallback_tokens: DataFrame
@@ -267,6 +272,7 @@ class Delivery:
     schedule: DataFrame
     jobs: DataFrame | None = None
     details_locales: DataFrame | None = None
+    master: DataFrame | None = None
 
     @property
     def launch_times(self) -> DataFrame:
@@ -275,6 +281,12 @@ class Delivery:
         return W.pick_schedule(self.schedule, self.jobs, self.details_locales)
 
 
+def audiences(decisions: Decisions, d: Delivery) -> DataFrame:
+    """The run's rows of the audience master."""
+    run = decisions.run
+    return W.audience_master(decisions.campaigns, run.environment, F.lit(run.run_date), d.master)
+
+
 def deliver(decisions: Decisions, d: Delivery) -> DataFrame:
     """Final rows: ids, tokens, seeds, loyalty fields, recipient id, tags."""
     run, tie, d = decisions.run, decisions.inputs.tie_break, same_case(d)
@@ -291,8 +303,7 @@ def deliver(decisions: Decisions, d: Delivery) -> DataFrame:
     counted = N.add_module_count(tokens, M.module_count(decisions.active))
     one = R.dedupe_recipient(counted, ["campaign_id", *tie])
     seeded = N.add_seeds(N.none_to_null(one), N.numbered_seeds(d.seeds, run.seed_category), ["email_address", *tie])
-    master = W.audience_master(decisions.campaigns, run.environment, F.lit(run.run_date))
-    parts = master.select(
+    parts = audiences(decisions, d).select(
         "campaign_id", "locale", "subchannel", "program", "campaign_code", "lob_intent", "sid"
     )
     placed = N.add_pos_mapping(N.add_loyalty(seeded, d.loyalty), d.pos_mapping, run.is_live_test)
@@ -329,8 +340,8 @@ def run_root(run: RunParams, root: str) -> str:
 
 
 def write(decisions: Decisions, delivered: DataFrame, d: Delivery, root: str) -> DataFrame:
-    """Write campaigns, module lists and manifest below the run's folder, and metadata
-    below `root`; returns the manifest."""
+    """Write campaigns, module lists and manifest below the run's folder, metadata and the
+    audience master, which later runs pass on, below `root`; returns the manifest."""
     run, own = decisions.run, run_root(decisions.run, root)
     rows = stage(delivered)
     name = output_name(F.col("audience_name"), F.col("launch_date"), run.job_type, run.test_type)
@@ -339,7 +350,7 @@ def write(decisions: Decisions, delivered: DataFrame, d: Delivery, root: str) ->
     campaigns = N.output_projection(S.slot_columns(named, slots), ["picks", *WORKING], "authrealm")
     W.write_campaigns(campaigns, f"{own}/campaigns")
     W.write_modules(S.campaign_modules(rows), f"{own}/modules")
-    master = W.audience_master(decisions.campaigns, run.environment, F.lit(run.run_date))
+    master = stage(audiences(decisions, same_case(d)))
     sids = master.select("campaign_id", "campaign_date", "sid").distinct()
     summary = stage(
         W.campaign_summary(decisions.campaigns, rows)
@@ -347,6 +358,7 @@ def write(decisions: Decisions, delivered: DataFrame, d: Delivery, root: str) ->
         .withColumn("campaign_date", compact_date(F.col("launch_date")))
         .join(sids, ["campaign_id", "campaign_date"])
     )
+    W.append_master(master, d.master, f"{root}/audience_master")
     W.write_empty_campaigns(summary, campaigns, f"{own}/campaigns")
     listed = W.manifest(summary, d.launch_times, own)
     W.write_manifest(listed, f"{own}/manifest")

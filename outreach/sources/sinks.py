@@ -37,35 +37,71 @@ def with_program_parts(campaigns: DataFrame) -> DataFrame:
     return campaigns.withColumns({n: program_part(c, i) for i, n in enumerate(names)})
 
 
-def audience_master(campaigns: DataFrame, environment: str, run_time: Column) -> DataFrame:
+def _numbered(keys: DataFrame) -> DataFrame:
+    """Distinct (launch_date, campaign_id) with their rank. They are numbered inside a launch
+    date and moved on by the campaigns of earlier dates, so no window covers the whole table
+    except the one over distinct dates."""
+    per_date = keys.groupBy("launch_date").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("launch_date").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_date.select("launch_date", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    rank = F.row_number().over(Window.partitionBy("launch_date").orderBy("campaign_id"))
+    return keys.withColumn("_rank", rank).join(offsets, "launch_date").select(
+        "launch_date", "campaign_id", (F.col("_offset") + F.col("_rank")).cast("long").alias("_place")
+    )
+
+
+def audience_master(
+    campaigns: DataFrame, environment: str, run_time: Column, stored: DataFrame | None = None
+) -> DataFrame:
     """Master rows of the campaigns with their SID: the rank of (launch date, campaign).
-    Rows are numbered inside a launch date and moved on by the campaigns of earlier dates,
-    so no window covers the whole table except the one over distinct dates."""
+
+    With `stored`, the master rows of earlier runs, a campaign that has a SID for its launch
+    date keeps it, and the others are numbered on from the largest one, so a SID never
+    stands for two campaigns and a rerun gives the same ones.
+    """
     rows = with_program_parts(
         campaigns.select(
             "campaign_type_id", "campaign_id", "audience_name", "template_id",
             "campaign_segment_type_id", "launch_date", "locale", "program_type",
         ).distinct()
     )
-    per_date = rows.groupBy("launch_date").agg(F.count_distinct("campaign_id").alias("_n"))
-    earlier = Window.orderBy("launch_date").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_date.select("launch_date", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-    rank = F.dense_rank().over(Window.partitionBy("launch_date").orderBy("campaign_id"))
     day = compact_date(F.col("launch_date"))
+    keys = rows.select("launch_date", "campaign_id").distinct()
+    if stored is None:
+        numbered = _numbered(keys).withColumn("_sid", F.col("_place"))
+    else:
+        known = stored.select(
+            "campaign_id", F.col("campaign_date").alias("_day"), F.col("sid").alias("_sid")
+        ).distinct()
+        told = keys.withColumn("_day", day).join(known, ["campaign_id", "_day"], "left").select(
+            "launch_date", "campaign_id", "_sid"
+        )
+        largest = F.coalesce(stored.agg(F.max("sid")).scalar(), F.lit(0))
+        fresh = _numbered(told.where(F.col("_sid").isNull()).select("launch_date", "campaign_id"))
+        numbered = told.where(F.col("_sid").isNotNull()).unionByName(
+            fresh.select("launch_date", "campaign_id", (F.col("_place") + largest).alias("_sid"))
+        )
     return (
-        rows.withColumn("_rank", rank)
-        .join(offsets, "launch_date")
+        rows.join(numbered, ["launch_date", "campaign_id"])
         .select(
             "campaign_type_id", "campaign_id", F.col("audience_name").alias("campaign_name"),
             "template_id", F.col("campaign_segment_type_id").alias("segment_id"),
             run_time.alias("run_date"), day.alias("campaign_date"), "subchannel", "program",
             "campaign_code", "lob_intent", "locale", day.alias("partition_date_key"),
             F.lit(environment).alias("environment"), run_time.alias("load_date"),
-            (F.col("_offset") + F.col("_rank")).cast("long").alias("sid"),
+            F.col("_sid").cast("long").alias("sid"),
         )
     )
 
 
+def append_master(rows: DataFrame, stored: DataFrame | None, path: str) -> None:
+    """Adds the master rows that are not stored yet, by campaign, date and locale; after a
+    run that is repeated there are none."""
+    key = ["campaign_id", "campaign_date", "locale"]
+    new = rows if stored is None else rows.join(stored.select(*key).distinct(), key, "left_anti")
+    new.write.mode("append").parquet(path)
+
+
 def campaign_summary(campaigns: DataFrame, rows: DataFrame) -> DataFrame:
     """Rows per campaign, with campaigns that got none marked as suppressed."""
     counts = rows.groupBy("campaign_id").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -789,6 +789,13 @@ _NAMES = re.compile(r"\b(" + "|".join(sorted(VIEWS, key=len, reverse=True)) + r"
 _SQL["travelers_per_campaign"] = """
 SELECT campaign_id, count(DISTINCT user_id) AS n_travelers FROM quiet_best WHERE campaign_priority <> 9999 GROUP BY ALL"""
 
+_SQL["audience_master_second_run"] = """
+SELECT campaign_id, CAST(strftime(launch_date, '%Y%m%d') AS INT) AS campaign_date, locale,
+  CASE WHEN launch_date <> DATE '2001-08-01' THEN dense_rank() OVER (PARTITION BY launch_date <> DATE '2001-08-01' ORDER BY launch_date, campaign_id)
+    ELSE (SELECT count(DISTINCT campaign_id) FROM campaign WHERE launch_date <> DATE '2001-08-01')
+      + dense_rank() OVER (PARTITION BY launch_date <> DATE '2001-08-01' ORDER BY launch_date, campaign_id) END AS sid
+FROM campaign"""
+
 ORACLES: dict[str, str] = {name: _with(sql) for name, sql in _SQL.items()}
 # The domain in which modules have no default and most cities look nothing up.
 for _usual, _demoting in (

@@ -241,6 +241,15 @@ def audience_master(d):
     return sinks.audience_master(d.campaign, "prod", F.lit("2001-08-01 06:00:00"))
 
 
+@query
+def audience_master_second_run(d):
+    """A later run over the campaigns of both days, after one for the second day only."""
+    moment = F.lit("2001-08-01 06:00:00")
+    second_day = d.campaign.where(F.col("launch_date") != F.lit(RUN.run_date))
+    stored = stage(sinks.audience_master(second_day, "prod", moment))
+    return sinks.audience_master(d.campaign, "prod", moment, stored).select("campaign_id", "campaign_date", "locale", "sid")
+
+
 # Traveler eligibility --------------------------------------------------------------
 
 

@@ -10,8 +10,8 @@ from outreach.functions.text import display_locale
 from outreach.operators.arbitration import arbitrate
 from outreach.operators.slots import module_code
 from outreach.params import SEED_ACCOUNT, RunParams
-from outreach.plans.daily import Delivery, deliver, run_root, same_case, write
-from outreach.sources.sinks import folder_name, snapshot_metadata
+from outreach.plans.daily import Delivery, Inputs, deliver, run_root, same_case, write
+from outreach.sources.sinks import append_master, audience_master, folder_name, snapshot_metadata
 from outreach.sources.staging import stage
 from outreach.workload.fixtures import DemotingDomain, Domain
 from outreach.workload.queries import decisions
@@ -93,6 +93,33 @@ def test_locales_meet_in_any_case(spark):
     lowered = same_case(tables)
     assert [r.locale for r in lowered.seeds.orderBy("n").collect()] == ["en_us", None]
     assert lowered.schedule.columns == ["n"] and lowered.jobs is None
+    inputs = Inputs(*[rows] * 9, recent=[rows], assignments=rows, files={"content": rows}, columns=["n"])
+    for df in (same_case(inputs).recent[0], same_case(inputs).files["content"]):
+        assert [r.locale for r in df.orderBy("n").collect()] == ["en_us", None]
+
+
+def test_sids_stay_over_runs(spark, tmp_path):
+    """Old campaigns keep their SID, new ones get unused ones, and a rerun adds nothing."""
+    schema = ("campaign_type_id int, campaign_id int, audience_name string, template_id int, campaign_segment_type_id int, "
+              "launch_date date, locale string, program_type string")
+    path = str(tmp_path / "master")
+
+    def run(*campaigns):
+        rows = spark.createDataFrame([(1, i, f"A{i}", 1, 1, dt.date(2001, 8, day), loc, "EML..P.C.L") for i, day, loc in campaigns], schema)
+        stored = spark.read.parquet(path) if os.path.exists(path) else None
+        made = audience_master(rows, "prod", F.lit("t"), stored)
+        append_master(stage(made), stored, path)
+        return {(r.campaign_id, r.campaign_date, r.locale): r.sid for r in made.collect()}
+
+    first = run((5, 2, "en_us"), (7, 2, "en_us"), (7, 2, "en_gb"))
+    assert sorted(set(first.values())) == [1, 2]
+    both = ((1, 1, "en_us"), (5, 2, "en_us"), (6, 3, "fr_fr"), (7, 2, "en_gb"))
+    second = run(*both)
+    assert {k: v for k, v in second.items() if k in first} == {k: first[k] for k in second if k in first}
+    assert sorted(set(second.values())) == [1, 2, 3, 4]
+    before = spark.read.parquet(path).count()
+    assert run(*both) == second and spark.read.parquet(path).count() == before == 5
+    assert spark.read.parquet(path).groupBy("sid").agg(F.count_distinct("campaign_id", "campaign_date").alias("n")).where("n > 1").isEmpty()
 
 
 def test_rounds_keep_what_rendering_everything_keeps(spark):
