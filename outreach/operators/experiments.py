@@ -9,6 +9,8 @@ from outreach.operators.allocation import CONTENT_KEY
 from outreach.operators.metadata import campaign_slots
 from outreach.params import EMPTY_MODULE, POS, TEST_ONLY
 
+RETIRED_TEST = "999"
+
 TYPE_TEST = "module type"
 VERSION_TEST = "module version"
 
@@ -17,6 +19,15 @@ def of_type(assignments: DataFrame, test_type: str) -> DataFrame:
     return assignments.where(F.col("test_type") == test_type)
 
 
+def sample_paths(catalogue: DataFrame, locale: str | None = None) -> list[str]:
+    """Where the sampled rows of the tests that are not retired lie, of one locale or all. The
+    catalogue lists a few rows a test, and the paths make up the plan of the read."""
+    listed = catalogue.where(F.col("test_id").cast("string") != RETIRED_TEST)
+    if locale is not None:
+        listed = listed.where(F.lower("locale") == locale.lower())
+    return sorted(r.path for r in listed.where(F.col("path").isNotNull()).select("path").distinct().collect())
+
+
 def test_module_set(assignments: DataFrame) -> DataFrame:
     """Module types shown to each test key and segment, as a sorted set. A set holds the
     types of the tests of one segment."""
@@ -75,6 +86,19 @@ def type_test_filter(allocated: DataFrame, assignments: DataFrame) -> DataFrame:
     )
 
 
+def campaigns_under_test(assignments: DataFrame, slots: DataFrame) -> DataFrame:
+    """Campaigns with a slot for a control row of a type test."""
+    control = of_type(assignments, TYPE_TEST).where(F.col("control_test_flag") == 0)
+    maps = control.select("segment_module_map_id").distinct()
+    return slots.join(maps, "segment_module_map_id", "left_semi").select("campaign_id").distinct()
+
+
+def running_tests(assignments: DataFrame, slots: DataFrame) -> DataFrame:
+    """The assignments, or none if no campaign of the run is under a type test. The condition
+    is a subquery of the plan, so nothing is read to build it."""
+    return assignments.where(campaigns_under_test(assignments, slots).exists())
+
+
 def tests_on_campaign(assignments: DataFrame, meta: DataFrame) -> DataFrame:
     """Version-test assignments with the campaigns and slots their modules appear in, for
     tests that appear at all. Control rows have no module and keep NULL there."""

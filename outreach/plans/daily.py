@@ -189,7 +189,7 @@ class Decisions:
 
     @cached_property
     def type_tested(self) -> DataFrame:
-        return X.type_test_filter(self.allocated, self.inputs.assignments)
+        return X.type_test_filter(self.allocated, X.running_tests(self.inputs.assignments, self.slots))
 
     @cached_property
     def tested(self) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -46,6 +47,27 @@ def read_many(spark: SparkSession, paths: list[str], empty: StructType) -> DataF
     return spark.read.schema(empty).parquet(*paths)
 
 
+def found_paths(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of the paths that exist; any other fault of a path is raised. Looking lists a
+    folder and starts no job."""
+    found = []
+    for path in paths:
+        try:
+            spark.read.format("binaryFile").load(path)
+        except AnalysisException as fault:
+            if fault.getCondition() != "PATH_NOT_FOUND":
+                raise
+        else:
+            found.append(path)
+    return found
+
+
+def read_listed(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame:
+    """The listed tables as one frame of the given schema. Paths that are gone are passed over;
+    with none left the frame is empty."""
+    return read_many(spark, found_paths(spark, paths), schema)
+
+
 def load_config_set(
     spark: SparkSession, names: list[str], source: TableSource, surrogate: str = "id"
 ) -> dict[str, DataFrame]:

@@ -647,6 +647,16 @@ SELECT tpid, eapid, locale, test_keys, segment_type_id,
        string_agg(CAST(module_type_id AS VARCHAR), '#' ORDER BY module_type_id) AS module_types
 FROM (SELECT DISTINCT tpid, eapid, locale, test_keys, segment_type_id, module_type_id
       FROM test_assignment WHERE test_type = 'module type') GROUP BY ALL"""
+_SQL["experiment_catalogue"] = """
+SELECT test_id, test_type, tpid, eapid, locale, test_keys, module_type_id, control_test_flag
+FROM test_assignment WHERE test_id <> 2"""
+_SQL["campaigns_under_test"] = """
+SELECT DISTINCT c.campaign_id
+FROM run_campaign c JOIN run_template t ON c.template_id = t.template_id AND t.template_deleted_flag = 0
+JOIN segment_module_map s ON s.segment_module_map_id = t.segment_module_map_id AND s.seg_mod_deleted_flag = 0
+JOIN active_segment a ON a.tpid = c.tpid AND a.eapid = c.eapid AND a.segment_type_id = s.segment_type_id
+WHERE s.segment_module_map_id IN (SELECT segment_module_map_id FROM test_assignment
+                                  WHERE test_type = 'module type' AND control_test_flag = 0)"""
 _SQL["expand_test_templates"] = "SELECT * FROM template UNION ALL SELECT * FROM template_copies"
 _SQL["type_test_filter"] = f"{_ALLOC} type_tested"
 _SQL["version_test_replace"] = f"{_ALLOC} tested"

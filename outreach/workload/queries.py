@@ -567,6 +567,26 @@ def test_module_set(d):
     )
 
 
+@query
+def experiment_catalogue(d):
+    """Sampled rows of the tests that a catalogue lists: one folder a test and locale, a retired
+    test and one whose folder is gone among them."""
+    root = stage_path(d.spark)
+    d.test_assignment.withColumns({"_test": F.col("test_id"), "_site": F.col("locale")}).write.partitionBy("_test", "_site").parquet(root)
+    place = F.concat_ws("/", F.lit(root), F.concat(F.lit("_test="), "test_id"), F.concat(F.lit("_site="), "locale"))
+    listed = d.test_assignment.select("test_id", "locale", place.alias("path")).distinct()
+    gone = listed.where(F.col("test_id") == 1).select("test_id", "locale", F.concat("path", F.lit("-gone")).alias("path"))
+    retired = listed.where(F.col("test_id") == 2).select(F.lit(999).alias("test_id"), "locale", "path")
+    catalogue = listed.where(F.col("test_id") != 2).unionByName(gone).unionByName(retired)
+    rows = tables.read_listed(d.spark, experiments.sample_paths(catalogue), d.test_assignment.schema)
+    return rows.select("test_id", "test_type", *POS, "test_keys", "module_type_id", "control_test_flag")
+
+
+@query
+def campaigns_under_test(d):
+    return experiments.campaigns_under_test(d.test_assignment, decisions(d).slots)
+
+
 @query
 def expand_test_templates(d):
     return experiments.expand_test_templates(
