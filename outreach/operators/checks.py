@@ -12,6 +12,10 @@ class CheckFailed(Exception):
     """A required frame is empty or a reference is missing."""
 
 
+class NothingToSend(CheckFailed):
+    """The run is sound and has nothing to do: it ends without output."""
+
+
 def row_guards(frames: dict[str, DataFrame]) -> DataFrame:
     """One row per named frame: its row count and whether it has any."""
     rows = [
@@ -23,9 +27,9 @@ def row_guards(frames: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), rows)
 
 
-def require_rows(df: DataFrame, message: str) -> None:
+def require_rows(df: DataFrame, message: str, fault: type[CheckFailed] = CheckFailed) -> None:
     if df.isEmpty():
-        raise CheckFailed(message)
+        raise fault(message)
 
 
 def require_none(missing: DataFrame, column: str, message: str) -> None:

@@ -14,6 +14,15 @@ from outreach.operators.skew import spread_join
 from outreach.params import POS, SUPPRESSED
 
 
+def only_read(files: dict[str, DataFrame], used: dict[str, list[str]]) -> dict[str, DataFrame]:
+    """The look-up tables that specs name, cut to the columns that they read. The other
+    tables are left out of the plan and never scanned."""
+    return {
+        name: df.select(*[c for c in df.columns if c in {*POS, *used[name]}])
+        for name, df in files.items() if name in used
+    }
+
+
 def attribute_map(columns: list[str]) -> Column:
     """The traveler columns that templates and specs may read, as map<string,string>."""
     entries = [x for c in columns for x in (F.lit(c), F.col(c).cast("string"))]
@@ -43,7 +52,7 @@ def _key_values(values: Column, names: Column) -> Column:
 def content_rows(files: dict[str, DataFrame], specs: DataFrame) -> DataFrame:
     """All look-up tables in one shape: point of sale, spec, key values, and the value
     columns as a map. Where a key repeats, the smallest value of each column wins."""
-    shaped = []
+    shaped = [specs.where(F.lit(False)).select(*POS, "file", F.lit(None).cast("map<string,string>").alias("values"))]
     for name, df in files.items():
         columns = [c for c in df.columns if c not in POS]
         shaped.append(df.select(*POS, F.lit(name).alias("file"), attribute_map(columns).alias("values")))

@@ -184,6 +184,14 @@ def traveler_columns_to_read(variables: DataFrame) -> list[str]:
     return BASE_COLUMNS + [c for c in extra if c not in BASE_COLUMNS]
 
 
+def file_columns(specs: DataFrame) -> dict[str, list[str]]:
+    """The key and value columns that the specs (`join_specs`) read of each look-up file, read
+    once while the plan is built: one row per file that a spec names."""
+    used = F.array_distinct(F.flatten(F.collect_set(F.concat("right_keys", "columns"))))
+    per_file = specs.groupBy("file_name").agg(F.array_sort(used).alias("used"))
+    return {r.file_name: list(r.used) for r in per_file.collect()}
+
+
 def stored_columns(stored: DataFrame, column: str) -> list[str]:
     """The column list an upstream run left in a one-row table."""
     return list(stored.select(column).first()[0])

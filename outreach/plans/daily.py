@@ -23,13 +23,16 @@ from outreach.operators import slots as S
 from outreach.operators.skew import consecutive_ids, spread_join
 from outreach.params import POS, RunParams
 from outreach.sources import sinks as W
+from outreach.sources.runs import RunLog, append_log
 from outreach.sources.staging import stage
 
 
 @dataclass(frozen=True)
 class Inputs:
     """Tables of one run. `recent` holds the contact keys to suppress; `columns` are the
-    profile columns that templates and join specs read (`traveler_columns_to_read`)."""
+    profile columns that distinct content is told apart by. A run reads these, the base
+    columns, those that templates and join specs name, and `carried` ones, which are delivered
+    with the rows; no other column of a wide profile is scanned."""
 
     campaigns: DataFrame
     manual: DataFrame
@@ -45,6 +48,7 @@ class Inputs:
     files: dict[str, DataFrame]
     columns: list[str]
     tie_break: list[str] = field(default_factory=lambda: ["user_id"])
+    carried: list[str] = field(default_factory=list)
 
 
 def same_case(tables):
@@ -100,9 +104,10 @@ class Decisions:
     `base` and `whole` do, for those who want every traveler's content for every campaign.
     """
 
-    def __init__(self, inputs: Inputs, run: RunParams):
+    def __init__(self, inputs: Inputs, run: RunParams, log: RunLog | None = None):
         self.inputs = same_case(inputs)
         self.run = run
+        self.log = log or RunLog()
 
     @cached_property
     def campaigns(self) -> DataFrame:
@@ -112,7 +117,7 @@ class Decisions:
             self.run.campaign_id if self.run.test_type == "MANUAL" else None,
         )
         left = E.drop_manual_launches(live, self.inputs.manual)
-        return stage(E.demote_dead(left, self.inputs.segments))
+        return self.log.stage(E.demote_dead(left, self.inputs.segments), "campaigns", Q.NothingToSend)
 
     @cached_property
     def templates(self) -> DataFrame:
@@ -126,17 +131,19 @@ class Decisions:
     @cached_property
     def slots(self) -> DataFrame:
         i = self.inputs
-        return stage(M.placed_slots(self.campaigns, self.templates, i.seg_map, i.segments))
+        placed = M.placed_slots(self.campaigns, self.templates, i.seg_map, i.segments)
+        return self.log.stage(placed, "campaign slots", Q.CheckFailed)
 
     @cached_property
     def placed(self) -> DataFrame:
         """Modules that some slot can show."""
-        return stage(M.placed_modules(self.inputs.modules, self.slots))
+        return self.log.stage(M.placed_modules(self.inputs.modules, self.slots), "modules in slots")
 
     @cached_property
     def metadata(self) -> DataFrame:
         """Campaign metadata, a row per version and not per module."""
-        return stage(M.factored_metadata(self.slots, M.module_families(self.placed, self.info)))
+        families = M.module_families(self.placed, self.info)
+        return self.log.stage(M.factored_metadata(self.slots, families), "campaign metadata", Q.CheckFailed)
 
     @cached_property
     def active(self) -> DataFrame:
@@ -148,11 +155,19 @@ class Decisions:
 
     @cached_property
     def info(self) -> DataFrame:
-        return stage(M.module_info(self.variables))
+        return self.log.stage(M.module_info(self.variables), "module variables", Q.CheckFailed)
+
+    @cached_property
+    def profile_columns(self) -> list[str]:
+        """The profile columns a run reads, in the order of the table."""
+        i = self.inputs
+        wanted = {*M.traveler_columns_to_read(self.variables), *i.columns, *i.tie_break, *i.carried}
+        return [c for c in i.travelers.columns if c in wanted]
 
     @cached_property
     def travelers(self) -> DataFrame:
-        chosen = E.eligible_travelers(self.inputs.travelers, self.run.program, self.run.locale)
+        profiles = self.inputs.travelers.select(*self.profile_columns)
+        chosen = E.eligible_travelers(profiles, self.run.program, self.run.locale)
         if self.run.program == "loyalty":
             return chosen
         return E.suppress_recent(chosen, *self.inputs.recent)
@@ -171,21 +186,24 @@ class Decisions:
     @cached_property
     def members(self) -> DataFrame:
         """Travelers with their outer segments; campaigns are met round by round."""
-        return stage(A.members(self.inputs.traveler_segments, self.travelers))
+        found = A.members(self.inputs.traveler_segments, self.travelers)
+        return self.log.stage(found, "travelers with segments", Q.CheckFailed)
 
     @cached_property
     def lists(self) -> DataFrame:
-        return stage(A.campaign_lists(A.outer_campaigns(self.active)))
+        return self.log.stage(A.campaign_lists(A.outer_campaigns(self.active)), "campaigns of segments", Q.NothingToSend)
 
     @cached_property
     def candidates(self) -> DataFrame:
         ranked = M.ranked_metadata(self.active, self.active)
-        return stage(A.slot_candidates(ranked.where(F.col("module_id").isNotNull())))
+        ranked = ranked.where(F.col("module_id").isNotNull())
+        return self.log.stage(A.slot_candidates(ranked), "module versions", Q.CheckFailed)
 
     @cached_property
     def allocated(self) -> DataFrame:
         keys = A.content_keys(self.members, A.outer_campaigns(self.active))
-        return stage(A.allocate_modules(keys, self.candidates, self.run.seed))
+        due = A.allocate_modules(keys, self.candidates, self.run.seed)
+        return self.log.stage(due, "module allocation", Q.CheckFailed)
 
     @cached_property
     def type_tested(self) -> DataFrame:
@@ -199,23 +217,32 @@ class Decisions:
     def offers(self) -> DataFrame:
         """Candidate modules per campaign, test key and segment set: rows that do not grow
         with the number of travelers."""
-        return stage(C.candidate_arrays(self.tested, self.inputs.modules, self.info))
+        arrays = C.candidate_arrays(self.tested, self.inputs.modules, self.info)
+        return self.log.stage(arrays, "offered modules", Q.CheckFailed)
 
     @cached_property
     def look_ups(self) -> DataFrame:
         """What each distinct profile finds; once for all rounds."""
-        found = C.look_up(self.members, self.inputs.columns, self.specs, self.inputs.files)
-        return stage(C.profile_look_ups(found, self.inputs.columns))
+        files = C.only_read(self.inputs.files, M.file_columns(M.join_specs(self.offered_variables)))
+        found = C.look_up(self.members, self.inputs.columns, self.specs, files)
+        return self.log.stage(C.profile_look_ups(found, self.inputs.columns), "look-ups")
 
     @cached_property
     def placed_tests(self) -> DataFrame:
         tests = self.inputs.assignments
         tested = self.placed.join(tests.select("module_id").distinct(), "module_id", "left_semi")
-        return stage(X.tests_on_campaign(tests, M.factored_metadata(self.slots, tested)))
+        return self.log.stage(X.tests_on_campaign(tests, M.factored_metadata(self.slots, tested)), "version tests")
+
+    @cached_property
+    def offered_variables(self) -> DataFrame:
+        """Variables of the modules that are offered to anyone."""
+        offered = self.offers.select(F.explode("candidates.module_id").alias("module_id")).distinct()
+        return self.variables.join(offered, "module_id", "left_semi")
 
     @cached_property
     def specs(self) -> DataFrame:
-        return stage(C.distinct_specs(self.variables))
+        """Join specs that an offered module renders with; others look nothing up."""
+        return self.log.stage(C.distinct_specs(self.offered_variables), "join specs")
 
     def content(self, base: DataFrame) -> Content:
         return Content(self, base)
@@ -237,11 +264,11 @@ class Decisions:
 
     @cached_property
     def winners(self) -> DataFrame:
-        return stage(self.arbitrated())
+        return self.log.stage(self.arbitrated(), "winning rows")
 
     def check(self) -> None:
         """Stop before the expensive part if configuration is missing."""
-        Q.require_rows(self.campaigns, "no campaign launches on the run date")
+        Q.require_rows(self.campaigns, "no campaign launches on the run date", Q.NothingToSend)
         Q.require_none(
             Q.conflicting_priorities(self.campaigns), "campaign_id", "campaigns with several priorities"
         )
