@@ -61,8 +61,8 @@ def add_user_token(
     )
 
 
-def add_module_count(rows: DataFrame, counts: DataFrame) -> DataFrame:
-    return rows.join(counts, "campaign_id")
+def add_module_count(rows: DataFrame, counts: DataFrame, on: tuple[str, ...] = ("campaign_id",)) -> DataFrame:
+    return rows.join(counts, list(on))
 
 
 def none_to_null(df: DataFrame) -> DataFrame:

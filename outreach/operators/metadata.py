@@ -202,8 +202,8 @@ def missing_files(specs: DataFrame, catalogue: DataFrame) -> DataFrame:
     return specs.select("file_name").distinct().join(catalogue, "file_name", "left_anti")
 
 
-def module_count(active: DataFrame) -> DataFrame:
-    return active.groupBy("campaign_id", "audience_name").agg(
+def module_count(active: DataFrame, by: tuple[str, ...] = ("campaign_id",)) -> DataFrame:
+    return active.groupBy(*by, "audience_name").agg(
         F.count_distinct("slot_position").alias("module_count")
     )
 

@@ -167,7 +167,8 @@ def slot_columns(df: DataFrame, slots: list[int]) -> DataFrame:
 
 
 def campaign_modules(rows: DataFrame) -> DataFrame:
-    """Distinct modules each campaign uses, over all its slots."""
+    """Distinct modules each campaign uses, over all its slots, by site if the rows have one."""
+    site = ["site"] if "site" in rows.columns else []
     return rows.select(
-        "campaign_id", F.explode(F.transform("picks", lambda p: p["module_id"])).alias("module_id")
+        *site, "campaign_id", F.explode(F.transform("picks", lambda p: p["module_id"])).alias("module_id")
     ).distinct()

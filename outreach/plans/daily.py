@@ -327,7 +327,8 @@ def deliver(decisions: Decisions, d: Delivery) -> DataFrame:
     )
     numbered = stage(consecutive_ids(stage(coded), ["email_address", "campaign_id", *tie, "locale", "segment_set"], "row_id"))
     tokens = N.add_user_token(numbered, d.tokens, d.fallback_tokens)
-    counted = N.add_module_count(tokens, M.module_count(decisions.active))
+    sent = ("campaign_id", "locale")  # a campaign may bear another name in each locale
+    counted = N.add_module_count(tokens, M.module_count(decisions.active, sent), sent)
     one = R.dedupe_recipient(counted, ["campaign_id", *tie])
     seeded = N.add_seeds(N.none_to_null(one), N.numbered_seeds(d.seeds, run.seed_category), ["email_address", *tie])
     parts = audiences(decisions, d).select(
@@ -368,27 +369,56 @@ def run_root(run: RunParams, root: str) -> str:
 
 def write(decisions: Decisions, delivered: DataFrame, d: Delivery, root: str) -> DataFrame:
     """Write campaigns, module lists and manifest below the run's folder, metadata and the
-    audience master, which later runs pass on, below `root`; returns the manifest."""
-    run, own = decisions.run, run_root(decisions.run, root)
-    rows = stage(delivered)
+    audience master, which later runs pass on, below `root`; returns the manifest.
+
+    Campaigns and locales that no schedule names are written and not listed; the run's log
+    counts them. Suppressed campaigns share one empty folder."""
+    run, own, log = decisions.run, run_root(decisions.run, root), decisions.log
+    rows = log.stage(delivered.withColumn("site", W.folder_name(F.col("locale"))), "delivered rows")
     name = output_name(F.col("audience_name"), F.col("launch_date"), run.job_type, run.test_type)
     named = rows.withColumn("audience", name).withColumn("locale", display_locale(F.col("locale")))
     slots = M.slot_list(decisions.active).first()["slots"]
     campaigns = N.output_projection(S.slot_columns(named, slots), ["picks", *WORKING], "authrealm")
-    W.write_campaigns(campaigns, f"{own}/campaigns")
-    W.write_modules(S.campaign_modules(rows), f"{own}/modules")
-    master = stage(audiences(decisions, same_case(d)))
+    log.written(campaigns, "campaigns written", lambda df: W.write_campaigns(df, f"{own}/campaigns"), f"{own}/campaigns")
+    modules = S.campaign_modules(rows)
+    log.written(modules, "module lists written", lambda df: W.write_modules(df, f"{own}/modules"), f"{own}/modules")
+    W.write_suppressed(campaigns, f"{own}/suppressed")
+    d = same_case(d)
+    master = log.stage(audiences(decisions, d), "audience master")
     sids = master.select("campaign_id", "campaign_date", "sid").distinct()
-    summary = stage(
+    summary = log.stage(
         W.campaign_summary(decisions.campaigns, rows)
         .withColumn("file_name", name)
         .withColumn("campaign_date", compact_date(F.col("launch_date")))
-        .join(sids, ["campaign_id", "campaign_date"])
+        .join(sids, ["campaign_id", "campaign_date"]),
+        "campaigns and locales",
     )
     W.append_master(master, d.master, f"{root}/audience_master")
-    W.write_empty_campaigns(summary, campaigns, f"{own}/campaigns")
-    listed = W.manifest(summary, d.launch_times, own)
+    times = stage(d.launch_times)
+    log.stage(W.unscheduled(summary, times), "campaigns without schedule")
+    found = W.manifest(summary, times, own, by_site=True, suppressed=f"{own}/suppressed")
+    listed = log.stage(found, "manifest", Q.CheckFailed).orderBy("scheduled_launch_time", "staging_filename")
     W.write_manifest(listed, f"{own}/manifest")
     shown = M.factored_metadata(decisions.slots, decisions.placed_active)
     W.snapshot_metadata(M.module_variables(shown, decisions.variables), F.lit(run.run_date), f"{root}/metadata")
     return listed
+
+
+def run_daily(inputs: Inputs, run: RunParams, d: Delivery, root: str, log: RunLog | None = None) -> DataFrame | None:
+    """A whole run: checks, decisions, delivery, output, and in any case its rows in
+    `{root}/run_log`. Returns the manifest, or nothing where there is nothing to send."""
+    log = log or RunLog(guarded=True)
+    decisions = Decisions(inputs, run, log)
+    try:
+        decisions.check()
+        listed = write(decisions, deliver(decisions, d), d, root)
+        log.note("run complete", path=run_root(run, root))
+        return listed
+    except Q.NothingToSend as reason:
+        log.note(f"nothing to send: {reason}")
+        return None
+    except Exception as fault:
+        log.note("run failed", error=f"{type(fault).__name__}: {str(fault)[:500]}")
+        raise
+    finally:
+        append_log(log.rows(inputs.campaigns.sparkSession).coalesce(1), f"{root}/run_log")

@@ -68,7 +68,7 @@ class RunLog:
 
     A step's rows are counted while its frame is written, so the log costs no job of its own.
     With `guarded`, a step that is needed and has no rows stops the run under its name.
-    Nothing here reads a clock: times come from `clock`, and are NULL without one.
+    Nothing here reads a clock: times come from `clock`, with their zone, and are NULL without one.
     """
 
     def __init__(

@@ -18,17 +18,26 @@ def folder_name(name: Column) -> Column:
     return F.when(safe == "", F.lit("unnamed")).otherwise(safe)
 
 
-def audience_folder(root: str, launch_date: Column, audience: Column, sid: Column) -> Column:
+def site_root(root: str, locale: Column) -> Column:
+    """Folder of one locale below a root."""
+    return F.concat(F.lit(f"{root}/site="), folder_name(locale))
+
+
+def audience_folder(root: str | Column, launch_date: Column, audience: Column, sid: Column) -> Column:
     """Where `write_campaigns` puts a campaign below its root."""
     return F.concat(
-        F.lit(f"{root}/launch_date="), launch_date.cast("string"), F.lit("/audience="), folder_name(audience),
+        _text(root), F.lit("/launch_date="), launch_date.cast("string"), F.lit("/audience="), folder_name(audience),
         F.lit("/sid="), sid.cast("string"),
     )
 
 
-def modules_folder(root: str, campaign_id: Column) -> Column:
+def modules_folder(root: str | Column, campaign_id: Column) -> Column:
     """Where `write_modules` puts a campaign's module list below its root."""
-    return F.concat(F.lit(f"{root}/campaign_id="), campaign_id.cast("string"))
+    return F.concat(_text(root), F.lit("/campaign_id="), campaign_id.cast("string"))
+
+
+def _text(value: str | Column) -> Column:
+    return value if isinstance(value, Column) else F.lit(value)
 
 
 def with_program_parts(campaigns: DataFrame) -> DataFrame:
@@ -103,30 +112,55 @@ def append_master(rows: DataFrame, stored: DataFrame | None, path: str) -> None:
 
 
 def campaign_summary(campaigns: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows per campaign, with campaigns that got none marked as suppressed."""
-    counts = rows.groupBy("campaign_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    """Rows per campaign and locale, with those that got none marked as suppressed."""
+    key = ["campaign_id", "locale"]
+    counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows"))
     return (
-        campaigns.select("campaign_id", "audience_name", "launch_date").distinct()
-        .join(counts, "campaign_id", "left")
+        campaigns.select(*key, "audience_name", "launch_date").distinct()
+        .join(counts, key, "left")
         .withColumn("n_rows", F.coalesce("n_rows", F.lit(0)).cast("long"))
         .withColumn("suppressed", (F.col("n_rows") == 0).cast("int"))
     )
 
 
-def manifest(summary: DataFrame, schedule: DataFrame, root: str) -> DataFrame:
+def _schedule_key(schedule: DataFrame) -> list[str]:
+    return [c for c in ("campaign_id", "locale") if c in schedule.columns]
+
+
+def unscheduled(summary: DataFrame, schedule: DataFrame) -> DataFrame:
+    """Campaigns and locales that no schedule names; the manifest does not list them."""
+    return summary.join(schedule, _schedule_key(schedule), "left_anti")
+
+
+def manifest(
+    summary: DataFrame, schedule: DataFrame, root: str, by_site: bool = False, suppressed: str | None = None
+) -> DataFrame:
     """Written folders joined with their schedule and sorted by it: the audience of every
-    campaign, and the module list of those that were not suppressed."""
+    campaign, and the module list of those that were not suppressed.
+
+    A schedule with a locale counts for that locale alone. `by_site` names folders as they
+    are written for one locale each, and `suppressed` the folder that stands for the
+    audience of suppressed campaigns.
+    """
+    audience_root, module_root = f"{root}/campaigns", f"{root}/modules"
+    if by_site:
+        audience_root, module_root = (site_root(r, F.col("locale")) for r in (audience_root, module_root))
+
     def entry(name: Column, path: Column) -> list[Column]:
-        return [F.col("campaign_id"), name.alias("staging_filename"), path.alias("path"), F.col("sid")]
+        return [F.col("campaign_id"), F.col("locale"), name.alias("staging_filename"), path.alias("path"), F.col("sid")]
 
-    folder = audience_folder(f"{root}/campaigns", F.col("launch_date"), F.col("file_name"), F.col("sid"))
+    folder = audience_folder(audience_root, F.col("launch_date"), F.col("file_name"), F.col("sid"))
+    if suppressed is not None:
+        folder = F.when(F.col("suppressed") == 1, F.lit(suppressed)).otherwise(folder)
     audiences = summary.select(*entry(F.col("file_name"), folder))
     modules = summary.where(F.col("suppressed") == 0).select(
-        *entry(F.concat("file_name", F.lit("_modules")), modules_folder(f"{root}/modules", F.col("campaign_id")))
+        *entry(F.concat("file_name", F.lit("_modules")), modules_folder(module_root, F.col("campaign_id")))
     )
+    key = _schedule_key(schedule)
     return (
         audiences.unionByName(modules)
-        .join(schedule.select("campaign_id", "scheduled_launch_time"), "campaign_id")
+        .join(schedule.select(*key, "scheduled_launch_time"), key)
+        .drop("locale")
         .orderBy("scheduled_launch_time", "staging_filename")
     )
 
@@ -143,12 +177,13 @@ def pick_schedule(details: DataFrame, jobs: DataFrame, enabled: DataFrame) -> Da
 
 
 def write_campaigns(rows: DataFrame, path: str) -> None:
-    """One folder per launch date, audience and SID, named as `audience_folder` has it.
+    """One folder per site (if the rows have one), launch date, audience and SID, named as
+    `site_root` and `audience_folder` have it.
 
     REBALANCE puts a campaign's rows together and splits those of a large one over several
     tasks, so neither small files nor one giant task result.
     """
-    keys = ["launch_date", "audience", "sid"]
+    keys = [*_site(rows), "launch_date", "audience", "sid"]
     (
         rows.drop("campaign_id").withColumn("audience", folder_name(F.col("audience"))).hint("rebalance", *keys)
         .write.mode("overwrite").option("maxRecordsPerFile", MAX_FILE_ROWS)
@@ -156,17 +191,19 @@ def write_campaigns(rows: DataFrame, path: str) -> None:
     )
 
 
-def write_empty_campaigns(summary: DataFrame, rows: DataFrame, path: str) -> None:
-    """An empty folder for each suppressed campaign of the summary (one row a campaign)."""
-    folder = audience_folder(path, F.col("launch_date"), F.col("file_name"), F.col("sid"))
-    shape = rows.drop("campaign_id", "launch_date", "audience", "sid").schema
-    nothing = rows.sparkSession.createDataFrame([], shape)
-    for (place,) in summary.where(F.col("suppressed") == 1).select(folder).collect():
-        nothing.write.mode("overwrite").parquet(place)
+def _site(rows: DataFrame) -> list[str]:
+    return ["site"] if "site" in rows.columns else []
+
+
+def write_suppressed(rows: DataFrame, path: str) -> None:
+    """The one folder that stands for all suppressed campaigns: no rows, the columns of the
+    others. One small job, however many campaigns were suppressed."""
+    shape = rows.drop("campaign_id", "site", "launch_date", "audience", "sid").schema
+    rows.sparkSession.createDataFrame([], shape).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def write_modules(modules: DataFrame, path: str) -> None:
-    modules.write.mode("overwrite").partitionBy("campaign_id").parquet(path)
+    modules.write.mode("overwrite").partitionBy(*_site(modules), "campaign_id").parquet(path)
 
 
 def write_manifest(rows: DataFrame, path: str) -> None:

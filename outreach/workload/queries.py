@@ -766,7 +766,7 @@ def campaign_modules(d):
 @query
 def campaign_summary(d):
     run, rows = _coded_winners(d)
-    return sinks.campaign_summary(run.campaigns, rows).drop("launch_date")
+    return sinks.campaign_summary(run.campaigns, rows).drop("launch_date", "locale")
 
 
 @query

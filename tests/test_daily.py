@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,10 +11,13 @@ from outreach.functions.text import display_locale
 from outreach.operators.arbitration import arbitrate
 from outreach.operators.slots import module_code
 from outreach.params import SEED_ACCOUNT, RunParams
-from outreach.plans.daily import Delivery, Inputs, deliver, run_root, same_case, write
+from outreach.operators.checks import CheckFailed, NothingToSend
+from outreach.plans.daily import Decisions, Delivery, Inputs, deliver, run_daily, run_root, same_case, write
+from outreach.sources import sinks
+from outreach.sources.runs import RUN_LOG, RunLog
 from outreach.sources.sinks import append_master, audience_master, folder_name, snapshot_metadata
 from outreach.sources.staging import stage
-from outreach.workload.fixtures import DemotingDomain, Domain
+from outreach.workload.fixtures import RUN, DemotingDomain, Domain
 from outreach.workload.queries import decisions
 
 SF = os.environ.get("TEST_RUN_DIR", "/root/testdata/sf0.01")
@@ -24,7 +28,7 @@ def run(spark):
     if not os.path.isdir(SF):
         pytest.skip(f"no tables in {SF}")
     d = Domain(spark, SF)
-    made = decisions(d)
+    made = Decisions(decisions(d).inputs, RUN, RunLog(guarded=True))
     tables = Delivery(
         tokens=d.token_a, fallback_tokens=d.token_b, seeds=d.seed, loyalty=d.loyalty,
         pos_mapping=d.pos_mapping, schedule=d.schedule,
@@ -64,6 +68,71 @@ def test_delivered_rows_and_files(spark, run, tmp_path):
     scheduled = out.join(spark.createDataFrame([(r.sid,) for r in listed], "sid long").distinct(), "sid", "left_semi")
     assert 0 in held and sum(held) == scheduled.count()
     assert all(spark.read.parquet(r.path).count() for r in listed if r.staging_filename.endswith("_modules"))
+    # the log counts each step's rows, once
+    noted = {r.status: r.row_counts for r in made.log.rows(spark).collect()}
+    assert len(noted) == len(made.log.steps)
+    for step, df in (("campaigns", made.campaigns), ("travelers with segments", made.members),
+                     ("winning rows", made.winners), ("offered modules", made.offers), ("campaigns written", out)):
+        assert noted[step] == df.count() > 0
+    assert noted["manifest"] == len(listed) and noted["campaigns without schedule"] > 0
+    assert noted["module lists written"] == modules.count()
+
+
+def test_a_run_that_cannot_go_on_stops_and_says_so(spark, run, tmp_path):
+    """Each guard, by the step it names; the log keeps what was done until then."""
+    made, tables, _ = run
+    i = made.inputs
+    nothing = {
+        "campaigns": (NothingToSend, {"campaigns": i.campaigns.limit(0)}),
+        "campaign slots": (CheckFailed, {"templates": i.templates.limit(0)}),
+        "module variables": (CheckFailed, {"variables": i.variables.limit(0)}),
+        "campaign metadata": (CheckFailed, {"modules": i.modules.limit(0)}),
+    }
+    for step, (fault, change) in nothing.items():
+        log, root = RunLog(guarded=True, clock=lambda: dt.datetime(2001, 8, 1, 12, tzinfo=dt.timezone.utc)), str(tmp_path / step.replace(" ", "_"))
+        if fault is NothingToSend:
+            assert run_daily(replace(i, **change), RUN, tables, root, log) is None
+        else:
+            with pytest.raises(CheckFailed, match=step):
+                run_daily(replace(i, **change), RUN, tables, root, log)
+        rows = spark.read.parquet(f"{root}/run_log").collect()
+        assert sum(r.is_complete == 0 for r in rows) == (fault is CheckFailed)
+        assert any(step in (r.error_message or r.status) for r in rows)
+        # noon UTC is five in the morning there
+        assert {r.start_date for r in rows} == {dt.datetime(2001, 8, 1, 5)}
+        assert set(rows[0].asDict()) == {f.name for f in RUN_LOG.fields}
+    some = made.campaigns.limit(3)
+    for fault in (CheckFailed, NothingToSend):
+        with pytest.raises(fault, match="a step: no rows"):
+            RunLog(guarded=True).stage(some.limit(0), "a step", fault)
+    free = RunLog()
+    assert free.stage(some.limit(0), "a step", CheckFailed).isEmpty() and free.steps[0][7] == 0
+    assert RunLog(guarded=True).stage(some, "a step", CheckFailed).count() == 3
+
+
+def test_manifest_tells_locales_apart(spark):
+    """A campaign in two locales has a folder and a launch time in each; another schedule
+    table serves the locales that the details do not cover."""
+    day = dt.date(2001, 8, 1)
+    campaigns = spark.createDataFrame(
+        [(7, "en_us", "A", day), (7, "fr_fr", "B", day), (8, "en_us", "C", day), (9, "en_us", "D", day)],
+        "campaign_id int, locale string, audience_name string, launch_date date",
+    )
+    rows = spark.createDataFrame([(7, "en_us"), (7, "en_us"), (7, "fr_fr"), (9, "en_us")], "campaign_id int, locale string")
+    summary = sinks.campaign_summary(campaigns, rows)
+    assert {(r.campaign_id, r.locale): r.n_rows for r in summary.collect()} == {
+        (7, "en_us"): 2, (7, "fr_fr"): 1, (8, "en_us"): 0, (9, "en_us"): 1}
+    details = spark.createDataFrame([(7, "en_us", 1), (7, "fr_fr", 2), (8, "en_us", 3)], "campaign_id int, locale string, scheduled_launch_time int")
+    jobs = spark.createDataFrame([(7, "FR_FR", 5), (7, "en_us", 6)], "campaign_id int, locale string, scheduled_launch_time int")
+    enabled = spark.createDataFrame([("EN_us",)], "locale string")
+    tables = same_case(Delivery(*[rows] * 5, schedule=details, jobs=jobs, details_locales=enabled))
+    named = summary.withColumns({"file_name": F.col("audience_name"), "sid": F.col("campaign_id") * 10})
+    listed = sinks.manifest(named, tables.launch_times, "o", by_site=True, suppressed="o/suppressed").collect()
+    base = "o/campaigns/site={}/launch_date=2001-08-01/audience={}/sid=70"
+    assert [(r.staging_filename, r.path, r.scheduled_launch_time) for r in listed] == [
+        ("A", base.format("en_us", "A"), 1), ("A_modules", "o/modules/site=en_us/campaign_id=7", 1), ("C", "o/suppressed", 3),
+        ("B", base.format("fr_fr", "B"), 5), ("B_modules", "o/modules/site=fr_fr/campaign_id=7", 5)]
+    assert [r.campaign_id for r in sinks.unscheduled(named, tables.launch_times).collect()] == [9]
 
 
 def test_runs_do_not_share_folders():
