@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outreach.operators.skew import spread_join
+from outreach.operators.skew import sized_join, spread_join
 from outreach.params import POS, SUPPRESSED
 
 CONTENT_KEY = ["campaign_id", "test_keys", "segment_set"]
@@ -85,12 +85,13 @@ def content_keys(members: DataFrame, campaigns: DataFrame) -> DataFrame:
     return met.select(*CONTENT_KEY, "campaign_segment_type_id").distinct()
 
 
-def segment_member(keys: DataFrame, inner: DataFrame) -> DataFrame:
-    """Join the ids of a `2#6#7` segment set with a frame keyed by segment_type_id."""
+def segment_member(keys: DataFrame, inner: DataFrame, **spread) -> DataFrame:
+    """Join the ids of a `2#6#7` segment set with a frame keyed by segment_type_id, and by
+    campaign where it has one. A segment may be in most of the sets."""
     ids = F.transform(F.split("segment_set", "#"), lambda s: s.cast("int"))
-    return keys.withColumn("segment_type_id", F.explode(F.array_distinct(ids))).join(
-        inner, [c for c in ("campaign_id", "segment_type_id") if c in inner.columns]
-    )
+    exploded = keys.withColumn("segment_type_id", F.explode(F.array_distinct(ids)))
+    on = [c for c in ("campaign_id", "segment_type_id") if c in inner.columns]
+    return sized_join(exploded, inner, on, **spread)
 
 
 def slot_candidates(ranked: DataFrame) -> DataFrame:

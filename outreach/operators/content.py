@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from outreach.functions import templates as T
 from outreach.functions.text import spec_file, spec_side
 from outreach.operators.allocation import CONTENT_KEY
-from outreach.operators.skew import spread_join
+from outreach.operators.skew import sized_join, spread_join
 from outreach.params import POS, SUPPRESSED
 
 
@@ -58,7 +58,7 @@ def content_rows(files: dict[str, DataFrame], specs: DataFrame) -> DataFrame:
         shaped.append(df.select(*POS, F.lit(name).alias("file"), attribute_map(columns).alias("values")))
     rows = reduce(lambda a, b: a.unionByName(b), shaped)
     return (
-        rows.join(specs, [*POS, "file"])
+        sized_join(rows, specs, [*POS, "file"])
         .select(*POS, "spec", _key_values(F.col("values"), F.col("right_keys")).alias("key"), F.explode("values"
                 ).alias("column", "value"))
         .where(F.col("key").isNotNull() & F.col("value").isNotNull())
@@ -78,7 +78,9 @@ def look_up(
     wanted = (
         profiles.select(*POS, *columns).distinct()
         .withColumn("attributes", attribute_map(columns))
-        .join(specs, POS, "left")
+    )
+    wanted = (
+        sized_join(wanted, specs, POS, "left")
         .withColumn("key", _key_values(F.col("attributes"), F.col("left_keys")))
     )
     # profiles are distinct, and a look-up row is shared by those with the same key values

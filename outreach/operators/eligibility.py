@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outreach.operators.skew import spread_join
+from outreach.operators.skew import sized_join, spread_join
 from outreach.params import POS, SUPPRESSED
 
 SEGMENT_KEY = ["tpid", "eapid", "segment_type_id"]
@@ -74,8 +74,15 @@ def pos_of(campaigns: DataFrame) -> DataFrame:
     return campaigns.where(present).select(*POS).distinct()
 
 
-def at_pos(df: DataFrame, pos: DataFrame) -> DataFrame:
-    return df.join(pos, POS, "left_semi")
+def at_pos(df: DataFrame, pos: DataFrame, **spread) -> DataFrame:
+    """Rows of the given points of sale."""
+    return sized_join(df, pos, POS, "left_semi", **spread)
+
+
+def of_campaigns(traveler_segments: DataFrame, campaigns: DataFrame, **spread) -> DataFrame:
+    """Memberships of the outer segments that the campaigns use; others reach nobody."""
+    used = campaigns.select(*POS, F.col("campaign_segment_type_id").alias("segment_type_id")).distinct()
+    return sized_join(traveler_segments, used, [*POS, "segment_type_id"], "left_semi", **spread)
 
 
 def gate(df: DataFrame, flags: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from outreach.functions.text import key_id, loyalty_flag, recipient_id
-from outreach.operators.skew import first_per_group, group_heads
+from outreach.operators.skew import first_per_group, group_heads, sized_join, spread_join
+from outreach.sources.staging import stage
 from outreach.params import DEFAULT_TEXT, POS, SEED_ACCOUNT
 
 # Path of a tracked click around the token.
@@ -61,8 +62,17 @@ def add_user_token(
     )
 
 
-def add_module_count(rows: DataFrame, counts: DataFrame, on: tuple[str, ...] = ("campaign_id",)) -> DataFrame:
-    return rows.join(counts, list(on))
+def add_launch(rows: DataFrame, campaigns: DataFrame, **spread) -> DataFrame:
+    """Launch date and time of the campaign in the row's locale; rows of other campaigns drop out."""
+    launched = campaigns.select("campaign_id", "locale", "launch_date", "launch_time_utc").distinct()
+    return sized_join(rows, launched, ["campaign_id", "locale"], **spread)
+
+
+def add_module_count(
+    rows: DataFrame, counts: DataFrame, on: tuple[str, ...] = ("campaign_id",), **spread
+) -> DataFrame:
+    """The number of modules of the row's campaign. Counts are a row per campaign."""
+    return sized_join(rows, counts, list(on), **spread)
 
 
 def none_to_null(df: DataFrame) -> DataFrame:
@@ -84,11 +94,12 @@ def numbered_seeds(seeds: DataFrame, category: str | None = None) -> DataFrame:
 
 def seed_rows(rows: DataFrame, seeds: DataFrame, tie_break: list[str]) -> DataFrame:
     """Copies of the first rows of each campaign, the nth addressed to the nth seed of its
-    point of sale and marked with the seed account."""
+    point of sale and marked with the seed account. `rows` is read twice: stage it first."""
+    seeds = stage(seeds)
     counts = seeds.groupBy(*POS).agg(F.max("n").alias("n_max"))
     heads = group_heads(rows, ["campaign_id", *POS], ["test_keys", *tie_break], counts, POS)
     return (
-        heads.join(seeds, [*POS, "n"])
+        sized_join(heads, seeds, [*POS, "n"])
         .withColumn("email_address", F.col("seed_email"))
         .withColumn("paid", F.lit(SEED_ACCOUNT).cast(rows.schema["paid"].dataType))
         .select(*rows.columns)
@@ -96,24 +107,33 @@ def seed_rows(rows: DataFrame, seeds: DataFrame, tie_break: list[str]) -> DataFr
 
 
 def add_seeds(rows: DataFrame, seeds: DataFrame, tie_break: list[str]) -> DataFrame:
-    return rows.unionByName(seed_rows(rows, seeds, tie_break))
+    """The rows and the seed copies; these are staged, as later joins read the rows again."""
+    return rows.unionByName(stage(seed_rows(rows, seeds, tie_break)))
 
 
-def add_loyalty(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """Loyalty fields by account and site; the smallest member id if an account repeats."""
-    one = first_per_group(members, ["tpid", "paid"], ["member_id"])
+def add_loyalty(rows: DataFrame, members: DataFrame, **spread) -> DataFrame:
+    """Loyalty fields by account and site; the smallest member id if an account repeats. The
+    seed account and rows without an account may hold a third of the rows: both are split."""
+    one = first_per_group(members.where(F.col("paid").isNotNull()), ["tpid", "paid"], ["member_id"])
     return (
-        rows.join(one, ["tpid", "paid"], "left")
+        spread_join(rows, one, ["tpid", "paid"], "left", **spread)
         .withColumn("member_status", loyalty_flag(F.col("status")))
         .drop("status")
     )
 
 
-def add_pos_mapping(rows: DataFrame, mapping: DataFrame, live_test: bool = False) -> DataFrame:
-    """Brand and site code of the point of sale; test sends carry the site code X."""
+def add_pos_mapping(rows: DataFrame, mapping: DataFrame, live_test: bool = False, **spread) -> DataFrame:
+    """Brand and site code of the point of sale, a key of few values; test sends carry the
+    site code X."""
     if live_test:
         mapping = mapping.withColumn("posa", F.lit("X"))
-    return rows.join(mapping, ["tpid", "eapid"], "left")
+    return sized_join(rows, mapping, ["tpid", "eapid"], "left", **spread)
+
+
+def add_program(rows: DataFrame, master: DataFrame, **spread) -> DataFrame:
+    """Program parts and SID of the row's campaign and locale, from the audience master."""
+    parts = master.select("campaign_id", "locale", "subchannel", "program", "campaign_code", "lob_intent", "sid")
+    return sized_join(rows, parts, ["campaign_id", "locale"], "left", **spread)
 
 
 def add_recipient_id(rows: DataFrame, home_brand: str) -> DataFrame:
@@ -131,16 +151,22 @@ def add_recipient_id(rows: DataFrame, home_brand: str) -> DataFrame:
 
 
 def add_upstream(
-    rows: DataFrame, tokens: DataFrame, loyalty: DataFrame, prefixes: DataFrame
+    rows: DataFrame, tokens: DataFrame, loyalty: DataFrame, prefixes: DataFrame, **spread
 ) -> DataFrame:
     """Ready-made token, loyalty fields and recipient prefix of an upstream run; the
-    module code completes the prefix. Right sides are made unique on their key."""
+    module code completes the prefix. Right sides are made unique on their key. Hot accounts,
+    and rows without one, are split; `rows` is read again to find them, so stage it first."""
     person = ["paid", "email_address", "campaign_id"]
     member = ["tpid", "paid", "campaign_id"]
+    spread = {"hot_in": rows, **spread}
+    out = rows
+    for right, key, order in (
+        (tokens, person, "user_token"), (loyalty, member, "member_id"), (prefixes, person, "recipient_prefix"),
+    ):
+        known = right.where(F.col("paid").isNotNull())
+        out = spread_join(out, first_per_group(known, key, [order]), key, "left", **spread)
     return (
-        rows.join(first_per_group(tokens, person, ["user_token"]), person, "left")
-        .join(first_per_group(loyalty, member, ["member_id"]), member, "left")
-        .join(first_per_group(prefixes, person, ["recipient_prefix"]), person, "left")
+        out
         .withColumn("recipient_id", F.concat("recipient_prefix", "module_code"))
         .drop("recipient_prefix")
     )

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from outreach.functions.text import rewrite_tag
 from outreach.operators.allocation import CONTENT_KEY
 from outreach.operators.metadata import campaign_slots
+from outreach.operators.skew import sized_join
 from outreach.params import EMPTY_MODULE, POS, TEST_ONLY
 
 RETIRED_TEST = "999"
@@ -67,17 +69,16 @@ def type_test_filter(allocated: DataFrame, assignments: DataFrame) -> DataFrame:
     tested = tests.select(*POS, "module_type_id").distinct().withColumn("_tested", F.lit(True))
     assigned = tests.select(*POS, "test_keys", "segment_type_id", "module_type_id").distinct()
     segment = F.explode(F.transform(F.split("segment_set", "#"), lambda s: s.cast("int")))
+    members = allocated.select(*CONTENT_KEY, *POS).distinct().withColumn("segment_type_id", segment)
     preserved = (
-        allocated.select(*CONTENT_KEY, *POS).distinct()
-        .withColumn("segment_type_id", segment)
-        .join(assigned, [*POS, "test_keys", "segment_type_id"])
+        sized_join(members, assigned, [*POS, "test_keys", "segment_type_id"])
         .select(*CONTENT_KEY, "module_type_id").distinct()
         .withColumn("_kept", F.lit(True))
     )
     slot = Window.partitionBy(*CONTENT_KEY, "slot_position")
     stays = F.col("_tested").isNull() | F.col("_kept").isNotNull()
     return (
-        allocated.join(tested, [*POS, "module_type_id"], "left")
+        sized_join(allocated, tested, [*POS, "module_type_id"], "left")
         .join(preserved, [*CONTENT_KEY, "module_type_id"], "left")
         .withColumn("_stays", stays)
         .withColumn("_left", F.count_if("_stays").over(slot))
@@ -142,6 +143,16 @@ def version_test_replace(allocated: DataFrame, placed_tests: DataFrame, meta: Da
     )
 
 
+def add_test_tag(rows: DataFrame, tags: DataFrame, **spread) -> DataFrame:
+    """The recipient id with the tag of the row's test key and module code, a code that most
+    travelers may share."""
+    return (
+        sized_join(rows, tags, [*POS, "test_keys", "module_code"], "left", **spread)
+        .withColumn("recipient_id", rewrite_tag(F.col("recipient_id"), F.col("test_tag")))
+        .drop("test_tag")
+    )
+
+
 def test_tag(coded: DataFrame, placed_tests: DataFrame, active: DataFrame) -> DataFrame:
     """`test#arm` for each (point of sale, test key, module code).
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 from functools import reduce
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
 from outreach.sources.staging import stage
 
 HOT_ROWS = 1_000_000    # rows of one key that a task copes with
+SMALL_BYTES = 8 << 20   # a table of this many bytes is copied to every executor
 
 
 def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS, salts: int = 2) -> DataFrame:
@@ -83,16 +84,49 @@ def spread_join(
     return l.join(r, cond, how).drop("_salt", "_r_salt", *drop)
 
 
+def measured(df: DataFrame) -> tuple[DataFrame, int]:
+    """The frame, staged, and the bytes of its rows as JSON text, which stand for what a copy
+    takes in memory. The job that writes the rows measures them."""
+    seen = Observation()
+    size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+    table = stage(df.observe(seen, F.coalesce(size, F.lit(0)).alias("n_bytes")))
+    return table, seen.get["n_bytes"]
+
+
+def sized_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    how: str = "inner",
+    *,
+    max_bytes: int = SMALL_BYTES,
+    null_safe: bool = False,
+    **spread,
+) -> DataFrame:
+    """Equi join with a configuration table, on keys of few values or with a hot one.
+
+    The right side is staged and measured as it is written. Within `max_bytes` every executor
+    gets a copy and no left row moves, whatever its key. A larger one goes through `spread_join`,
+    which splits hot keys of the left side; `spread` holds its options.
+    """
+    table, n_bytes = measured(right)
+    if n_bytes > max_bytes:
+        return spread_join(left, table, on, how, null_safe=null_safe, **spread)
+    r = F.broadcast(_renamed(table, on))
+    return left.join(r, _match(left, r, on, null_safe), how).drop(*[f"_r_{k}" for k in on])
+
+
 def group_heads(df: DataFrame, group: list[str], order: list, limit: DataFrame, by: list[str]) -> DataFrame:
     """First n rows of each group with their number `n`, n given by a table.
 
     `limit` holds one row per `by` key with column `n_max`. Rows are numbered inside hashed
     sub-groups of about HOT_ROWS first; only those within n_max there can be within n_max
     of the whole group, so the final numbering sees n_max rows of each sub-group at most.
+    `df` is read twice, so stage it first when it is costly.
     """
     largest = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows")).first()[0]
     salt = F.pmod(row_hash(df), F.lit(max(1, ceil((largest or 0) / HOT_ROWS))))
-    local = df.join(limit, by).withColumn("_sub", salt)
+    local = sized_join(df.withColumn("_sub", salt), limit, by, hot_in=df)
     local = local.withColumn("n", F.row_number().over(Window.partitionBy(*group, "_sub").orderBy(*order)))
     kept = local.where(F.col("n") <= F.col("n_max")).drop("_sub")
     ranked = kept.withColumn("n", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))

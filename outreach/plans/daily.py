@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outreach.functions.dates import compact_date, issue_id
-from outreach.functions.text import display_locale, output_name, rewrite_tag
+from outreach.functions.text import display_locale, output_name
 from outreach.operators import allocation as A
 from outreach.operators import arbitration as R
 from outreach.operators import checks as Q
@@ -20,7 +20,7 @@ from outreach.operators import experiments as X
 from outreach.operators import metadata as M
 from outreach.operators import sampling as P
 from outreach.operators import slots as S
-from outreach.operators.skew import consecutive_ids, spread_join
+from outreach.operators.skew import consecutive_ids
 from outreach.params import POS, RunParams
 from outreach.sources import sinks as W
 from outreach.sources.runs import RunLog, append_log
@@ -317,34 +317,26 @@ def audiences(decisions: Decisions, d: Delivery) -> DataFrame:
 def deliver(decisions: Decisions, d: Delivery) -> DataFrame:
     """Final rows: ids, tokens, seeds, loyalty fields, recipient id, tags."""
     run, tie, d = decisions.run, decisions.inputs.tie_break, same_case(d)
-    launched = decisions.campaigns.select("campaign_id", "locale", "launch_date", "launch_time_utc").distinct()
     coded = (
-        decisions.winners
+        N.add_launch(decisions.winners, decisions.campaigns)
         .withColumn("module_code", S.module_code(F.col("picks")))
         .withColumn("subject_line", S.subject_line(F.col("picks")))
         .withColumn("dynamic_content", S.dynamic_content(F.col("picks")))
-        .join(launched, ["campaign_id", "locale"])
     )
     numbered = stage(consecutive_ids(stage(coded), ["email_address", "campaign_id", *tie, "locale", "segment_set"], "row_id"))
     tokens = N.add_user_token(numbered, d.tokens, d.fallback_tokens)
     sent = ("campaign_id", "locale")  # a campaign may bear another name in each locale
-    counted = N.add_module_count(tokens, M.module_count(decisions.active, sent), sent)
-    one = R.dedupe_recipient(counted, ["campaign_id", *tie])
-    seeded = N.add_seeds(N.none_to_null(one), N.numbered_seeds(d.seeds, run.seed_category), ["email_address", *tie])
-    parts = audiences(decisions, d).select(
-        "campaign_id", "locale", "subchannel", "program", "campaign_code", "lob_intent", "sid"
-    )
-    placed = N.add_pos_mapping(N.add_loyalty(seeded, d.loyalty), d.pos_mapping, run.is_live_test)
-    ready = placed.join(parts, ["campaign_id", "locale"], "left").withColumn(
+    counted = N.add_module_count(tokens, M.module_count(decisions.active, sent), sent, hot_in=numbered)
+    one = stage(N.none_to_null(R.dedupe_recipient(counted, ["campaign_id", *tie])))
+    seeded = N.add_seeds(one, N.numbered_seeds(d.seeds, run.seed_category), ["email_address", *tie])
+    near = {"hot_in": seeded}  # staged, so looking for hot keys computes nothing again
+    placed = N.add_pos_mapping(N.add_loyalty(seeded, d.loyalty, **near), d.pos_mapping, run.is_live_test, **near)
+    ready = N.add_program(placed, audiences(decisions, d), **near).withColumn(
         "issue_id", issue_id(F.col("launch_time_utc"))
     )
     rows = N.add_recipient_id(ready, run.home_brand)
     tags = X.test_tag(numbered, decisions.placed_tests, decisions.placed_active)
-    rows = (
-        spread_join(rows, tags, [*POS, "test_keys", "module_code"], "left", hot_in=numbered)
-        .withColumn("recipient_id", rewrite_tag(F.col("recipient_id"), F.col("test_tag")))
-        .drop("test_tag")
-    )
+    rows = X.add_test_tag(rows, tags, **near)
     if run.is_addressed_test:
         rows = P.sample_per_code(rows, ["row_id", "email_address"])
         rows = N.redirect_address(rows, run.test_address)

@@ -507,6 +507,8 @@ _SQL["status_filter"] = "SELECT module_id, status FROM module WHERE status <> 'd
 _SQL["semi_in_list"] = """
 SELECT email_address, test_keys, segment_type_id FROM traveler_segment
 WHERE (tpid, eapid, locale, segment_type_id) IN (SELECT (tpid, eapid, locale, campaign_segment_type_id) FROM live)"""
+_SQL["manual_campaign"] = """
+SELECT campaign_id, locale, priority FROM run_campaign WHERE campaign_id = (SELECT min(campaign_id) FROM run_campaign)"""
 _SQL["anti_manual_launch"] = """
 SELECT campaign_id, locale FROM campaign WHERE campaign_id NOT IN (SELECT campaign_id FROM manual_launch)"""
 _SQL["dead_segments"] = """
@@ -743,6 +745,9 @@ _SQL["sample_per_code"] = """
 SELECT module_code, user_id, campaign_id FROM (SELECT *, row_number() OVER (PARTITION BY module_code
   ORDER BY md5(concat(user_id, '|', campaign_id, '|', segment_set)), user_id) AS n FROM winner) WHERE n <= 5"""
 
+_SQL["launch_time"] = """
+SELECT user_id, r.campaign_id, CAST(c.launch_date AS VARCHAR) AS launch_date, c.launch_time_utc
+FROM recipients r JOIN campaign c ON c.campaign_id = r.campaign_id AND c.locale = r.locale"""
 _SQL["token_coalesce"] = """
 SELECT user_id, campaign_id, coalesce('emailclick/' || a.token || '/', 'emailclick/' || b.token || '/', '') AS user_token
 FROM (SELECT * FROM recipients WHERE paid IS NOT NULL) LEFT JOIN token_a a USING (paid) LEFT JOIN token_b b USING (paid)"""

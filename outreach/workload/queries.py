@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from outreach.functions import text as X
 from outreach.operators import allocation, arbitration, checks, content, eligibility, enrichment
 from outreach.operators import experiments, metadata, sampling, slots
 from outreach.operators.skew import consecutive_ids, spread_join
-from outreach.params import POS
+from outreach.params import POS, RunParams
 from outreach.plans.daily import Decisions, Inputs
 from outreach.sources import runs, sinks, tables
 from outreach.sources.staging import stage, stage_path
@@ -37,7 +38,7 @@ def stamp(c, fmt: str = "yyyy-MM-dd HH:mm:ss"):
     return F.date_format(c, fmt)
 
 
-def decisions(d: Domain) -> Decisions:
+def decisions(d: Domain, run: RunParams = RUN) -> Decisions:
     return Decisions(
         Inputs(
             campaigns=d.campaign.drop("id"),
@@ -57,7 +58,7 @@ def decisions(d: Domain) -> Decisions:
             files={"content": d.content},
             columns=CONTENT_COLUMNS,
         ),
-        RUN,
+        run,
     )
 
 
@@ -188,12 +189,23 @@ def status_filter(d):
 
 @query
 def semi_in_list(d):
-    wanted = ready_campaigns(d).select(*POS, F.col("campaign_segment_type_id").alias("segment_type_id"))
-    return d.traveler_segment.join(wanted, [*POS, "segment_type_id"], "left_semi").select(
+    return eligibility.of_campaigns(d.traveler_segment, ready_campaigns(d)).select(
         "email_address", "test_keys", "segment_type_id"
     )
 
 
+@query
+def manual_campaign(d):
+    """The campaigns of a manual test send: of the day's campaigns the one asked for, here the
+    first that was not launched by hand."""
+    automatic = eligibility.drop_manual_launches(
+        eligibility.live_campaigns(d.campaign, RUN.run_date), d.manual_launch
+    )
+    asked = automatic.agg(F.min("campaign_id")).first()[0]
+    manual = replace(RUN, job_type="test", test_type="MANUAL", campaign_id=asked)
+    return decisions(d, manual).campaigns.select("campaign_id", "locale", "priority")
+
+
 @query
 def anti_manual_launch(d):
     return eligibility.drop_manual_launches(d.campaign, d.manual_launch).select("campaign_id", "locale")
@@ -791,12 +803,10 @@ def test_tag(d):
 def rewrite_tag(d):
     run, rows = _coded_winners(d)
     tags = experiments.test_tag(rows, run.placed_tests, run.placed_active)
-    tagged = rows.join(tags, [*POS, "test_keys", "module_code"], "left").withColumn(
+    named = rows.withColumn(
         "recipient_id", F.concat(F.lit("ID.PAID"), F.col("paid").cast("string"), F.lit(".TEST1.VERSX.MIDS"), F.col("module_code"))
     )
-    return tagged.select(
-        "user_id", "campaign_id", X.rewrite_tag(F.col("recipient_id"), F.col("test_tag")).alias("recipient_id")
-    )
+    return experiments.add_test_tag(named, tags, hot_in=rows).select("user_id", "campaign_id", "recipient_id")
 
 
 @query
@@ -810,6 +820,14 @@ def sample_per_code(d):
 # Enrichment and ids ----------------------------------------------------------------
 
 
+@query
+def launch_time(d):
+    """Launch date and time of each recipient's campaign, by campaign and locale."""
+    return enrichment.add_launch(recipients(d), d.campaign).select(
+        "user_id", "campaign_id", F.col("launch_date").cast("string").alias("launch_date"), "launch_time_utc"
+    )
+
+
 def _coded_recipients(d):
     code = F.concat(F.lit("1-"), F.col("campaign_id").cast("string"), F.lit("_2-"), F.col("test_keys").cast("string"))
     return recipients(d).withColumn("module_code", code)
@@ -822,7 +840,7 @@ def token_coalesce(d):
 
 @query
 def loyalty_enrich(d):
-    return enrichment.add_loyalty(recipients(d), d.loyalty).select(
+    return enrichment.add_loyalty(stage(recipients(d)), d.loyalty).select(
         "user_id", "campaign_id", "member_id", "tier_name", "available_points", "member_status"
     )
 
@@ -834,7 +852,7 @@ def loyalty_flag(d):
 
 @query
 def pos_mapping_join(d):
-    rows = recipients(d)
+    rows = stage(recipients(d))
     prod = enrichment.add_pos_mapping(rows, d.pos_mapping).withColumn("mode", F.lit("prod"))
     test = enrichment.add_pos_mapping(rows, d.pos_mapping, live_test=True).withColumn("mode", F.lit("test"))
     return prod.unionByName(test).select("user_id", "campaign_id", "mode", "brand", "posa")
@@ -842,7 +860,7 @@ def pos_mapping_join(d):
 
 @query
 def recipient_enrich(d):
-    rows = _coded_recipients(d)
+    rows = stage(_coded_recipients(d))
     person = ["paid", "email_address", "campaign_id"]
     upstream = rows.where(F.col("paid").isNotNull())
     tokens = upstream.where(F.col("mktsegment") != "BUILDING").select(
@@ -875,22 +893,17 @@ def row_ids(d):
 @query
 def recipient_id(d):
     run_campaigns = ready_campaigns(d)
-    master = sinks.audience_master(run_campaigns, "prod", F.lit("2001-08-01 06:00:00")).select(
-        "campaign_id", "locale", "subchannel", "program", "campaign_code", "lob_intent", "sid"
-    )
+    master = sinks.audience_master(run_campaigns, "prod", F.lit("2001-08-01 06:00:00"))
     rows = stage(_coded_recipients(d))
     rows = consecutive_ids(rows, ["user_id", "campaign_id"], "row_id")
-    rows = (
-        enrichment.add_pos_mapping(rows, d.pos_mapping)
-        .join(master, ["campaign_id", "locale"], "left")
-        .join(run_campaigns.select("campaign_id", D.issue_id(F.col("launch_time_utc")).alias("issue_id")), "campaign_id")
-    )
+    rows = enrichment.add_program(enrichment.add_pos_mapping(rows, d.pos_mapping), master)
+    rows = enrichment.add_launch(rows, run_campaigns).withColumn("issue_id", D.issue_id(F.col("launch_time_utc")))
     return enrichment.add_recipient_id(rows, RUN.home_brand).select("user_id", "campaign_id", "recipient_id")
 
 
 @query
 def seed_rows(d):
-    rows = recipients(d).select(*POS, "email_address", "user_id", "paid", "test_keys", "campaign_id")
+    rows = stage(recipients(d).select(*POS, "email_address", "user_id", "paid", "test_keys", "campaign_id"))
     seeds = enrichment.numbered_seeds(d.seed, "Merch")
     return enrichment.add_seeds(rows, seeds, ["user_id"])
 
