@@ -77,7 +77,12 @@ def op6_html_text(spark, sf_dir):
 @query
 def op7_token_rollup(spark, sf_dir):
     """Load all documents, count their words anew by another rule, delete exact copies,
-    and load again, which changes nothing."""
+    and load again, which changes nothing.
+
+    Of equal texts the row with the smallest id stays, a row without an id only where no other
+    has the text; rows that share an id but not the text all stay. The batch of deletes takes
+    all rows away and puts back those that stay, so copies are never listed one by one.
+    """
     docs = table(spark, sf_dir, "documents")
     words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "[\\s]+", -1), lambda w: w != "")).cast("long")
     narrow = docs.withColumns({
@@ -89,15 +94,16 @@ def op7_token_rollup(spark, sf_dir):
     def version(name: str, count: str, rows=counted):
         return rows.select("source", "lang", F.lit(name).alias("tokenizer_version"), F.col(count).alias("n_tokens"))
 
-    first = counted.groupBy("copy_of").agg(F.min("doc_id").alias("doc_id"))
-    copies = counted.join(first.select("doc_id"), "doc_id", "left_anti")
+    kept = token_rollup.one_of_each(counted, "copy_of", ["doc_id"])
+    gone = token_rollup.deletes(version("byte_bpe_50k", "bpe").unionAll(version("units", "letters")))
+    back = token_rollup.inserts(version("byte_bpe_50k", "bpe", kept).unionAll(version("units", "letters", kept)))
     rollup = token_rollup.Rollup(spark, stage_path(spark))
     load = token_rollup.inserts(version("byte_bpe_50k", "bpe").unionAll(version("units", "words")))
     rollup.commit("load", load)
     revised = counted.select("source", "lang", F.lit("units").alias("tokenizer_version"), F.col("letters").alias("n_tokens"), F.col("words").alias("old_tokens"))
     rollup.commit("count letters", token_rollup.revisions(revised))
     rollup.compact()
-    rollup.commit("delete copies", token_rollup.deletes(version("byte_bpe_50k", "bpe", copies).unionAll(version("units", "letters", copies))))
+    rollup.commit("delete copies", gone.unionAll(back))
     rollup.commit("load", load)
     return rollup.totals()
 

@@ -74,6 +74,16 @@ def deletes(counts: DataFrame) -> DataFrame:
     return counts.select(*KEYS, F.lit(-1).cast("long").alias("documents"), (-F.col("n_tokens")).cast("long").alias("tokens"))
 
 
+def one_of_each(counts: DataFrame, same: str, first: list[str]) -> DataFrame:
+    """One whole row per value of `same`, nulls among them: the smallest by the columns `first`, nulls
+    last, then by the others, nulls first. Rows need no id, and an id may name several of
+    them. Copies combine before the shuffle, so any number of them may share a value."""
+    rest = [c for c in counts.columns if c != same and c not in first]
+    order = [x for c in first for x in (F.col(c).isNull().alias(f"{c} is null"), F.col(c))]
+    kept = counts.groupBy(same).agg(F.min(F.struct(*order, *rest)).alias("_kept"))
+    return kept.select(*[F.col(c) if c == same else F.col("_kept").getField(c).alias(c) for c in counts.columns])
+
+
 def revisions(counts: DataFrame) -> DataFrame:
     """Signed changes of documents whose count goes from old_tokens to n_tokens."""
     change = (F.coalesce("n_tokens", F.lit(0)) - F.coalesce("old_tokens", F.lit(0))).cast("long")

@@ -254,6 +254,30 @@ def test_rollup_query_equals_brute_force(spark, sf_dir):
     assert got == dict(want)
 
 
+def test_copies_without_ids_and_with_shared_ids(spark, tmp_path):
+    """A text whose only row has no id stays, as do different texts of one id; of exact copies one stays."""
+    rows = [
+        (None, "lonely row", "en", "a", 10), (7, "first text", "en", "a", 10), (7, "second text", "de", "b", 11),
+        (7, "second text", "de", "b", 11), (9, "second text", "fr", "c", 11), (None, "first text", None, "a", 10),
+        (3, None, "en", "d", 0), (4, "", "en", "a", 0), (None, "twice", None, None, 5), (None, "twice", None, None, 5),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    frame(spark, rows, schema).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {
+        (r.source, r.lang): (r.documents, r.tokens)
+        for r in QUERIES["op7_token_rollup"](spark, str(tmp_path)).where("tokenizer_version = 'units'").collect()
+    }
+    assert got == {("a", "en"): (2, 20), ("b", "de"): (1, 11), ("d", "en"): (1, 0), (None, None): (1, 5)}
+
+
+def test_one_of_each_keeps_whole_rows(spark):
+    rows = [(1, None, "x", 5), (1, 4, "y", 6), (1, 4, "w", 7), (None, None, None, 8), (2, None, "z", 9)]
+    kept = token_rollup.one_of_each(frame(spark, rows, "k int, id int, s string, n int"), "k", ["id"])
+    assert kept.columns == ["k", "id", "s", "n"]
+    assert {tuple(r) for r in kept.collect()} == {(1, 4, "w", 7), (None, None, None, 8), (2, None, "z", 9)}
+    assert token_rollup.one_of_each(kept.limit(0), "k", ["id"]).isEmpty()
+
+
 # Mixing ------------------------------------------------------------------------------
 
 
